@@ -2,6 +2,7 @@
 
 from lagjoin.functions.scalar import (CLOCK_FORMAT, DATE_FORMAT, OBS_CLOCK_FORMAT,
                                       RAW_DATE_FORMAT, SUSPECT_FLAG, arrival_time,
+                                      clock_timestamp,
                                       fact_timestamp, hh_colon_mm, hhmm, hours_before,
                                       is_imputable, is_integral, is_missing,
                                       is_numeric, is_temporal, md5_bucket, md5_hex,
@@ -10,7 +11,7 @@ from lagjoin.functions.scalar import (CLOCK_FORMAT, DATE_FORMAT, OBS_CLOCK_FORMA
 
 __all__ = [
     "CLOCK_FORMAT", "DATE_FORMAT", "OBS_CLOCK_FORMAT", "RAW_DATE_FORMAT", "SUSPECT_FLAG",
-    "arrival_time", "fact_timestamp", "hh_colon_mm", "hhmm", "hours_before",
+    "arrival_time", "clock_timestamp", "fact_timestamp", "hh_colon_mm", "hhmm", "hours_before",
     "is_imputable", "is_integral", "is_missing", "is_numeric", "is_temporal",
     "md5_bucket", "md5_hex", "md5_prefix_int", "obs_timestamp", "parse_local_ts",
     "to_date_text", "to_double", "to_int", "to_long",

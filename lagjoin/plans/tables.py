@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from lagjoin.functions import scalar as S
 from lagjoin.operators.columns import (add_prefix, broadcast_if_small, drop_flagged_rows,
@@ -60,20 +61,24 @@ def clean_facts(df: DataFrame, fill_unknown_delay: bool = True) -> DataFrame:
     """Departure clock -> 'HH:mm', types normalised, NULL
     delays -> 0 (or kept NULL with ``fill_unknown_delay=False``), NULL clock
     -> '', departure timestamp (invalid clock such as 24:00 -> NULL)."""
+    date = F.col("FL_DATE") if isinstance(df.schema["FL_DATE"].dataType, DateType) \
+        else S.to_date_text("FL_DATE")
+    p = S.hhmm("CRS_DEP_TIME")
     out = df.withColumns({
-        "CRS_DEP_TIME": S.hh_colon_mm("CRS_DEP_TIME"),
-        "FL_DATE": S.to_date_text("FL_DATE"),
+        "CRS_DEP_TIME": F.concat(F.substring(p, 1, 2), F.lit(":"), F.substring(p, 3, 2)),
+        "FL_DATE": date,
         "ARR_DELAY_NEW": S.to_double("ARR_DELAY_NEW"),
         "CANCELLED": S.to_int("CANCELLED"),
         "DIVERTED": S.to_int("DIVERTED"),
         "CRS_ELAPSED_TIME": S.to_double("CRS_ELAPSED_TIME"),
         "WEATHER_DELAY": S.to_double("WEATHER_DELAY"),
         "NAS_DELAY": S.to_double("NAS_DELAY"),
+        "TIMESTAMP": S.clock_timestamp(date, p),
     }).drop("Unnamed: 12")
     if fill_unknown_delay:
         out = out.na.fill(0, list(FACT_DELAYS))
     out = out.na.fill("", ["CRS_DEP_TIME"])
-    return out.withColumn("TIMESTAMP", S.fact_timestamp("FL_DATE", "CRS_DEP_TIME"))
+    return out
 
 
 def fact_table(df: DataFrame, stations: DataFrame, prefix: str = "FT_",
@@ -115,9 +120,11 @@ def observation_table(df: DataFrame, stations: DataFrame, missing_rate: float =
     flags = [flag_of(m) for m in measures]
     typed = to_double_columns(df, [c for c in numeric_cols if c in df.columns])
     fixed = impute_and_correct(typed, measures, flags, threshold=missing_rate)
-    fixed = fixed.withColumns({time_col: F.lpad(F.col(time_col), 4, "0"),
-                               date_col: S.to_date_text(date_col)})
-    fixed = fixed.withColumn(ts_col, S.obs_timestamp(date_col, time_col)).drop(*flags)
+    date = F.col(date_col) if isinstance(df.schema[date_col].dataType, DateType) \
+        else S.to_date_text(date_col)
+    clock = F.lpad(F.col(time_col), 4, "0")
+    fixed = fixed.withColumns({time_col: clock, date_col: date,
+                               ts_col: S.clock_timestamp(date, clock)}).drop(*flags)
     return add_prefix(join_stations(fixed, stations, pad_width=pad_width), prefix)
 
 
