@@ -275,7 +275,9 @@ def _nz(c: str) -> str:
     return f"CASE WHEN {c} IS NULL OR isnan({c}) THEN 0 ELSE {c} END"
 
 
-SQL_Q7 = _sql_round(f"""WITH r AS ({X.RAW_FLIGHTS_SQL}), st AS ({X.STATIONS_SQL}),
+def _fact_table_sql(raw_sql: str) -> str:
+    """Q7 in SQL over a raw flight source."""
+    return f"""WITH r AS ({raw_sql}), st AS ({X.STATIONS_SQL}),
 p AS (SELECT r.*, lpad(CAST(CAST(trunc(TRY_CAST(CRS_DEP_TIME AS DOUBLE)) AS INTEGER) AS VARCHAR), 4, '0') AS p
       FROM r),
 c AS (SELECT OP_CARRIER_AIRLINE_ID, OP_CARRIER_FL_NUM, ORIGIN_AIRPORT_ID, DEST_AIRPORT_ID,
@@ -297,8 +299,11 @@ SELECT t.OP_CARRIER_AIRLINE_ID AS FT_OP_CARRIER_AIRLINE_ID, t.OP_CARRIER_FL_NUM
        t.NAS_DELAY AS FT_NAS_DELAY, t._c12 AS FT__c12, t.Year AS FT_Year, t.FL_DATE AS FT_FL_DATE,
        t.ts AS FT_TIMESTAMP,
        CAST(de.TimeZone AS INTEGER) - CAST(og.TimeZone AS INTEGER) AS FT_Delta_Lag
-FROM t JOIN st og ON t.ORIGIN_AIRPORT_ID = og.AirportID JOIN st de ON t.DEST_AIRPORT_ID = de.AirportID""",
-                    ["FT_ARR_DELAY_NEW", "FT_CRS_ELAPSED_TIME", "FT_WEATHER_DELAY", "FT_NAS_DELAY"])
+FROM t JOIN st og ON t.ORIGIN_AIRPORT_ID = og.AirportID JOIN st de ON t.DEST_AIRPORT_ID = de.AirportID"""
+
+
+FT_DOUBLES = ["FT_ARR_DELAY_NEW", "FT_CRS_ELAPSED_TIME", "FT_WEATHER_DELAY", "FT_NAS_DELAY"]
+SQL_Q7 = _sql_round(_fact_table_sql(X.RAW_FLIGHTS_SQL), FT_DOUBLES)
 
 
 def _missing(c: str) -> str:
@@ -306,7 +311,8 @@ def _missing(c: str) -> str:
 
 
 # typed raw weather after Q3 imputation (StationType, Visibility, WindSpeed; Year has none missing)
-_IMPUTED_CTE = f"""raw AS ({X.RAW_WEATHER_TYPED_SQL}),
+def _imputed_cte(raw_sql: str) -> str:
+    return f"""raw AS ({raw_sql}),
 s1 AS (SELECT count(*) AS n,
               count(*) FILTER (WHERE {_missing('StationType')}) AS m_st,
               avg(StationType) FILTER (WHERE NOT {_missing('StationType')}) AS a_st,
@@ -322,6 +328,9 @@ imp AS (SELECT raw.* REPLACE (
         FROM raw, s1)"""
 
 
+_IMPUTED_CTE = _imputed_cte(X.RAW_WEATHER_TYPED_SQL)
+
+
 def _corrected_cte(src: str) -> str:
     return f"""means AS (SELECT avg(Visibility) FILTER (WHERE VisibilityFlag <> 's') AS mv,
                  avg(WindSpeed) FILTER (WHERE WindSpeedFlag <> 's') AS mw FROM {src}),
@@ -353,15 +362,20 @@ def q_q6(spark, sf):
     return _round(out)
 
 
-SQL_Q6 = _sql_round(f"""WITH {_IMPUTED_CTE}, {_corrected_cte('imp')}, st AS ({X.STATIONS_SQL})
+def _obs_table_sql(raw_sql: str) -> str:
+    """Q6 in SQL over a typed raw observation source."""
+    return f"""WITH {_imputed_cte(raw_sql)}, {_corrected_cte('imp')}, st AS ({X.STATIONS_SQL})
 SELECT f.WBAN AS OT_WBAN, f.ObsId AS OT_ObsId, lpad(f.Time, 4, '0') AS OT_Time,
        f.StationType AS OT_StationType, f.SkyCondition AS OT_SkyCondition,
        f.Visibility AS OT_Visibility, f.WeatherType AS OT_WeatherType, f.WindSpeed AS OT_WindSpeed,
        f.Year AS OT_Year, f.Date AS OT_Date,
        try_strptime(CAST(f.Date AS VARCHAR) || ' ' || lpad(f.Time, 4, '0'), '%Y-%m-%d %H%M') AS OT_WEATHER_TIMESTAMP,
        st.AirportID AS OT_ORIGIN_AIRPORT_ID, st.TimeZone AS OT_TimeZone
-FROM fix f JOIN st ON f.WBAN = st.WBAN""",
-                    ["OT_StationType", "OT_Visibility", "OT_WindSpeed"])
+FROM fix f JOIN st ON f.WBAN = st.WBAN"""
+
+
+OT_DOUBLES = ["OT_StationType", "OT_Visibility", "OT_WindSpeed"]
+SQL_Q6 = _sql_round(_obs_table_sql(X.RAW_WEATHER_TYPED_SQL), OT_DOUBLES)
 
 
 def q_q3(spark, sf):
@@ -768,11 +782,52 @@ def q_m6(spark, sf):
     return pred.select("doc_id", "label", "prediction")
 
 
+# --- end to end: raw rows -> recipes -> keys -> long lag join --------------------
+
+_W1_OBS = ["OT_ORIGIN_AIRPORT_ID", "OT_WEATHER_TIMESTAMP", "OT_Visibility", "OT_SkyCondition"]
+_W1_OUT = ["FT_OP_CARRIER_FL_NUM", "FT_ORIGIN_AIRPORT_ID", "FT_DEST_AIRPORT_ID", "FT_TIMESTAMP",
+           "FT_DEST_DATE_TIME", "FT_JOIN_KEY_DEST", "hours_lag", "FT_ORIGIN_DATE_TIME_LAG",
+           "FT_DEST_DATE_TIME_LAG", "OT_Visibility_ORIG", "OT_SkyCondition_ORIG",
+           "OT_Visibility_DEST", "OT_SkyCondition_DEST"]
+
+
+def q_w1(spark, sf):
+    from lagjoin.plans import workflow as W
+    st = X.stations(spark, sf)
+    ft = T.fact_table(X.raw_event_flights(spark, sf), st)
+    ot = T.observation_table(X.raw_weather(spark, sf, hourly=True), st,
+                             measures=("SkyCondition", "Visibility", "WeatherType", "WindSpeed"),
+                             numeric_cols=("StationType", "Visibility", "WindSpeed"))
+    _, lines = W.join(ft, ot, "lines", obs_cols=_W1_OBS)
+    return _round(lines.select(*_W1_OUT))
+
+
+SQL_W1 = _sql_round(f"""WITH ft AS ({_fact_table_sql(X.RAW_EVENT_FLIGHTS_SQL)}),
+ot AS ({_obs_table_sql(X.raw_weather_typed_sql(True))}),
+fm AS (SELECT ft.*, ft.FT_TIMESTAMP + to_seconds(CAST(trunc(ft.FT_CRS_ELAPSED_TIME * 60) AS BIGINT)
+                    + CAST(trunc(ft.FT_Delta_Lag * 3600) AS BIGINT)) AS FT_DEST_DATE_TIME FROM ft),
+x AS (SELECT fm.*, fm.FT_DEST_AIRPORT_ID || '_' || CAST(fm.FT_DEST_DATE_TIME AS VARCHAR) AS FT_JOIN_KEY_DEST,
+             CAST(h.range AS INTEGER) AS hours_lag,
+             fm.FT_TIMESTAMP - to_hours(CAST(h.range AS INTEGER)) AS FT_ORIGIN_DATE_TIME_LAG,
+             fm.FT_DEST_DATE_TIME - to_hours(CAST(h.range AS INTEGER)) AS FT_DEST_DATE_TIME_LAG
+      FROM fm CROSS JOIN range({LAGS}) h)
+SELECT x.FT_OP_CARRIER_FL_NUM, x.FT_ORIGIN_AIRPORT_ID, x.FT_DEST_AIRPORT_ID, x.FT_TIMESTAMP,
+       x.FT_DEST_DATE_TIME, x.FT_JOIN_KEY_DEST, x.hours_lag, x.FT_ORIGIN_DATE_TIME_LAG,
+       x.FT_DEST_DATE_TIME_LAG, o.OT_Visibility AS OT_Visibility_ORIG,
+       o.OT_SkyCondition AS OT_SkyCondition_ORIG, d.OT_Visibility AS OT_Visibility_DEST,
+       d.OT_SkyCondition AS OT_SkyCondition_DEST
+FROM x
+LEFT JOIN ot o ON o.OT_ORIGIN_AIRPORT_ID = x.FT_ORIGIN_AIRPORT_ID AND o.OT_WEATHER_TIMESTAMP = x.FT_ORIGIN_DATE_TIME_LAG
+LEFT JOIN ot d ON d.OT_ORIGIN_AIRPORT_ID = x.FT_DEST_AIRPORT_ID AND d.OT_WEATHER_TIMESTAMP = x.FT_DEST_DATE_TIME_LAG""",
+                    ["OT_Visibility_ORIG", "OT_Visibility_DEST"])
+
+
 # ============================================================================
 # registry
 # ============================================================================
 
 CATALOG: dict[str, tuple[Query, str | None]] = {
+    "W1_raw_to_long_lag_join": (q_w1, SQL_W1),
     "J4_lag_cross": (q_j4, SQL_J4),
     "J5_lag_long_origin": (q_j5, _long_sql(False)),
     "J6_lag_long": (q_j6, _long_sql(True)),

@@ -94,13 +94,15 @@ FROM events WHERE event_type = 'view' GROUP BY 1"""
 
 # --- raw observation rows (text, as read from the feed) -------------------------
 
-def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_weather(spark: SparkSession, sf_dir: str, hourly: bool = False) -> DataFrame:
+    """Every event as a raw observation; ``hourly`` puts readings on the hour."""
     e = table(spark, sf_dir, "events")
     eid, v = F.col("event_id"), F.col("value")
+    clock = F.hour("ts") * 100 if hourly else F.hour("ts") * 100 + F.minute("ts")
     return e.select(
         eid.alias("ObsId"),
         (F.col("user_id") % WBAN_MOD).cast("string").alias("WBAN"),
-        (F.hour("ts") * 100 + F.minute("ts")).cast("string").alias("Time"),
+        clock.cast("string").alias("Time"),
         F.when(eid % 17 == 0, F.lit("M")).otherwise(F.lit("12")).alias("StationType"),
         F.col("event_type").alias("SkyCondition"),
         F.when(eid % 3 == 0, "s").when(eid % 3 == 1, " ").alias("SkyConditionFlag"),
@@ -118,9 +120,11 @@ def raw_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Typed twin of raw_weather for the oracle: the text measures are written as
 # the doubles Spark parses them back to ('M' -> NULL, 'NaN' -> NaN).
-RAW_WEATHER_TYPED_SQL = f"""SELECT event_id AS ObsId,
+def raw_weather_typed_sql(hourly: bool = False) -> str:
+    clock = "hour(ts) * 100" if hourly else "hour(ts) * 100 + minute(ts)"
+    return f"""SELECT event_id AS ObsId,
        CAST(user_id % {WBAN_MOD} AS VARCHAR) AS WBAN,
-       CAST(hour(ts) * 100 + minute(ts) AS VARCHAR) AS Time,
+       CAST({clock} AS VARCHAR) AS Time,
        CASE WHEN event_id % 17 = 0 THEN NULL ELSE 12.0 END AS StationType,
        event_type AS SkyCondition,
        CASE WHEN event_id % 3 = 0 THEN 's' WHEN event_id % 3 = 1 THEN ' ' END AS SkyConditionFlag,
@@ -136,6 +140,9 @@ RAW_WEATHER_TYPED_SQL = f"""SELECT event_id AS ObsId,
        CAST(ts AS DATE) AS Date
 FROM events"""
 
+
+RAW_WEATHER_TYPED_SQL = raw_weather_typed_sql(False)
+
 # The text version (missing report / flag report see the raw strings).
 RAW_WEATHER_TEXT_SQL = f"""SELECT event_id AS ObsId,
        CAST(user_id % {WBAN_MOD} AS VARCHAR) AS WBAN,
@@ -207,6 +214,45 @@ RAW_FLIGHTS_SQL = f"""SELECT CAST(l_suppkey % 10 AS VARCHAR) AS OP_CARRIER_AIRLI
 FROM lineitem"""
 
 
+def raw_event_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchase events as raw flight rows, departing on the hour, so they
+    share dates and hours with the (hourly) raw observations."""
+    e = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    eid, v, u = F.col("event_id"), F.col("value"), F.col("user_id")
+    return e.select(
+        (u % 10).cast("string").alias("OP_CARRIER_AIRLINE_ID"),
+        eid.cast("string").alias("OP_CARRIER_FL_NUM"),
+        (u % NATIONS).cast("string").alias("ORIGIN_AIRPORT_ID"),
+        (u % DEST_MOD).cast("string").alias("DEST_AIRPORT_ID"),
+        (F.hour("ts") * 100).cast("string").alias("CRS_DEP_TIME"),
+        v.alias("ARR_DELAY_NEW"),
+        F.when(eid % 41 == 0, F.lit("1.00")).otherwise(F.lit("0.00")).alias("CANCELLED"),
+        F.when(eid % 43 == 0, F.lit("1")).otherwise(F.lit("0")).alias("DIVERTED"),
+        F.when(eid % 2 == 0, F.lit("120")).otherwise(F.lit("60")).alias("CRS_ELAPSED_TIME"),
+        F.when(v > 40, F.floor(v / 3).cast("string")).alias("WEATHER_DELAY"),
+        F.when(eid % 3 == 0, F.lit(None).cast("string")).otherwise(F.lit("5")).alias("NAS_DELAY"),
+        F.lit(None).cast("string").alias("_c12"),
+        F.year("ts").alias("Year"),
+        F.col("ts").cast("date").alias("FL_DATE"))
+
+
+RAW_EVENT_FLIGHTS_SQL = f"""SELECT CAST(user_id % 10 AS VARCHAR) AS OP_CARRIER_AIRLINE_ID,
+       CAST(event_id AS VARCHAR) AS OP_CARRIER_FL_NUM,
+       CAST(user_id % {NATIONS} AS VARCHAR) AS ORIGIN_AIRPORT_ID,
+       CAST(user_id % {DEST_MOD} AS VARCHAR) AS DEST_AIRPORT_ID,
+       CAST(hour(ts) * 100 AS VARCHAR) AS CRS_DEP_TIME,
+       value AS ARR_DELAY_NEW,
+       CASE WHEN event_id % 41 = 0 THEN '1.00' ELSE '0.00' END AS CANCELLED,
+       CASE WHEN event_id % 43 = 0 THEN '1' ELSE '0' END AS DIVERTED,
+       CASE WHEN event_id % 2 = 0 THEN '120' ELSE '60' END AS CRS_ELAPSED_TIME,
+       CASE WHEN value > 40 THEN CAST(CAST(floor(value / 3) AS BIGINT) AS VARCHAR) END AS WEATHER_DELAY,
+       CASE WHEN event_id % 3 = 0 THEN NULL ELSE '5' END AS NAS_DELAY,
+       CAST(NULL AS VARCHAR) AS _c12,
+       CAST(year(ts) AS INTEGER) AS Year,
+       CAST(ts AS DATE) AS FL_DATE
+FROM events WHERE event_type = 'purchase'"""
+
+
 # --- delay triples ---------------------------------------------------------------------
 
 def delays(spark: SparkSession, sf_dir: str) -> DataFrame:
