@@ -27,7 +27,7 @@ FLAG_SUFFIX = "Flag"
 LOOKUP_ID, LOOKUP_STATION, LOOKUP_TZ = "AirportID", "WBAN", "TimeZone"
 FACT_DELAYS = ("ARR_DELAY_NEW", "WEATHER_DELAY", "NAS_DELAY")
 MISSING_RATE = 0.20
-LOOKUP_MAX_ROWS = 1_000_000
+LOOKUP_MAX_ROWS = 100_000
 
 
 def flag_of(measure: str) -> str:
