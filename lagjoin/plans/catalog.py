@@ -687,6 +687,46 @@ def q_s13(spark, sf):
                                               for c in A.AIRPORT_HEADER])
 
 
+def q_s3(spark, sf):
+    """Station lookup -> CSV -> all-string scan -> lookup join."""
+    root = _scratch(spark, "lookup")
+    X.stations(spark, sf).write.mode("overwrite").option("header", "true").csv(root)
+    w = X.raw_weather(spark, sf).select("ObsId", "WBAN", "Time")
+    return T.join_stations(w, I.read_csv(spark, root))
+
+
+def q_s15(spark, sf):
+    """Classification metrics -> metrics.csv -> scan back as (metric, value)."""
+    root = _scratch(spark, "metrics")
+    m = M.classification_metrics(_rule_predictions(spark, sf), "label", "prediction")
+    K.write_metrics_csv(spark, m, root)
+    back = spark.read.option("header", "true").csv(root + "/metrics.csv")
+    return _round(back.select("metric", F.col("value").cast("double").alias("value")))
+
+
+def _sql_s15() -> str:
+    return f"""WITH m AS ({SQL_M8})
+SELECT 'accuracy' AS metric, accuracy AS value FROM m
+UNION ALL SELECT 'f1Score', f1Score FROM m
+UNION ALL SELECT 'recall', recall FROM m
+UNION ALL SELECT 'precision', precision FROM m"""
+
+
+def q_a4(spark, sf):
+    return A.range_stats(X.table(spark, sf, "events"), "ts", "events")
+
+
+SQL_A4 = """SELECT min(ts) AS min_date, max(ts) AS max_date, count(*) AS size, 'events' AS dataset
+FROM events"""
+
+
+def q_a8(spark, sf):
+    return X.table(spark, sf, "orders").select("o_orderpriority").distinct()
+
+
+SQL_A8 = "SELECT DISTINCT o_orderpriority FROM orders"
+
+
 # --- ML ----------------------------------------------------------------------------------
 
 def q_m1(spark, sf):
@@ -873,6 +913,10 @@ CATALOG: dict[str, tuple[Query, str | None]] = {
     "S2_S4_obs_ingest_roundtrip": (q_s2_s4, SQL_S2_S4),
     "S12_S11_result_roundtrip": (q_s12_s11, SQL_S12_S11),
     "S13_report_csv_roundtrip": (q_s13, SQL_A1),
+    "S3_lookup_csv_join": (q_s3, SQL_J3),
+    "S15_metrics_csv_roundtrip": (q_s15, _sql_s15()),
+    "A4_range_stats": (q_a4, SQL_A4),
+    "A8_distinct_values": (q_a8, SQL_A8),
     "M1_string_index": (q_m1, SQL_M1),
     "M2_epoch_seconds": (q_m2, SQL_M2),
     "M4_label_index": (q_m4, SQL_M4),

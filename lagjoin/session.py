@@ -39,23 +39,21 @@ def get_spark(master: str | None = None, app: str = "lagjoin",
 
 def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
     """Shared folder for lineage cuts: ``spark.checkpoint.dir`` from the
-    session.  ``default`` is used (and installed) only when it is unset --
-    tests pass a scratch folder; on a cluster the setting must exist."""
+    session (or the context's checkpoint folder).  ``default`` is installed
+    only when neither is set -- tests pass a scratch folder; on a cluster the
+    setting must exist."""
     d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
+        d = sc.getCheckpointDir()
     if not d:
         if default is None:
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; configure a shared folder "
                 "for the cluster (tests may pass default=...)")
         d = default
-        spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # pragma: no cover - connect sessions have no context
-        pass
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
