@@ -104,7 +104,7 @@ def smallest_by_hash(df: DataFrame, n: int, key_cols: Sequence[str] | None = Non
         if len(prefix) >= width:
             # fully identical rows: any `remaining` copies are the answer;
             # generate them in parallel from one representative row
-            one = x.where(F.col("__s") == F.lit(prefix)).limit(1)
+            one = F.broadcast(x.where(F.col("__s") == F.lit(prefix)).limit(1))  # 1 row
             parts.append(one.crossJoin(
                 df.sparkSession.range(remaining).select(F.lit(0).alias("__r"))).drop("__r"))
             break

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
+from lagjoin.operators.columns import fits_in
 from lagjoin.operators.ml import metrics_frame
 from lagjoin.sources.ingest import write_partitioned
 
@@ -23,8 +24,7 @@ def store_results(df: DataFrame, path: str, partitions: Sequence[str] = RESULT_P
 def write_report_csv(df: DataFrame, path: str, max_rows: int = REPORT_MAX_ROWS) -> None:
     """Single-file CSV with header (overwrite).  Reports are small by
     construction; the row bound is checked before coalescing to one task."""
-    n = df.limit(max_rows + 1).count()
-    if n > max_rows:
+    if not fits_in(df, max_rows):
         raise ValueError(f"report has more than {max_rows} rows; write it partitioned")
     df.coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
 
