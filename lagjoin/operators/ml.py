@@ -150,6 +150,19 @@ def train_random_forest(train: DataFrame, test: DataFrame, label_col: str,
     return model, pred, metrics
 
 
+def random_forest(df: DataFrame, label_col: str, feature_cols: Sequence[str],
+                  num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH,
+                  folds: int | None = None, train_fraction: float = 0.8, seed: int = 42,
+                  handle_invalid: str = "skip") -> dict[str, float]:
+    """M6 with the original single-frame signature: string columns indexed
+    (M1), dates/timestamps to epoch seconds (M2), a seeded 80/20 random
+    split, fit, predict, metrics."""
+    prepared = prepare_features(df, label_col)
+    train, test = prepared.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)
+    return train_random_forest(train, test, label_col, feature_cols, num_trees, max_depth,
+                               folds, seed, handle_invalid)[2]
+
+
 def classification_metrics(pred: DataFrame, label_col: str, prediction_col: str = "prediction"
                            ) -> dict[str, float]:
     """M8 with Spark's evaluator: accuracy, f1, weighted recall/precision."""

@@ -55,15 +55,21 @@ def align_pair(facts: DataFrame, obs: DataFrame, fact_date: str = "FL_DATE",
 def read_pair(spark: SparkSession, facts_path: str, obs_path: str, aligned: bool = True,
               fact_date: str = "FL_DATE", obs_date: str = "Date",
               joined_date: str = "FT_FL_DATE", fraction: float | None = None,
-              seed: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+              seed: int | None = None, stats_csv: str | None = None
+              ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Read both tables.  ``aligned=True``: filter to the common
     range (S8) with 4-row statistics.  ``aligned=False`` (tables already
-    joined): both dated by ``joined_date``, no filtering, 2-row statistics."""
+    joined): both dated by ``joined_date``, no filtering, 2-row statistics,
+    also written to ``stats_csv`` when given."""
     facts = read_parquet(spark, facts_path, fraction, seed)
     obs = read_parquet(spark, obs_path, fraction, seed)
     if aligned:
         return align_pair(facts, obs, fact_date, obs_date)
-    return facts, obs, load_stats(facts, obs, joined_date)
+    stats = load_stats(facts, obs, joined_date)
+    if stats_csv:
+        from lagjoin.sources.sinks import write_report_csv
+        write_report_csv(stats, stats_csv)
+    return facts, obs, stats
 
 
 def load_stats(facts: DataFrame, obs: DataFrame, date_col: str) -> DataFrame:

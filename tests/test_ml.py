@@ -75,3 +75,8 @@ def test_single_class_and_null_features(spark):
                                          ["num"], num_trees=2, max_depth=2)
     assert met["accuracy"] == 1.0
     assert pred.count() == df.where("label = 1 AND num IS NOT NULL").count()
+
+
+def test_random_forest_single_frame(spark):
+    met = M.random_forest(_frame(spark), "label", ["cat", "num"], num_trees=4, max_depth=3)
+    assert met["accuracy"] > 0.8 and met["numTrees"] == 4.0

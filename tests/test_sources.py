@@ -95,3 +95,14 @@ def test_report_schema_metrics(spark, tmp_out):
     K.write_metrics_csv(spark, {"accuracy": 0.5, "numTrees": 20.0}, tmp_out + "/m")
     back = spark.read.option("header", "true").csv(tmp_out + "/m/metrics.csv").collect()
     assert {r["metric"]: float(r["value"]) for r in back} == {"accuracy": 0.5, "numTrees": 20.0}
+
+
+def test_read_pair_joined_mode_writes_stats(spark, tmp_out):
+    df = spark.createDataFrame([(dt.date(2013, 1, d), d) for d in (1, 2, 3)], "FT_FL_DATE date, v int")
+    df.write.parquet(tmp_out + "/a")
+    df.where("v > 1").write.parquet(tmp_out + "/b")
+    f, o, st = P.read_pair(spark, tmp_out + "/a", tmp_out + "/b", aligned=False,
+                           stats_csv=tmp_out + "/stats.csv")
+    rows = {r["dataset"]: r["size"] for r in st.collect()}
+    assert rows == {"flight_initial": 3, "weather_initial": 2}
+    assert spark.read.option("header", "true").csv(tmp_out + "/stats.csv").count() == 2
