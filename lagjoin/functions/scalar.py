@@ -94,6 +94,14 @@ def to_date_text(c, fmt: str = DATE_FORMAT) -> Column:
     return F.try_to_timestamp(_c(c).cast("string"), F.lit(fmt)).cast("date")
 
 
+def trunc_hour(ts) -> Column:
+    """Wall-clock timestamp truncated to the hour, built from its fields (no
+    session time zone involved, unlike ``date_trunc`` on TIMESTAMP_NTZ)."""
+    c = _c(ts)
+    return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c),
+                                F.lit(0), F.lit(0))
+
+
 def hours_before(ts, hours) -> Column:
     """ts - hours (typed interval arithmetic on wall time)."""
     h = F.lit(hours) if isinstance(hours, int) else _c(hours)
@@ -109,10 +117,15 @@ def arrival_time(dep_ts, elapsed_minutes, tz_delta_hours) -> Column:
 
 # --- missing-value predicates -------------------------------------------
 
+def qcol(name: str) -> Column:
+    """Column by exact name (dots, spaces and other characters allowed)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def is_missing(c: str, dtype: DataType) -> Column:
     """Missing by type: null or NaN for float/double, null or '' for
     strings, null otherwise."""
-    col = F.col(c)
+    col = qcol(c)
     if isinstance(dtype, (DoubleType, FloatType)):
         return col.isNull() | F.isnan(col)
     if isinstance(dtype, StringType):

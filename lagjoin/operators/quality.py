@@ -84,7 +84,7 @@ def flag_report(df: DataFrame, flag: str = S.SUSPECT_FLAG,
         spark = df.sparkSession
         return spark.createDataFrame([], StructType([StructField(c_name, StringType()),
                                                      StructField(c_cnt, LongType())]))
-    one = df.agg(*[F.count_if(F.col(c) == F.lit(flag)).alias(f"__f{i}") for i, c in enumerate(cols)])
+    one = df.agg(*[F.count_if(S.qcol(c) == F.lit(flag)).alias(f"__f{i}") for i, c in enumerate(cols)])
     rows = [F.struct(F.lit(c).alias(c_name), F.col(f"__f{i}").cast("long").alias(c_cnt))
             for i, c in enumerate(cols)]
     return one.select(_inline(rows))

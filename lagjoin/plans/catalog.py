@@ -146,7 +146,7 @@ def q_j6_stream(spark, sf):
 
 def q_p13(spark, sf):
     e = X.table(spark, sf, "events").where(F.col("event_type") == "purchase")
-    t = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    t = S.trunc_hour("ts")
     f = e.select(F.col("event_id").alias("fact_id"),
                  (F.col("user_id") % X.NATIONS).cast("string").alias("origin_id"),
                  (F.col("user_id") % X.DEST_MOD).cast("string").alias("dest_id"),

@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lagjoin.functions.scalar import trunc_hour
+
 NATIONS = 25          # origin stations of the lag fixtures (user_id % 25)
 DEST_MOD = 7          # destination stations (user_id % 7)
 WBAN_MOD = 23         # raw observation station codes; 20..22 are unknown
@@ -35,7 +37,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _hour(c: str):
-    return F.date_trunc("hour", F.col(c)).cast("timestamp_ntz")
+    return trunc_hour(c)
 
 
 # --- stations -----------------------------------------------------------------

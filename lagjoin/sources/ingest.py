@@ -65,8 +65,11 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
     sampled share needs.  The hash depends only on the row, so a retried
     task rebuilds exactly the same partitions."""
     if cluster:
+        # an explicit count keeps AQE from folding the writers into a few
+        # tasks (each date is one file either way; the count sets parallelism)
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         salt = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-        df = df.repartitionByRange(*[F.col(f"`{c}`") for c in partition_cols], salt)
+        df = df.repartitionByRange(n, *[F.col(f"`{c}`") for c in partition_cols], salt)
     df.write.mode(mode).partitionBy(*partition_cols).parquet(path)
 
 

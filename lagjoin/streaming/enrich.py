@@ -15,6 +15,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lagjoin.functions.scalar import trunc_hour
 from lagjoin.operators.lagged import lag_join_long
 from lagjoin.plans import fixtures as X
 
@@ -43,7 +44,7 @@ def purchase_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a file stream lists a directory: point it at the folder, glob the file
     e = (spark.readStream.schema(schema).option("basePath", sf_dir.rstrip("/"))
          .parquet(f"{sf_dir.rstrip('/')}/events.parque[t]"))
-    t = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    t = trunc_hour("ts")
     return (e.where(F.col("event_type") == "purchase")
              .select(F.col("event_id").alias("fact_id"),
                      (F.col("user_id") % X.NATIONS).alias("origin"),
