@@ -102,11 +102,13 @@ def smallest_by_hash(df: DataFrame, n: int, key_cols: Sequence[str] | None = Non
             parts.append(bucket.orderBy("__s").limit(remaining))
             break
         if len(prefix) >= width:
-            # fully identical rows: any `remaining` copies are the answer;
-            # generate them in parallel from one representative row
-            one = F.broadcast(x.where(F.col("__s") == F.lit(prefix)).limit(1))  # 1 row
-            parts.append(one.crossJoin(
-                df.sparkSession.range(remaining).select(F.lit(0).alias("__r"))).drop("__r"))
+            # fully identical rows: any `remaining` copies are the answer.
+            # Read the one representative row and generate the copies in
+            # parallel from a range -- typed literals, no join.
+            rep = x.where(F.col("__s") == F.lit(prefix)).limit(1).collect()[0]
+            fields = {f.name: f.dataType for f in x.schema.fields}
+            parts.append(df.sparkSession.range(remaining).select(
+                *[F.lit(rep[c]).cast(fields[c]).alias(c) for c in x.columns]))
             break
     out = parts[0]
     for p in parts[1:]:

@@ -181,18 +181,15 @@ def confusion_metrics(pred: DataFrame, label_col: str, prediction_col: str = "pr
                                    F.sum(F.when(F.col("l") == F.col("p"), F.col("c")).otherwise(0)).alias("tp"))
     by_pred = cm.groupBy(F.col("p").alias("l")).agg(F.sum("c").alias("n_p"))
     per = by_label.join(by_pred, "l", "left").fillna(0, ["n_p"])
-    # one row per class: crossing it with the one-row total is tiny
-    per = per.crossJoin(by_label.agg(F.sum("n_l").alias("total")))
     prec = F.when(F.col("n_p") > 0, F.col("tp") / F.col("n_p")).otherwise(F.lit(0.0))
     rec = F.col("tp") / F.col("n_l")
     f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(F.lit(0.0))
-    w = F.col("n_l") / F.col("total")
-    per = per.select(w.alias("w"), prec.alias("prec"), rec.alias("rec"), f1.alias("f1"),
-                     F.col("tp"), F.col("total"))
-    return per.agg((F.sum("tp") / F.first("total")).alias("accuracy"),
-                   F.sum(F.col("w") * F.col("f1")).alias("f1Score"),
-                   F.sum(F.col("w") * F.col("rec")).alias("recall"),
-                   F.sum(F.col("w") * F.col("prec")).alias("precision"))
+    # class-frequency weights: sum(n_l * x) / sum(n_l) -- no total to join in
+    n = F.sum("n_l")
+    return per.agg((F.sum("tp") / n).alias("accuracy"),
+                   (F.sum(F.col("n_l") * f1) / n).alias("f1Score"),
+                   (F.sum(F.col("n_l") * rec) / n).alias("recall"),
+                   (F.sum(F.col("n_l") * prec) / n).alias("precision"))
 
 
 # --- M9 -----------------------------------------------------------------------
