@@ -127,7 +127,8 @@ def train_random_forest(train: DataFrame, test: DataFrame, label_col: str,
                         ) -> tuple[PipelineModel, DataFrame, dict[str, float]]:
     """M6 - M8 (+ M10 when ``folds``): fit label indexer + assembler +
     random forest on ``train``, predict ``test`` and report accuracy, f1,
-    weighted recall and precision plus the forest size.  Errors propagate."""
+    weighted recall and precision (one confusion-matrix pass; equal to
+    Spark's evaluator) plus the forest size.  Errors propagate."""
     validate_inputs(train, label_col, feature_cols, num_trees, max_depth, folds)
     rf = RandomForestClassifier(labelCol="indexedLabel", featuresCol="indexedFeatures",
                                 numTrees=num_trees, maxDepth=max_depth, seed=seed)
@@ -143,7 +144,9 @@ def train_random_forest(train: DataFrame, test: DataFrame, label_col: str,
     bad = pred.where(F.col("indexedLabel").isNull() | F.col("prediction").isNull())
     if not bad.isEmpty():
         raise ValueError("NULL values found in indexedLabel or prediction")
-    metrics = classification_metrics(pred, "indexedLabel", "prediction")
+    # all four metrics from one confusion-matrix aggregate (one pass)
+    metrics = {k: float(v) for k, v in
+               confusion_metrics(pred, "indexedLabel", "prediction").first().asDict().items()}
     forest = model.stages[-1]
     metrics["numTrees"] = float(forest.getNumTrees)
     metrics["maxDepth"] = float(forest.getMaxDepth())
