@@ -145,8 +145,10 @@ def train_random_forest(train: DataFrame, test: DataFrame, label_col: str,
     if not bad.isEmpty():
         raise ValueError("NULL values found in indexedLabel or prediction")
     # all four metrics from one confusion-matrix aggregate (one pass)
-    metrics = {k: float(v) for k, v in
-               confusion_metrics(pred, "indexedLabel", "prediction").first().asDict().items()}
+    row = confusion_metrics(pred, "indexedLabel", "prediction").first().asDict()
+    if row["accuracy"] is None:
+        raise ValueError("the test part is empty: no metrics")
+    metrics = {k: float(v) for k, v in row.items()}
     forest = model.stages[-1]
     metrics["numTrees"] = float(forest.getNumTrees)
     metrics["maxDepth"] = float(forest.getMaxDepth())

@@ -80,3 +80,9 @@ def test_single_class_and_null_features(spark):
 def test_random_forest_single_frame(spark):
     met = M.random_forest(_frame(spark), "label", ["cat", "num"], num_trees=4, max_depth=3)
     assert met["accuracy"] > 0.8 and met["numTrees"] == 4.0
+
+
+def test_empty_test_part_raises(spark):
+    df = M.prepare_features(_frame(spark), "label")
+    with pytest.raises(ValueError):
+        M.train_random_forest(df, df.limit(0), "label", ["num"], num_trees=2, max_depth=2)
