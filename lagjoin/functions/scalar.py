@@ -24,7 +24,8 @@ SUSPECT_FLAG = "s"                     # quality flag marking a suspect value
 
 
 def _c(x) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+    """Column by exact (flat) name, or a Column as is."""
+    return F.col("`" + x.replace("`", "``") + "`") if isinstance(x, str) else x
 
 
 def to_double(c) -> Column:
