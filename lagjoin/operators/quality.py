@@ -96,8 +96,8 @@ def mean_where(df: DataFrame, value_col: str, flag_col: str,
                flag: str = S.SUSPECT_FLAG, alias: str = "mean") -> DataFrame:
     """Mean of ``value_col`` over rows whose flag is not ``flag`` (rows
     with a NULL flag are excluded, as ``!=`` is NULL there).  One row."""
-    keep = F.col(flag_col) != F.lit(flag)
-    return df.agg(F.avg(F.when(keep, F.col(value_col))).alias(alias))
+    keep = S.qcol(flag_col) != F.lit(flag)
+    return df.agg(F.avg(F.when(keep, S.qcol(value_col))).alias(alias))
 
 
 def mode_where(df: DataFrame, value_col: str, flag_col: str | None = None,
@@ -105,8 +105,8 @@ def mode_where(df: DataFrame, value_col: str, flag_col: str | None = None,
     """Most frequent value (NULL is a value of its own), optionally over
     rows whose flag is not ``flag``; ties go to the smallest value, NULL
     first.  Returns (value, count), at most one row."""
-    src = df if flag_col is None else df.where(F.col(flag_col) != F.lit(flag))
-    counted = src.groupBy(F.col(value_col).alias("value")).agg(F.count(F.lit(1)).alias("count"))
+    src = df if flag_col is None else df.where(S.qcol(flag_col) != F.lit(flag))
+    counted = src.groupBy(S.qcol(value_col).alias("value")).agg(F.count(F.lit(1)).alias("count"))
     best = counted.agg(F.min(F.struct((-F.col("count")).alias("nc"),
                                       F.col("value").isNotNull().alias("nn"),
                                       F.col("value").alias("value"))).alias("b"))
@@ -151,28 +151,28 @@ def impute_and_correct(df: DataFrame, value_cols: Sequence[str] = (),
                  if not S.is_numeric(types[v])]
 
     def missing(c: str) -> Column:
-        col = F.col(c)
+        col = S.qcol(c)
         if isinstance(types[c], (DoubleType, FloatType)):
             return col.isNull() | F.isnan(col)
         return col.isNull()
 
     def nan(c: str) -> Column:
         if isinstance(types[c], (DoubleType, FloatType)):
-            return F.isnan(F.col(c))
+            return F.isnan(S.qcol(c))
         return F.lit(False)
 
     # pass 1: one global aggregate for shares, centres and per-pair sums
     aggs = [F.count(F.lit(1)).alias("n")]
     for j, c in enumerate(cand):
         aggs.append(F.count_if(missing(c)).alias(f"miss{j}"))
-        present = F.when(~missing(c), F.col(c).cast("double"))
+        present = F.when(~missing(c), S.qcol(c).cast("double"))
         centre = F.avg(present) if strategy == "mean" else F.percentile_approx(present, 0.5, 10000)
         aggs.append(centre.alias(f"ctr{j}"))
     for i, v, f in num_pairs:
-        keep = F.coalesce(F.col(f) != F.lit(flag), F.lit(False))
-        aggs += [F.sum(F.when(keep & ~missing(v), F.col(v).cast("double"))).alias(f"ps{i}"),
+        keep = F.coalesce(S.qcol(f) != F.lit(flag), F.lit(False))
+        aggs += [F.sum(F.when(keep & ~missing(v), S.qcol(v).cast("double"))).alias(f"ps{i}"),
                  F.count_if(keep & ~missing(v)).alias(f"pc{i}"),
-                 F.count_if(keep & F.col(v).isNull()).alias(f"pn{i}"),
+                 F.count_if(keep & S.qcol(v).isNull()).alias(f"pn{i}"),
                  F.count_if(keep & nan(v)).alias(f"pq{i}")]
     st = df.agg(*aggs).first().asDict()
     n = st["n"] or 0
@@ -199,8 +199,8 @@ def impute_and_correct(df: DataFrame, value_cols: Sequence[str] = (),
     # pass 2: modes of the non-numeric pairs, one grouped count for all
     if txt_pairs:
         stacked = df.select(F.explode(F.array(*[
-            F.struct(F.lit(i).alias("k"), F.col(v).cast("string").alias("v"),
-                     F.coalesce(F.col(f) != F.lit(flag), F.lit(False)).alias("keep"))
+            F.struct(F.lit(i).alias("k"), S.qcol(v).cast("string").alias("v"),
+                     F.coalesce(S.qcol(f) != F.lit(flag), F.lit(False)).alias("keep"))
             for i, v, f in txt_pairs])).alias("s")).select("s.*").where("keep")
         best = (stacked.groupBy("k", "v").agg(F.count(F.lit(1)).alias("c"))
                 .groupBy("k").agg(F.min(F.struct((-F.col("c")).alias("nc"),
@@ -215,18 +215,18 @@ def impute_and_correct(df: DataFrame, value_cols: Sequence[str] = (),
     # single projection applying every fix
     exprs = {}
     for c, val in fill.items():
-        col = F.col(c)
+        col = S.qcol(c)
         exprs[c] = F.when(missing(c), F.lit(val).cast(types[c])).otherwise(col)
     for i, (v, f) in enumerate(zip(value_cols, flag_cols)):
         ok, val = repl.get(v, (False, None))
         if not ok:
             continue
-        base = exprs.get(v, F.col(v))
+        base = exprs.get(v, S.qcol(v))
         if S.is_numeric(types[v]):
             lit = F.lit(val).cast("double")
         else:
             lit = F.lit(val).cast(types[v]) if val is not None else F.lit(None).cast(types[v])
-        exprs[v] = F.when(F.col(f) == F.lit(flag), lit).otherwise(base)
+        exprs[v] = F.when(S.qcol(f) == F.lit(flag), lit).otherwise(base)
     return df.withColumns(exprs) if exprs else df
 
 

@@ -114,3 +114,11 @@ def test_bad_arguments(spark):
         Q.impute_and_correct(_raw_obs(spark), ["x"], [])
     with pytest.raises(ValueError):
         Q.impute_and_correct(_raw_obs(spark), ["nope"], ["xf"])
+
+
+def test_odd_names_in_repairs(spark):
+    df = _raw_obs(spark).withColumnRenamed("y", "y.val").withColumnRenamed("xf", "x flag")
+    out = {r["id"]: r for r in Q.impute_and_correct(df, ["y.val"], ["x flag"], 0.2).collect()}
+    assert out[3]["y.val"] == pytest.approx((1 + 2 + 4 + 5 + 6 + 7 + 8 + 9 + 10) / 9)
+    assert Q.mean_where(df, "y.val", "x flag").first()["mean"] is not None
+    assert Q.mode_where(df, "y.val", "x flag").count() == 1
