@@ -137,6 +137,14 @@ def q_j7_time_only_joins(spark, sf):
     return _wide(spark, sf, "joins", False)
 
 
+def q_j7_obs_explode(spark, sf):
+    return _wide(spark, sf, "obs_explode", True)
+
+
+def q_j7_time_only_obs_explode(spark, sf):
+    return _wide(spark, sf, "obs_explode", False)
+
+
 def q_j6_stream(spark, sf):
     from lagjoin.streaming.enrich import enrich_stream_once
     return enrich_stream_once(spark, sf, _scratch(spark, "stream"))
@@ -876,6 +884,8 @@ CATALOG: dict[str, tuple[Query, str | None]] = {
     "J7_lag_wide_joins": (q_j7_joins, _wide_sql(True)),
     "J7_lag_wide_time_only": (q_j7_time_only, _wide_sql(False)),
     "J7_lag_wide_time_only_joins": (q_j7_time_only_joins, _wide_sql(False)),
+    "J7_lag_wide_obs_explode": (q_j7_obs_explode, _wide_sql(True)),
+    "J7_lag_wide_time_only_obs_explode": (q_j7_time_only_obs_explode, _wide_sql(False)),
     "P13_P14_arrival_keys": (q_p13, SQL_P13),
     "P12_obs_key": (q_p12, SQL_P12),
     "P1_P2_rename": (q_p1_p2, SQL_P1_P2),

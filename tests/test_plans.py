@@ -66,3 +66,15 @@ def test_quality_recipe_uses_two_statistics_jobs(spark):
     # against one job per column and per flag pair done one by one
     assert len(jobs) <= 5, jobs
     assert before is not None
+
+
+def test_wide_obs_explode_shuffles_observations_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _final_plan(Cat.q_j7_obs_explode(spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the exploded observations are shuffled once and reused by the
+    # destination join; the facts are never exploded before a shuffle
+    assert "ReusedExchange" in plan
+    assert plan.count("Generate explode") == 1
