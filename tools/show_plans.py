@@ -25,6 +25,10 @@ CASES = [
                      "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"},
      "Wide lag join, aggregate strategy, shuffle joins: two lag joins on narrow keys, one "
      "per-fact aggregate, the join back reuses the aggregate's partitioning."),
+    ("J7_lag_wide_obs_explode", {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                                 "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"},
+     "Wide lag join exploding the observations instead of the facts: fact keys are shuffled "
+     "once per side, the exploded observations once (reused by the destination join)."),
     ("Q6_obs_table", {}, "Observation recipe after its two statistics passes: one projection "
                          "with literal means/modes, then the checked-broadcast station lookup."),
     ("S9_load_stats", {}, "Common date range + load statistics: 1-row aggregates with literal "
