@@ -94,6 +94,14 @@ def q_j6(spark, sf):
     return _lag_long(spark, sf, with_dest=True)
 
 
+def q_j6_obs_explode(spark, sf):
+    f, o = X.facts(spark, sf), X.obs(spark, sf)
+    return L.lag_join_long(f, o, origin_col="origin", origin_ts_col="t", station_col="station",
+                           obs_ts_col="ts", dest_col="dest", dest_ts_col="arr",
+                           origin_lag_col="t_lag", dest_lag_col="arr_lag", lags=LAGS,
+                           strategy="obs_explode", key_col="fact_id")
+
+
 def _wide(spark, sf, strategy="aggregate", match_station=True):
     f = X.facts(spark, sf)
     o = X.obs(spark, sf) if match_station else X.obs_hour(spark, sf)
@@ -880,6 +888,7 @@ CATALOG: dict[str, tuple[Query, str | None]] = {
     "J5_lag_long_origin": (q_j5, _long_sql(False)),
     "J6_lag_long": (q_j6, _long_sql(True)),
     "J6_lag_long_stream": (q_j6_stream, _long_sql(True)),
+    "J6_lag_long_obs_explode": (q_j6_obs_explode, _long_sql(True)),
     "J7_lag_wide": (q_j7, _wide_sql(True)),
     "J7_lag_wide_joins": (q_j7_joins, _wide_sql(True)),
     "J7_lag_wide_time_only": (q_j7_time_only, _wide_sql(False)),
