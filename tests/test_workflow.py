@@ -54,3 +54,13 @@ def test_run_end_to_end(spark, raw_files, tmp_out):
     for d in ("reports/carrier_stats.csv", "joined_cols", "joined_lines", "schema_lines.json",
               "metrics_DS4_lines/metrics.csv", "ft", "ot"):
         assert os.path.exists(os.path.join(out, d)), d
+
+
+def test_cli_run(spark, raw_files, tmp_out):
+    from lagjoin.__main__ import main
+    out = os.path.join(tmp_out, "cli")
+    assert main(["run", "--facts", raw_files + "/fp", "--obs", raw_files + "/wp",
+                 "--stations", raw_files + "/stations", "--out", out, "--mode", "lines",
+                 "--obs-cols", "OT_ORIGIN_AIRPORT_ID,OT_WEATHER_TIMESTAMP,OT_Visibility",
+                 "--ds-type", "DS4", "--on-time", "5", "--trees", "3", "--depth", "2"]) == 0
+    assert os.path.exists(os.path.join(out, "metrics_DS4_lines", "metrics.csv"))
