@@ -854,12 +854,17 @@ def q_w1(spark, sf):
     ot = T.observation_table(X.raw_weather(spark, sf, hourly=True), st,
                              measures=("SkyCondition", "Visibility", "WeatherType", "WindSpeed"),
                              numeric_cols=("StationType", "Visibility", "WindSpeed"))
-    _, lines = W.join(ft, ot, "lines", obs_cols=_W1_OBS)
+    # hourly readings are made unique per (station, hour) first: duplicates
+    # would make the two LEFT joins emit origin x destination pairs
+    _, lines = W.join(ft, ot, "lines", obs_cols=_W1_OBS, dedupe="mean")
     return _round(lines.select(*_W1_OUT))
 
 
 SQL_W1 = _sql_round(f"""WITH ft AS ({_fact_table_sql(X.RAW_EVENT_FLIGHTS_SQL)}),
-ot AS ({_obs_table_sql(X.raw_weather_typed_sql(True))}),
+ot0 AS ({_obs_table_sql(X.raw_weather_typed_sql(True))}),
+ot AS (SELECT OT_ORIGIN_AIRPORT_ID, OT_WEATHER_TIMESTAMP, avg(OT_Visibility) AS OT_Visibility,
+              min(OT_SkyCondition) AS OT_SkyCondition
+       FROM ot0 GROUP BY OT_ORIGIN_AIRPORT_ID, OT_WEATHER_TIMESTAMP),
 fm AS (SELECT ft.*, ft.FT_TIMESTAMP + to_seconds(CAST(trunc(ft.FT_CRS_ELAPSED_TIME * 60) AS BIGINT)
                     + CAST(trunc(ft.FT_Delta_Lag * 3600) AS BIGINT)) AS FT_DEST_DATE_TIME FROM ft),
 x AS (SELECT fm.*, fm.FT_DEST_AIRPORT_ID || '_' || CAST(fm.FT_DEST_DATE_TIME AS VARCHAR) AS FT_JOIN_KEY_DEST,

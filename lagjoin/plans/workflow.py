@@ -38,7 +38,7 @@ from lagjoin.sources import sinks as K
 FACT_KEY = "FT_ROW_ID"
 FT_ORIGIN, FT_DEST = "FT_ORIGIN_AIRPORT_ID", "FT_DEST_AIRPORT_ID"
 FT_TS, FT_ARRIVAL = "FT_TIMESTAMP", "FT_DEST_DATE_TIME"
-OT_STATION, OT_TS = "OT_ORIGIN_AIRPORT_ID", "OT_WEATHER_TIMESTAMP"
+OT_STATION, OT_TS, OT_DATE = "OT_ORIGIN_AIRPORT_ID", "OT_WEATHER_TIMESTAMP", "OT_Date"
 LABEL_LEAKS = ("FT_ARR_DELAY_NEW", "FT_WEATHER_DELAY", "FT_NAS_DELAY")
 REPORTS = ("parquet_files_stats", "flight_missingValues", "weather_missingValues", "countSinFlag",
            "descriptive_stats", "carrier_stats", "delayed_stats")
@@ -84,7 +84,8 @@ def join(ft: DataFrame, ot: DataFrame, mode: str = "lines", obs_cols: Sequence[s
     if mode not in MODES:
         raise ValueError(f"mode {mode!r} not in {MODES}")
     if dedupe is not None:
-        keep = list(dict.fromkeys([OT_STATION, OT_TS, *(obs_cols or ot.columns)]))
+        extra = [OT_DATE] if OT_DATE in ot.columns else []   # needed by the key mapping
+        keep = list(dict.fromkeys([OT_STATION, OT_TS, *extra, *(obs_cols or ot.columns)]))
         ot = L.dedupe_observations(ot.select(*keep), OT_STATION, OT_TS, how=dedupe)
     ftm, otm = L.map_facts(ft), L.map_observations(ot)
     kw = dict(origin_col=FT_ORIGIN, origin_ts_col=FT_TS, station_col=OT_STATION,
