@@ -64,3 +64,13 @@ def test_cli_run(spark, raw_files, tmp_out):
                  "--obs-cols", "OT_ORIGIN_AIRPORT_ID,OT_WEATHER_TIMESTAMP,OT_Visibility",
                  "--ds-type", "DS4", "--on-time", "5", "--trees", "3", "--depth", "2"]) == 0
     assert os.path.exists(os.path.join(out, "metrics_DS4_lines", "metrics.csv"))
+
+
+def test_cli_ingest(spark, raw_files, tmp_out):
+    from lagjoin.__main__ import main
+    fo, wo = os.path.join(tmp_out, "f"), os.path.join(tmp_out, "w")
+    assert main(["ingest", "--facts", raw_files + "/flights", "--obs", raw_files + "/weather",
+                 "--facts-out", fo, "--obs-out", wo]) == 0
+    f, w = spark.read.parquet(fo), spark.read.parquet(wo)
+    assert dict(f.dtypes)["FL_DATE"] == "date" and dict(w.dtypes)["Date"] == "date"
+    assert f.count() == spark.read.parquet(raw_files + "/fp").count()
