@@ -37,6 +37,7 @@ HEADLINE = [
     "D4_DS4",
     "D7_D8_balanced_split",     # labelled, exactly balanced, hash-split datasets
     "M6_random_forest",
+    "W1_raw_to_long_lag_join",  # raw rows -> both recipes -> keys -> long lag join
 ]
 
 
@@ -51,6 +52,7 @@ PHASES = {
                 "A2_carrier_performance", "A3_delay_breakdown"],
     "FilteredDataFrames": ["D4_DS4", "D7_D8_balanced_split"],
     "RandomForest": ["M6_random_forest"],
+    "end_to_end_raw_to_long_join": ["W1_raw_to_long_lag_join"],
 }
 
 
