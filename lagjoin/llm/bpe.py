@@ -148,10 +148,8 @@ class WordBPE:
         order, longest = self.order, self.longest
         while at < n:
             end = min(n, at + (longest.get(word[at:at + 2]) or 1))
-            if end == n - 1 and word[end] == END:
+            while (token := order.get(word[at:end]) if end != n - 1 or word[end] != END else None) is None:
                 end -= 1  # the end mark never stands alone
-            while (token := order.get(word[at:end])) is None:
-                end -= 1
             out.append(token)
             at = end
         return out

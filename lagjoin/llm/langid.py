@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lagjoin.llm.pretok import LETTER, classes, code_points
 from lagjoin.llm.shared import mixed, ship, table, text_groups, texts_of
@@ -153,7 +154,7 @@ def predict(df: DataFrame, keep: list[str], model: tuple[list[str], np.ndarray],
                     [*keep, "lang_pred", "score", "proportions"])
 
     schema = (df.select(*keep).schema.add("lang_pred", "string").add("score", "double")
-              .add("proportions", "array<double>"))
+              .add("proportions", T.ArrayType(T.DoubleType())))
     return df.select(*keep, text_col).mapInArrow(run, schema)
 
 
