@@ -221,22 +221,24 @@ def test_wavelet_support():
 
 
 def test_toxicity_held_out(spark):
-    docs, labels = (spark.read.parquet(f"{SF_CHECK}/{t}.parquet") for t in ("documents", "labels"))
+    # a tenth of the labels are toxic, in four languages: this takes sf0.1
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.train(docs, labels.where("doc_id % 3 <> 0"))
     got = toxicity.predict(docs, ["doc_id"], model).join(
         labels.where("doc_id % 3 = 0").select("doc_id", F.col("toxic").alias("grade")), "doc_id").collect()
     assert len(got) > 100
     right = sum((r["severity"] > .5) == (r["grade"] == 1) for r in got)
-    assert right / len(got) > 0.95
+    assert right / len(got) > 0.97
 
 
 def test_ordinal_grades():
     rng = np.random.default_rng(3)
     level = rng.integers(0, 4, 600)
-    feats = [np.unique(np.concatenate([rng.integers(100, 160, 5), np.arange(g)])) for g in level]
+    sets = [np.unique(np.concatenate([rng.integers(100, 160, 5), np.arange(g)])) for g in level]
+    feats = [(f, np.ones(len(f))) for f in sets]
     m = toxicity.OrdinalModel.fit(feats, [int(g) * 2 for g in level])
     assert m.grades == [0, 2, 4, 6] and (np.diff(m.thresholds) > 0).all()
-    s = m.severity(np.array([m.weights[f].sum() for f in feats]))
+    s = m.severity(np.array([m.score(f) for f in feats]))
     means = [s[level == g].mean() for g in range(4)]
     assert means == sorted(means) and means[0] < 1 and means[3] > 5
     assert toxicity.OrdinalModel.fit([], []).severity(np.zeros(2)).tolist() == [0, 0]
