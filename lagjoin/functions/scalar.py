@@ -159,10 +159,11 @@ def is_decimal(dtype: DataType) -> bool:
 # --- deterministic hash buckets -----------------------------------------
 
 def md5_hex(*keys) -> Column:
-    """md5 of the key text (several keys joined by '|')."""
+    """md5 of the key text (several keys joined by '|'); a NULL key has a
+    digest of its own, so no row falls out of a split or sample."""
     cols = [_c(k).cast("string") for k in keys]
     txt = cols[0] if len(cols) == 1 else F.concat_ws("|", *cols)
-    return F.md5(txt)
+    return F.md5(F.coalesce(txt, F.lit("\0null")))
 
 
 def md5_prefix_int(*keys, digits: int = 8) -> Column:

@@ -130,8 +130,9 @@ def train_random_forest(train: DataFrame, test: DataFrame, label_col: str,
     weighted recall and precision (one confusion-matrix pass; equal to
     Spark's evaluator) plus the forest size.  Errors propagate."""
     validate_inputs(train, label_col, feature_cols, num_trees, max_depth, folds)
-    rf = RandomForestClassifier(labelCol="indexedLabel", featuresCol="indexedFeatures",
-                                numTrees=num_trees, maxDepth=max_depth, seed=seed)
+    categories = max((len(train.schema[c].metadata.get("ml_attr", {}).get("vals", [])) for c in feature_cols), default=0)
+    rf = RandomForestClassifier(labelCol="indexedLabel", featuresCol="indexedFeatures", numTrees=num_trees,
+                                maxDepth=max_depth, maxBins=max(32, categories + 1), seed=seed)
     pipe = Pipeline(stages=[label_indexer(label_col), assembler(feature_cols, handle_invalid=handle_invalid), rf])
     if folds:
         ev = MulticlassClassificationEvaluator(labelCol="indexedLabel", predictionCol="prediction")

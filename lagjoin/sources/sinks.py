@@ -13,7 +13,6 @@ from lagjoin.sources.ingest import write_partitioned
 
 # Default partitioning of the joined result tables.
 RESULT_PARTITIONS = ("FT_Year", "FT_FL_DATE")
-REPORT_MAX_ROWS = 1_000_000
 
 
 def store_results(df: DataFrame, path: str, partitions: Sequence[str] = RESULT_PARTITIONS) -> None:
@@ -21,12 +20,13 @@ def store_results(df: DataFrame, path: str, partitions: Sequence[str] = RESULT_P
     write_partitioned(df, path, partitions)
 
 
-def write_report_csv(df: DataFrame, path: str, max_rows: int = REPORT_MAX_ROWS) -> None:
-    """Single-file CSV with header (overwrite).  Reports are small by
-    construction; the row bound is checked before coalescing to one task."""
-    if not fits_in(df, max_rows):
+def write_report_csv(df: DataFrame, path: str, max_rows: int | None = None) -> None:
+    """Single-file CSV with header (overwrite).  Only the writer is a
+    single task: the report itself is computed in parallel, once.  A caller
+    may ask for a row bound, which costs a run of its own."""
+    if max_rows is not None and not fits_in(df, max_rows):
         raise ValueError(f"report has more than {max_rows} rows; write it partitioned")
-    df.coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
+    df.repartition(1).write.mode("overwrite").option("header", "true").csv(path)
 
 
 def schema_frame(df: DataFrame) -> DataFrame:
