@@ -57,11 +57,11 @@ def shingles(text):
     return frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
 
 
-def test_jaccard_join_is_brute_force(spark, docs):
+def test_jaccard_join_is_brute_force(spark, docs, monkeypatch):
     rows = docs.select("doc_id", "text").where("doc_id is not null").dropDuplicates(["doc_id"]).collect()
     base = [(r["doc_id"], r["text"]) for r in rows]
     words = next(t for _, t in base if t and len(t.split()) > 200).split()
-    for k in range(700):  # a large group of near copies, and two steps away from it
+    for k in range(400):  # a large group of near copies, and two steps away from it
         near = list(words)
         near[k % 150] = f"new{k}"
         base.append((2_000_000 + k, " ".join(near)))
@@ -84,11 +84,22 @@ def test_jaccard_join_is_brute_force(spark, docs):
                     links[base[b][0]] += 1
                     p, q = find(base[a][0]), find(base[b][0])
                     parent[max(p, q)] = min(p, q)
-    got = {r["doc_id"]: r for r in jaccard.join(df).collect()}
-    assert len(got) == len(base)
-    assert {i: got[i]["n_links"] for i in got} == {i: links[i] for i, _ in base}
-    groups = lambda key: {frozenset(i for i in got if key(i) == k) for k in {key(i) for i in got}}
-    assert groups(find) == groups(lambda i: got[i]["group_key"] if got[i]["group_key"] is not None else ("own", i))
+    groups = lambda key, ids: {frozenset(g) for g in by_key(key, ids).values()}
+    for large, block in ((256, 2048), (20, 150), (10**6, 150)):  # a home; homes of blocks; buckets of blocks
+        monkeypatch.setattr(jaccard, "LARGE", large)
+        monkeypatch.setattr(jaccard, "BLOCK", block)
+        got = {r["doc_id"]: r for r in jaccard.join(df).collect()}
+        assert len(got) == len(base)
+        assert {i: got[i]["n_links"] for i in got} == {i: links[i] for i, _ in base}
+        assert groups(find, got) == groups(
+            lambda i: got[i]["group_key"] if got[i]["group_key"] is not None else ("own", i), got)
+
+
+def by_key(key, ids):
+    out = {}
+    for i in ids:
+        out.setdefault(key(i), set()).add(i)
+    return out
 
 
 def test_jaccard_stage_keeps_one_of_each_group(spark, docs):
