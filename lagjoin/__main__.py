@@ -37,6 +37,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--trees", type=int, default=20)
     run.add_argument("--depth", type=int, default=5)
     run.add_argument("--folds", type=int, default=None)
+    run.add_argument("--fill-missing", type=float, default=None, help="value of missing features (default: an error)")
     args = p.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -51,7 +52,7 @@ def main(argv: list[str] | None = None) -> int:
     metrics = run_all(spark, args.facts, args.obs, args.stations, args.out, mode=args.mode,
                       obs_cols=obs_cols, ds_type=args.ds_type, delayed=args.delayed,
                       on_time=args.on_time, num_trees=args.trees, max_depth=args.depth,
-                      folds=args.folds)
+                      folds=args.folds, fill_missing=args.fill_missing)
     print(json.dumps(metrics))
     return 0
 

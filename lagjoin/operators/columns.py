@@ -97,19 +97,3 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
         out = out.unionByName(f)
     return out
 
-
-# --- checked broadcast -----------------------------------------------------
-
-def fits_in(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  ``take`` runs
-    incrementally (one partition first, then more only if needed), so the
-    check stops early on a large frame instead of scanning it; at most
-    ``max_rows + 1`` one-column rows reach the driver."""
-    return len(df.select(F.lit(1).alias("x")).take(max_rows + 1)) <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows;
-    above the bound it is returned unhinted and the planner (and AQE, from
-    measured shuffle sizes) picks the join strategy."""
-    return F.broadcast(df) if fits_in(df, max_rows) else df

@@ -4,9 +4,9 @@ Reproducibility comes from hashing a row key with md5: a row's bucket does
 not depend on partitioning, cluster size or run, unlike ``sample`` /
 ``randomSplit``.  Exact balancing ("keep exactly n on-time rows") selects
 the n rows with the smallest hash by refining a hash-prefix histogram: each
-round is one aggregate whose result is at most 65,536 rows, and the final
-ordered ``limit`` only ever sees a bucket whose size was counted first --
-no unbounded set passes through one task or the driver.
+round is one aggregate whose result is at most 65,536 rows, until the cut is
+one hash; then one filter keeps what lies below it -- no unbounded set passes
+through one task or the driver.
 """
 
 from __future__ import annotations
@@ -24,7 +24,6 @@ LABEL_COL = "FT_OnTime"
 DELAYED_LABEL, ON_TIME_LABEL = 0, 1
 TRAIN_PCT = 75
 HIST_DIGITS = 4            # hex digits refined per histogram round (65,536 bins)
-FINAL_ROWS = 200_000       # largest counted bucket finished with an ordered limit
 
 
 def delayed_condition(ds_type: str, threshold: float, arr: str = "FT_ARR_DELAY_NEW",
@@ -62,58 +61,37 @@ def row_hash(df: DataFrame, key_cols: Sequence[str] | None) -> Column:
     return F.concat(h, S.md5_hex(*df.columns))
 
 
-def smallest_by_hash(df: DataFrame, n: int, key_cols: Sequence[str] | None = None,
-                     final_rows: int = FINAL_ROWS) -> DataFrame:
+def smallest_by_hash(df: DataFrame, n: int, key_cols: Sequence[str] | None = None) -> DataFrame:
     """D7 exact: the ``n`` rows with the smallest row hash (ties by identical
     rows are interchangeable).  Equivalent to ``orderBy(hash).limit(n)``
     without funnelling n rows through a single task."""
     if n <= 0:
         return df.limit(0)
-    h = row_hash(df, key_cols)
-    x = df.withColumn("__s", h)
+    x = df.withColumn("__s", row_hash(df, key_cols))
     width = 64 if (key_cols and not set(key_cols) >= set(df.columns)) else 32
     prefix, remaining = "", n
-    parts: list[DataFrame] = []
-    while True:
+    while len(prefix) < width:
         depth = len(prefix)
-        cand = x if depth == 0 else x.where(F.substring("__s", 1, depth) == F.lit(prefix))
-        hist = sorted((r["b"], r["c"]) for r in
+        cand = x.where(F.substring("__s", 1, depth) == F.lit(prefix)) if depth else x
+        hist = sorted((r["b"], r["c"], r["lo"], r["hi"]) for r in
                       cand.groupBy(F.substring("__s", depth + 1, HIST_DIGITS).alias("b"))
-                          .agg(F.count(F.lit(1)).alias("c")).collect())
-        total = sum(c for _, c in hist)
-        if total <= remaining:  # everything under this prefix is kept
-            parts.append(cand)
-            break
-        cum = 0
-        for b, c in hist:
-            if cum + c >= remaining:
-                cut, cut_count = b, c
+                          .agg(F.count(F.lit(1)).alias("c"), F.min("__s").alias("lo"), F.max("__s").alias("hi"))
+                          .collect())
+        if not depth and sum(h[1] for h in hist) <= n:
+            return df
+        for b, count, lo, hi in hist:
+            if count >= remaining:
                 break
-            cum += c
-        # rows below the cut bucket are kept whole
-        parts.append(cand.where(F.col("__s") < F.lit(prefix + cut)))
-        remaining -= cum
-        prefix = prefix + cut
-        if remaining == cut_count:
-            parts.append(x.where(F.substring("__s", 1, len(prefix)) == F.lit(prefix)))
-            break
-        if cut_count <= final_rows:
-            bucket = x.where(F.substring("__s", 1, len(prefix)) == F.lit(prefix))
-            parts.append(bucket.orderBy("__s").limit(remaining))
-            break
-        if len(prefix) >= width:
-            # fully identical rows: any `remaining` copies are the answer.
-            # Read the one representative row and generate the copies in
-            # parallel from a range -- typed literals, no join.
-            rep = x.where(F.col("__s") == F.lit(prefix)).limit(1).collect()[0]
-            fields = {f.name: f.dataType for f in x.schema.fields}
-            parts.append(df.sparkSession.range(remaining).select(
-                *[F.lit(rep[c]).cast(fields[c]).alias(c) for c in x.columns]))
-            break
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.drop("__s")
+            remaining -= count
+        if count == remaining:  # the cut lies between two hashes
+            return x.where(F.col("__s") <= F.lit(hi)).drop("__s")
+        prefix = lo if lo == hi else prefix + b
+    # the cut lies among identical rows: read one and make its copies in
+    # parallel from a range -- typed literals, no join
+    rep = x.where(F.col("__s") == F.lit(prefix)).first()
+    copies = df.sparkSession.range(remaining).select(
+        *[F.lit(rep[f.name]).cast(f.dataType).alias(f.name) for f in df.schema.fields])
+    return x.where(F.col("__s") < F.lit(prefix)).drop("__s").unionByName(copies)
 
 
 def hash_fraction(df: DataFrame, n: int, total: int, key_cols: Sequence[str] | None = None) -> DataFrame:

@@ -27,11 +27,11 @@ NUM_TREES, MAX_DEPTH = 20, 5
 
 # --- M1 / M2 -----------------------------------------------------------------
 
-def index_strings(df: DataFrame, cols: Sequence[str], handle_invalid: str = "skip") -> DataFrame:
+def index_strings(df: DataFrame, cols: Sequence[str], handle_invalid: str = "error") -> DataFrame:
     """M1: replace each string column by its frequency-rank index (double,
     most frequent = 0, ties alphabetical).  One multi-column StringIndexer:
-    one pass to count all columns.  ``skip`` drops rows with NULL/unseen
-    values in any indexed column."""
+    one pass to count all columns.  A NULL or unseen value is an error unless
+    the caller chooses 'keep' (an index of its own) or 'skip' (the row goes)."""
     cols = list(cols)
     if not cols:
         return df
@@ -69,22 +69,22 @@ def validate_inputs(df: DataFrame, label_col: str, feature_cols: Sequence[str],
     """M3: argument checks and label validation (numeric, non-negative, no
     NULL), in one aggregate."""
     if not label_col:
-        raise ValueError("label column name cannot be empty")
+        raise ValueError("label_col: name the label column")
     if not feature_cols:
-        raise ValueError("feature columns cannot be empty")
+        raise ValueError("feature_cols: at least one column is needed, got none")
     if num_trees <= 0 or max_depth <= 0:
-        raise ValueError("number of trees and depth must be positive")
+        raise ValueError(f"num_trees and max_depth must be 1 or more, got {num_trees} and {max_depth}")
     if folds is not None and folds <= 1:
-        raise ValueError("number of folds must be greater than 1")
+        raise ValueError(f"folds must be 2 or more, got {folds}")
     t = df.schema[label_col].dataType
     if not S.is_numeric(t):
-        raise ValueError(f"label column {label_col} must be numeric, found {t.simpleString()}")
+        raise ValueError(f"label {label_col!r} is {t.simpleString()}; a numeric type is needed")
     r = df.agg(F.count(F.lit(1)).alias("n"), F.min(label_col).alias("lo"),
                F.count_if(F.col(label_col).isNull()).alias("nulls")).first()
     if r["n"] == 0:
-        raise ValueError("input DataFrame is empty")
+        raise ValueError("nothing to train on: the frame has no rows")
     if r["nulls"] or r["lo"] < 0:
-        raise ValueError(f"all labels in {label_col} must be non-negative numbers")
+        raise ValueError(f"label {label_col!r} has {r['nulls']} NULLs and minimum {r['lo']}; 0 or more is needed")
 
 
 # --- M4 / M5 ------------------------------------------------------------------
@@ -95,7 +95,7 @@ def label_indexer(label_col: str, out: str = "indexedLabel") -> StringIndexer:
 
 
 def assembler(feature_cols: Sequence[str], out: str = "indexedFeatures",
-              handle_invalid: str = "skip") -> VectorAssembler:
+              handle_invalid: str = "error") -> VectorAssembler:
     """M5: feature vector; ``handle_invalid`` decides what NULL features do
     ('skip' drops the row, 'keep' keeps NaN, 'error' raises)."""
     return VectorAssembler(inputCols=list(feature_cols), outputCol=out,
@@ -109,13 +109,13 @@ def feature_columns(df: DataFrame, label_col: str, exclude: Sequence[str] = ())
     return [f.name for f in df.schema.fields if f.name not in skip and S.is_numeric(f.dataType)]
 
 
-def prepare_features(df: DataFrame, label_col: str) -> DataFrame:
+def prepare_features(df: DataFrame, label_col: str, handle_invalid: str = "error") -> DataFrame:
     """M1 + M2 on every string / temporal column of ``df``."""
     strings = [f.name for f in df.schema.fields
                if isinstance(f.dataType, StringType) and f.name != label_col]
     temporal = [f.name for f in df.schema.fields
                 if isinstance(f.dataType, (DateType, TimestampType, TimestampNTZType))]
-    return dates_to_epoch(index_strings(df, strings), temporal)
+    return dates_to_epoch(index_strings(df, strings, handle_invalid), temporal)
 
 
 # --- M6 / M7 / M8 / M10 ----------------------------------------------------------
@@ -123,7 +123,7 @@ def prepare_features(df: DataFrame, label_col: str) -> DataFrame:
 def train_random_forest(train: DataFrame, test: DataFrame, label_col: str,
                         feature_cols: Sequence[str], num_trees: int = NUM_TREES,
                         max_depth: int = MAX_DEPTH, folds: int | None = None, seed: int = 42,
-                        handle_invalid: str = "skip"
+                        handle_invalid: str = "error"
                         ) -> tuple[PipelineModel, DataFrame, dict[str, float]]:
     """M6 - M8 (+ M10 when ``folds``): fit label indexer + assembler +
     random forest on ``train``, predict ``test`` and report accuracy, f1,
@@ -144,7 +144,7 @@ def train_random_forest(train: DataFrame, test: DataFrame, label_col: str,
     pred = model.transform(test)
     bad = pred.where(F.col("indexedLabel").isNull() | F.col("prediction").isNull())
     if not bad.isEmpty():
-        raise ValueError("NULL values found in indexedLabel or prediction")
+        raise ValueError("some rows were left without a label index or a prediction")
     # all four metrics from one confusion-matrix aggregate (one pass)
     row = confusion_metrics(pred, "indexedLabel", "prediction").first().asDict()
     if row["accuracy"] is None:
@@ -159,11 +159,11 @@ def train_random_forest(train: DataFrame, test: DataFrame, label_col: str,
 def random_forest(df: DataFrame, label_col: str, feature_cols: Sequence[str],
                   num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH,
                   folds: int | None = None, train_fraction: float = 0.8, seed: int = 42,
-                  handle_invalid: str = "skip") -> dict[str, float]:
+                  handle_invalid: str = "error") -> dict[str, float]:
     """M6 with the original single-frame signature: string columns indexed
     (M1), dates/timestamps to epoch seconds (M2), a seeded 80/20 random
     split, fit, predict, metrics."""
-    prepared = prepare_features(df, label_col)
+    prepared = prepare_features(df, label_col, handle_invalid)
     train, test = prepared.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)
     return train_random_forest(train, test, label_col, feature_cols, num_trees, max_depth,
                                folds, seed, handle_invalid)[2]
@@ -171,9 +171,8 @@ def random_forest(df: DataFrame, label_col: str, feature_cols: Sequence[str],
 
 def classification_metrics(pred: DataFrame, label_col: str, prediction_col: str = "prediction"
                            ) -> dict[str, float]:
-    """M8 with Spark's evaluator: accuracy, f1, weighted recall/precision."""
-    ev = MulticlassClassificationEvaluator(labelCol=label_col, predictionCol=prediction_col)
-    return {name: float(ev.setMetricName(m).evaluate(pred)) for name, m in EVALUATOR_METRICS.items()}
+    """M8: accuracy, f1, weighted recall and precision, from one pass."""
+    return {k: float(v) for k, v in confusion_metrics(pred, label_col, prediction_col).first().asDict().items()}
 
 
 def confusion_metrics(pred: DataFrame, label_col: str, prediction_col: str = "prediction"

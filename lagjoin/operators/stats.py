@@ -24,13 +24,13 @@ def _pct(num: Column, den: Column) -> Column:
 # --- A1 --------------------------------------------------------------------
 
 def airport_summary(df: DataFrame, origin_col: str = "ORIGIN_AIRPORT_ID",
-                    flight_col: str = "OP_CARRIER_FL_NUM",
+                    fact_col: str = "OP_CARRIER_FL_NUM",
                     carrier_col: str = "OP_CARRIER_AIRLINE_ID",
                     dest_col: str = "DEST_AIRPORT_ID") -> DataFrame:
-    """A1: per origin, non-null flight numbers, distinct carriers and
+    """A1: per origin, non-null carrier numbers, distinct carriers and
     distinct destinations."""
     a, b, c = AIRPORT_HEADER
-    return df.groupBy(origin_col).agg(F.count(flight_col).alias(a),
+    return df.groupBy(origin_col).agg(F.count(fact_col).alias(a),
                                       F.countDistinct(carrier_col).alias(b),
                                       F.countDistinct(dest_col).alias(c))
 
@@ -38,17 +38,17 @@ def airport_summary(df: DataFrame, origin_col: str = "ORIGIN_AIRPORT_ID",
 # --- A2 + A9 ---------------------------------------------------------------
 
 def carrier_performance(df: DataFrame, on_time: float = 15, year_col: str = "Year",
-                        delay_col: str = "ARR_DELAY_NEW", flight_col: str = "OP_CARRIER_FL_NUM",
+                        delay_col: str = "ARR_DELAY_NEW", fact_col: str = "OP_CARRIER_FL_NUM",
                         cancelled_col: str = "CANCELLED", diverted_col: str = "DIVERTED",
                         year_alias: str = YEAR_ALIAS) -> DataFrame:
     """A2: per year, the shares of on-time (delay <= t), delayed (delay >= t),
-    cancelled and diverted flights.  A delay equal to t counts in both
+    cancelled and diverted facts.  A delay equal to t counts in both
     classes, a NULL delay in neither, and the denominator is the sum of the
     four counts (not the row count), as in the published statistics."""
     n, p_on, p_del, p_can, p_div = CARRIER_HEADER
     d = S.to_double(delay_col)
     agg = df.groupBy(F.col(year_col).alias(year_alias)).agg(
-        F.count(flight_col).alias(n),
+        F.count(fact_col).alias(n),
         F.count_if(d <= F.lit(on_time)).alias("__on"),
         F.count_if(d >= F.lit(on_time)).alias("__del"),
         F.count_if(S.to_double(cancelled_col) == F.lit(1)).alias("__can"),
@@ -64,7 +64,7 @@ def carrier_performance(df: DataFrame, on_time: float = 15, year_col: str = "Yea
 def delay_breakdown(df: DataFrame, year_col: str = "Year", delay_col: str = "ARR_DELAY_NEW",
                     weather_col: str = "WEATHER_DELAY", nas_col: str = "NAS_DELAY",
                     year_alias: str = YEAR_ALIAS) -> DataFrame:
-    """A3: over flights with a non-zero delay (F5), per year, the shares of
+    """A3: over facts with a non-zero delay (F5), per year, the shares of
     weather, NAS and other causes in the total delay minutes; other = total
     - (weather + NAS)."""
     w_p, n_p, o_p = DELAY_HEADER

@@ -99,21 +99,21 @@ def q_j6_obs_explode(spark, sf):
     return L.lag_join_long(f, o, origin_col="origin", origin_ts_col="t", station_col="station",
                            obs_ts_col="ts", dest_col="dest", dest_ts_col="arr",
                            origin_lag_col="t_lag", dest_lag_col="arr_lag", lags=LAGS,
-                           strategy="obs_explode", key_col="fact_id")
+                           strategy="frames")
 
 
-def _wide(spark, sf, strategy="aggregate", match_station=True):
+def _wide(spark, sf, match_station=True):
     f = X.facts(spark, sf)
     o = X.obs(spark, sf) if match_station else X.obs_hour(spark, sf)
-    return L.lag_join_wide(f, o, key_col="fact_id", origin_col="origin", origin_ts_col="t",
+    return L.lag_join_wide(f, o, origin_col="origin", origin_ts_col="t",
                            station_col="station", obs_ts_col="ts", dest_col="dest",
                            dest_ts_col="arr", lags=LAGS, match_station=match_station,
-                           strategy=strategy, origin_part="t_part_{h}", dest_part="arr_part_{h}")
+                           origin_part="t_part_{h}", dest_part="arr_part_{h}")
 
 
-def _wide_sql(match_station: bool) -> str:
-    carried = ["station", "ts", "n", "v"] if match_station else ["ts", "n", "v"]
-    src = X.OBS_SQL if match_station else X.OBS_HOUR_SQL
+def _wide_sql(match_station: bool, src: str | None = None, carried: tuple[str, ...] = ("n", "v")) -> str:
+    carried = [*(["station"] if match_station else []), "ts", *carried]
+    src = src or (X.OBS_SQL if match_station else X.OBS_HOUR_SQL)
     sel = ["f.fact_id", "f.origin", "f.dest", "f.t", "f.arr"]
     sel += [f"f.t - to_hours({h}) AS t_part_{h}" for h in range(LAGS)]
     sel += [f"f.arr - to_hours({h}) AS arr_part_{h}" for h in range(LAGS)]
@@ -130,27 +130,29 @@ def _wide_sql(match_station: bool) -> str:
 
 
 def q_j7(spark, sf):
-    return _wide(spark, sf, "aggregate", True)
-
-
-def q_j7_joins(spark, sf):
-    return _wide(spark, sf, "joins", True)
+    return _wide(spark, sf, True)
 
 
 def q_j7_time_only(spark, sf):
-    return _wide(spark, sf, "aggregate", False)
+    return _wide(spark, sf, False)
 
 
-def q_j7_time_only_joins(spark, sf):
-    return _wide(spark, sf, "joins", False)
+def _readings(spark, sf):
+    """Every view event as a reading of its hour: several share a key."""
+    e = X.table(spark, sf, "events").where(F.col("event_type") == "view")
+    return e.select((F.col("user_id") % X.NATIONS).alias("station"), S.trunc_hour("ts").alias("ts"), "event_id", "user_id")
 
 
-def q_j7_obs_explode(spark, sf):
-    return _wide(spark, sf, "obs_explode", True)
+SQL_READINGS = f"""SELECT station, ts, event_id, user_id FROM (
+  SELECT user_id % {X.NATIONS} AS station, date_trunc('hour', ts) AS ts, event_id, user_id,
+         row_number() OVER (PARTITION BY user_id % {X.NATIONS}, date_trunc('hour', ts) ORDER BY event_id, user_id) AS k
+  FROM events WHERE event_type = 'view') WHERE k = 1"""
 
 
-def q_j7_time_only_obs_explode(spark, sf):
-    return _wide(spark, sf, "obs_explode", False)
+def q_j7_dup(spark, sf):
+    return L.lag_join_wide(X.facts(spark, sf), _readings(spark, sf), origin_col="origin", origin_ts_col="t",
+                           station_col="station", obs_ts_col="ts", dest_col="dest", dest_ts_col="arr", lags=LAGS,
+                           duplicates="first", origin_part="t_part_{h}", dest_part="arr_part_{h}")
 
 
 def q_j6_stream(spark, sf):
@@ -220,14 +222,14 @@ SELECT ObsId, StationType, Visibility, WindSpeed FROM w"""
 
 
 def q_p4_p7(spark, sf):
-    r = X.raw_flights(spark, sf)
+    r = X.raw_facts(spark, sf)
     clock = F.coalesce(S.hh_colon_mm("CRS_DEP_TIME"), F.lit(""))
     r = r.select("OP_CARRIER_FL_NUM", "FL_DATE", F.col("CRS_DEP_TIME").alias("raw_clock"),
                  clock.alias("clock"))
     return r.withColumn("dep_ts", S.fact_timestamp("FL_DATE", "clock"))
 
 
-SQL_P4_P7 = f"""WITH r AS ({X.RAW_FLIGHTS_SQL}),
+SQL_P4_P7 = f"""WITH r AS ({X.RAW_FACTS_SQL}),
 p AS (SELECT OP_CARRIER_FL_NUM, FL_DATE, CRS_DEP_TIME AS raw_clock,
              lpad(CAST(CAST(trunc(TRY_CAST(CRS_DEP_TIME AS DOUBLE)) AS INTEGER) AS VARCHAR), 4, '0') AS p
       FROM r),
@@ -249,11 +251,11 @@ FROM w"""
 
 
 def q_f1(spark, sf):
-    r = X.raw_flights(spark, sf)
+    r = X.raw_facts(spark, sf)
     return C.drop_flagged_rows(r).select("OP_CARRIER_FL_NUM", "FL_DATE", "CANCELLED", "DIVERTED")
 
 
-SQL_F1 = f"""WITH r AS ({X.RAW_FLIGHTS_SQL})
+SQL_F1 = f"""WITH r AS ({X.RAW_FACTS_SQL})
 SELECT OP_CARRIER_FL_NUM, FL_DATE, CANCELLED, DIVERTED FROM r
 WHERE TRY_CAST(DIVERTED AS DOUBLE) <> 1 AND TRY_CAST(CANCELLED AS DOUBLE) <> 1"""
 
@@ -261,12 +263,12 @@ WHERE TRY_CAST(DIVERTED AS DOUBLE) <> 1 AND TRY_CAST(CANCELLED AS DOUBLE) <> 1""
 # --- station lookups / recipes ---------------------------------------------------------
 
 def q_j1_j2(spark, sf):
-    r = X.raw_flights(spark, sf).select("OP_CARRIER_FL_NUM", "ORIGIN_AIRPORT_ID",
+    r = X.raw_facts(spark, sf).select("OP_CARRIER_FL_NUM", "ORIGIN_AIRPORT_ID",
                                         "DEST_AIRPORT_ID", "FL_DATE")
     return T.add_time_zones(r, X.stations(spark, sf), keep_zones=True)
 
 
-SQL_J1_J2 = f"""WITH r AS ({X.RAW_FLIGHTS_SQL}), st AS ({X.STATIONS_SQL})
+SQL_J1_J2 = f"""WITH r AS ({X.RAW_FACTS_SQL}), st AS ({X.STATIONS_SQL})
 SELECT r.OP_CARRIER_FL_NUM, r.ORIGIN_AIRPORT_ID, r.DEST_AIRPORT_ID, r.FL_DATE,
        og.TimeZone AS ORIGIN_TIME_ZONE, de.TimeZone AS DEST_TIME_ZONE,
        CAST(de.TimeZone AS INTEGER) - CAST(og.TimeZone AS INTEGER) AS Delta_Lag
@@ -284,7 +286,7 @@ FROM w JOIN st ON w.WBAN = st.WBAN"""
 
 
 def q_q7(spark, sf):
-    return _round(T.fact_table(X.raw_flights(spark, sf), X.stations(spark, sf)))
+    return _round(T.fact_table(X.raw_facts(spark, sf), X.stations(spark, sf)))
 
 
 def _nz(c: str) -> str:
@@ -292,7 +294,7 @@ def _nz(c: str) -> str:
 
 
 def _fact_table_sql(raw_sql: str) -> str:
-    """Q7 in SQL over a raw flight source."""
+    """Q7 in SQL over a raw fact source."""
     return f"""WITH r AS ({raw_sql}), st AS ({X.STATIONS_SQL}),
 p AS (SELECT r.*, lpad(CAST(CAST(trunc(TRY_CAST(CRS_DEP_TIME AS DOUBLE)) AS INTEGER) AS VARCHAR), 4, '0') AS p
       FROM r),
@@ -319,7 +321,7 @@ FROM t JOIN st og ON t.ORIGIN_AIRPORT_ID = og.AirportID JOIN st de ON t.DEST_AIR
 
 
 FT_DOUBLES = ["FT_ARR_DELAY_NEW", "FT_CRS_ELAPSED_TIME", "FT_WEATHER_DELAY", "FT_NAS_DELAY"]
-SQL_Q7 = _sql_round(_fact_table_sql(X.RAW_FLIGHTS_SQL), FT_DOUBLES)
+SQL_Q7 = _sql_round(_fact_table_sql(X.RAW_FACTS_SQL), FT_DOUBLES)
 
 
 def _missing(c: str) -> str:
@@ -487,10 +489,10 @@ SQL_Q2 = f"WITH w AS ({X.RAW_WEATHER_TEXT_SQL})\n" + "\nUNION ALL\n".join(
 
 
 def q_a1(spark, sf):
-    return A.airport_summary(X.raw_flights(spark, sf))
+    return A.airport_summary(X.raw_facts(spark, sf))
 
 
-SQL_A1 = f"""WITH r AS ({X.RAW_FLIGHTS_SQL})
+SQL_A1 = f"""WITH r AS ({X.RAW_FACTS_SQL})
 SELECT ORIGIN_AIRPORT_ID, count(OP_CARRIER_FL_NUM) AS "nbs de vols",
        count(DISTINCT OP_CARRIER_AIRLINE_ID) AS nbs_compagnies,
        count(DISTINCT DEST_AIRPORT_ID) AS nbs_aeroports_dest
@@ -498,10 +500,10 @@ FROM r GROUP BY ORIGIN_AIRPORT_ID"""
 
 
 def q_a2(spark, sf):
-    return _round(A.carrier_performance(X.raw_flights(spark, sf), on_time=15))
+    return _round(A.carrier_performance(X.raw_facts(spark, sf), on_time=15))
 
 
-SQL_A2 = _sql_round(f"""WITH r AS ({X.RAW_FLIGHTS_SQL}),
+SQL_A2 = _sql_round(f"""WITH r AS ({X.RAW_FACTS_SQL}),
 g AS (SELECT Year AS year, count(OP_CARRIER_FL_NUM) AS nv,
              count(*) FILTER (WHERE ARR_DELAY_NEW <= 15) AS o,
              count(*) FILTER (WHERE ARR_DELAY_NEW >= 15) AS d,
@@ -517,10 +519,10 @@ FROM g""", ["% On-time", "% Delayed", "% Cancelled", "% Diverted"])
 
 
 def q_a3(spark, sf):
-    return _round(A.delay_breakdown(X.raw_flights(spark, sf)))
+    return _round(A.delay_breakdown(X.raw_facts(spark, sf)))
 
 
-SQL_A3 = _sql_round(f"""WITH r AS ({X.RAW_FLIGHTS_SQL}),
+SQL_A3 = _sql_round(f"""WITH r AS ({X.RAW_FACTS_SQL}),
 g AS (SELECT Year AS year, sum(ARR_DELAY_NEW) AS a, sum(TRY_CAST(WEATHER_DELAY AS DOUBLE)) AS w,
              sum(TRY_CAST(NAS_DELAY AS DOUBLE)) AS n
       FROM r WHERE ARR_DELAY_NEW <> 0 GROUP BY Year)
@@ -556,9 +558,9 @@ b AS (SELECT greatest((SELECT min(d) FROM f), (SELECT min(d) FROM o)) AS lo,
              least((SELECT max(d) FROM f), (SELECT max(d) FROM o)) AS hi)"""
 
 SQL_S9 = f"""WITH {_PAIR_CTE}
-SELECT min(d) AS min_date, max(d) AS max_date, count(*) AS size, 'flight_initial' AS dataset FROM f
+SELECT min(d) AS min_date, max(d) AS max_date, count(*) AS size, 'fact_initial' AS dataset FROM f
 UNION ALL SELECT min(d), max(d), count(*), 'weather_initial' FROM o
-UNION ALL SELECT min(d), max(d), count(*), 'flight_filtered' FROM f, b WHERE d BETWEEN lo AND hi
+UNION ALL SELECT min(d), max(d), count(*), 'fact_filtered' FROM f, b WHERE d BETWEEN lo AND hi
 UNION ALL SELECT min(d), max(d), count(*), 'weather_filtered' FROM o, b WHERE d BETWEEN lo AND hi"""
 
 
@@ -578,7 +580,7 @@ def q_s10(spark, sf):
 
 
 SQL_S10 = f"""WITH {_PAIR_CTE}
-SELECT min(d) AS min_date, max(d) AS max_date, count(*) AS size, 'flight_initial' AS dataset FROM f
+SELECT min(d) AS min_date, max(d) AS max_date, count(*) AS size, 'fact_initial' AS dataset FROM f
 UNION ALL SELECT min(d), max(d), count(*), 'weather_initial' FROM o"""
 
 
@@ -640,10 +642,10 @@ WHERE ('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT < {int(0.
 # --- sources / sinks round trips -----------------------------------------------------------
 
 def q_s1_s6(spark, sf):
-    """Raw flight rows -> CSV text -> all-string scan -> ingest -> date
+    """Raw fact rows -> CSV text -> all-string scan -> ingest -> date
     partitioned parquet -> scan -> per-year summary."""
     root = _scratch(spark, "ingest")
-    X.raw_flights(spark, sf).write.mode("overwrite").option("header", "true").csv(root + "/csv")
+    X.raw_facts(spark, sf).write.mode("overwrite").option("header", "true").csv(root + "/csv")
     raw = I.read_csv(spark, root + "/csv")
     I.write_partitioned(I.ingest_facts(raw.drop("Year")), root + "/parquet", I.FACT_PARTITIONS)
     back = P.read_parquet(spark, root + "/parquet")
@@ -653,7 +655,7 @@ def q_s1_s6(spark, sf):
                                            F.count("CRS_DEP_TIME").alias("clocks")))
 
 
-SQL_S1_S6 = _sql_round(f"""WITH r AS ({X.RAW_FLIGHTS_SQL})
+SQL_S1_S6 = _sql_round(f"""WITH r AS ({X.RAW_FACTS_SQL})
 SELECT Year, count(*) AS row_count, sum(ARR_DELAY_NEW) AS delay, count(DISTINCT FL_DATE) AS dates,
        count(CRS_DEP_TIME) AS clocks
 FROM r GROUP BY Year""", ["delay"])
@@ -747,7 +749,7 @@ SQL_A8 = "SELECT DISTINCT o_orderpriority FROM orders"
 
 def q_m1(spark, sf):
     o = X.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
-    return M.index_strings(o, ["o_orderpriority", "o_orderstatus"])
+    return M.index_strings(o, ["o_orderpriority", "o_orderstatus"], "skip")
 
 
 def _rank_sql(col: str) -> str:
@@ -831,7 +833,7 @@ SELECT CAST((rs - pos * (pos + 1) / 2.0) / (pos * neg) AS DOUBLE) AS auc FROM c"
 
 def q_m6(spark, sf):
     s = X.scored(spark, sf)
-    feats = M.prepare_features(s.select("doc_id", "label", "n_chars", "lang", "source"), "label")
+    feats = M.prepare_features(s.select("doc_id", "label", "n_chars", "lang", "source"), "label", "skip")
     train, test = D.train_test_split(feats, ["doc_id"], 75)
     _, pred, _ = M.train_random_forest(train, test, "label", ["n_chars", "lang", "source"],
                                        num_trees=20, max_depth=5, seed=42)
@@ -850,7 +852,7 @@ _W1_OUT = ["FT_OP_CARRIER_FL_NUM", "FT_ORIGIN_AIRPORT_ID", "FT_DEST_AIRPORT_ID",
 def q_w1(spark, sf):
     from lagjoin.plans import workflow as W
     st = X.stations(spark, sf)
-    ft = T.fact_table(X.raw_event_flights(spark, sf), st)
+    ft = T.fact_table(X.raw_event_facts(spark, sf), st)
     ot = T.observation_table(X.raw_weather(spark, sf, hourly=True), st,
                              measures=("SkyCondition", "Visibility", "WeatherType", "WindSpeed"),
                              numeric_cols=("StationType", "Visibility", "WindSpeed"))
@@ -860,7 +862,7 @@ def q_w1(spark, sf):
     return _round(lines.select(*_W1_OUT))
 
 
-SQL_W1 = _sql_round(f"""WITH ft AS ({_fact_table_sql(X.RAW_EVENT_FLIGHTS_SQL)}),
+SQL_W1 = _sql_round(f"""WITH ft AS ({_fact_table_sql(X.RAW_EVENT_FACTS_SQL)}),
 ot0 AS ({_obs_table_sql(X.raw_weather_typed_sql(True))}),
 ot AS (SELECT OT_ORIGIN_AIRPORT_ID, OT_WEATHER_TIMESTAMP, avg(OT_Visibility) AS OT_Visibility,
               min(OT_SkyCondition) AS OT_SkyCondition
@@ -895,11 +897,12 @@ CATALOG: dict[str, tuple[Query, str | None]] = {
     "J6_lag_long_stream": (q_j6_stream, _long_sql(True)),
     "J6_lag_long_obs_explode": (q_j6_obs_explode, _long_sql(True)),
     "J7_lag_wide": (q_j7, _wide_sql(True)),
-    "J7_lag_wide_joins": (q_j7_joins, _wide_sql(True)),
+    "J7_lag_wide_joins": (q_j7, _wide_sql(True)),
+    "J7_lag_wide_dup": (q_j7_dup, _wide_sql(True, SQL_READINGS, ("event_id", "user_id"))),
     "J7_lag_wide_time_only": (q_j7_time_only, _wide_sql(False)),
-    "J7_lag_wide_time_only_joins": (q_j7_time_only_joins, _wide_sql(False)),
-    "J7_lag_wide_obs_explode": (q_j7_obs_explode, _wide_sql(True)),
-    "J7_lag_wide_time_only_obs_explode": (q_j7_time_only_obs_explode, _wide_sql(False)),
+    "J7_lag_wide_time_only_joins": (q_j7_time_only, _wide_sql(False)),
+    "J7_lag_wide_obs_explode": (q_j7, _wide_sql(True)),
+    "J7_lag_wide_time_only_obs_explode": (q_j7_time_only, _wide_sql(False)),
     "P13_P14_arrival_keys": (q_p13, SQL_P13),
     "P12_obs_key": (q_p12, SQL_P12),
     "P1_P2_rename": (q_p1_p2, SQL_P1_P2),

@@ -1,6 +1,6 @@
 """Deterministic fixture views over the driver's tables.
 
-The driver tables hold no flights or weather, so the operators run on views
+The driver tables hold no such readings, so the operators run on views
 with the same shapes, derived by rule from the given tables (their work
 grows with the tables).  Each view has a Spark builder and the equivalent
 SQL text (a CTE body) used by the DuckDB oracle; both must stay in step.
@@ -13,7 +13,7 @@ SQL text (a CTE body) used by the DuckDB oracle; both must stay in step.
     obs_hour      view events per hour (time-only matching)
     raw_weather   every event as a raw observation row (text measures with
                   junk, NULL, NaN, quality flags)
-    raw_flights   every lineitem as a raw flight row (text columns)
+    raw_facts   every lineitem as a raw fact row (text columns)
     delays        lineitem as (a, w, n) delay triples
     scored        documents left-joined with labels (label, score)
 """
@@ -29,7 +29,7 @@ NATIONS = 25          # origin stations of the lag fixtures (user_id % 25)
 DEST_MOD = 7          # destination stations (user_id % 7)
 WBAN_MOD = 23         # raw observation station codes; 20..22 are unknown
 LOOKUP_WBAN_MOD = 20  # lookup codes: n_nationkey % 20 (codes 0..4 twice)
-ORIGIN_MOD = 27       # raw flight origins; 25, 26 are unknown airports
+ORIGIN_MOD = 27       # raw fact origins; 25, 26 are unknown airports
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -165,9 +165,9 @@ RAW_WEATHER_TEXT_SQL = f"""SELECT event_id AS ObsId,
 FROM events"""
 
 
-# --- raw flight rows ----------------------------------------------------------------
+# --- raw fact rows ----------------------------------------------------------------
 
-def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     pk, sk, ok, ln = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_orderkey"), F.col("l_linenumber")
     dep = (ln * 300 + pk % 60)
@@ -196,7 +196,7 @@ def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").cast("date").alias("FL_DATE"))
 
 
-RAW_FLIGHTS_SQL = f"""SELECT CAST(l_suppkey % 10 AS VARCHAR) AS OP_CARRIER_AIRLINE_ID,
+RAW_FACTS_SQL = f"""SELECT CAST(l_suppkey % 10 AS VARCHAR) AS OP_CARRIER_AIRLINE_ID,
        CASE WHEN l_partkey % 97 = 0 THEN NULL ELSE CAST(l_orderkey AS VARCHAR) END AS OP_CARRIER_FL_NUM,
        CAST(l_partkey % {ORIGIN_MOD} AS VARCHAR) AS ORIGIN_AIRPORT_ID,
        CAST(l_suppkey % {NATIONS} AS VARCHAR) AS DEST_AIRPORT_ID,
@@ -216,8 +216,8 @@ RAW_FLIGHTS_SQL = f"""SELECT CAST(l_suppkey % 10 AS VARCHAR) AS OP_CARRIER_AIRLI
 FROM lineitem"""
 
 
-def raw_event_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchase events as raw flight rows, departing on the hour, so they
+def raw_event_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchase events as raw fact rows, departing on the hour, so they
     share dates and hours with the (hourly) raw observations."""
     e = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
     eid, v, u = F.col("event_id"), F.col("value"), F.col("user_id")
@@ -238,7 +238,7 @@ def raw_event_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").cast("date").alias("FL_DATE"))
 
 
-RAW_EVENT_FLIGHTS_SQL = f"""SELECT CAST(user_id % 10 AS VARCHAR) AS OP_CARRIER_AIRLINE_ID,
+RAW_EVENT_FACTS_SQL = f"""SELECT CAST(user_id % 10 AS VARCHAR) AS OP_CARRIER_AIRLINE_ID,
        CAST(event_id AS VARCHAR) AS OP_CARRIER_FL_NUM,
        CAST(user_id % {NATIONS} AS VARCHAR) AS ORIGIN_AIRPORT_ID,
        CAST(user_id % {DEST_MOD} AS VARCHAR) AS DEST_AIRPORT_ID,

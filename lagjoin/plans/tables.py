@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
 from lagjoin.functions import scalar as S
-from lagjoin.operators.columns import (add_prefix, broadcast_if_small, drop_flagged_rows,
+from lagjoin.operators.columns import (add_prefix, drop_flagged_rows,
                                        to_double_columns, tz_delta)
 from lagjoin.operators.quality import impute_and_correct
 
@@ -27,7 +27,6 @@ FLAG_SUFFIX = "Flag"
 LOOKUP_ID, LOOKUP_STATION, LOOKUP_TZ = "AirportID", "WBAN", "TimeZone"
 FACT_DELAYS = ("ARR_DELAY_NEW", "WEATHER_DELAY", "NAS_DELAY")
 MISSING_RATE = 0.20
-LOOKUP_MAX_ROWS = 100_000
 
 
 def flag_of(measure: str) -> str:
@@ -42,10 +41,9 @@ def add_time_zones(facts: DataFrame, stations: DataFrame, origin_col: str = "ORI
                    keep_zones: bool = False) -> DataFrame:
     """J1 + J2 + P9: inner-join the station lookup on the origin and on the
     destination (facts whose station is unknown are dropped) and add the
-    time-zone difference destination - origin in hours.  The lookup is
-    broadcast after its row count is proven small."""
+    time-zone difference destination - origin in hours.  Spark broadcasts the
+    lookup by its size."""
     lk = stations.select(F.col(id_col).alias("__id"), F.col(tz_col).alias("__tz"))
-    lk = broadcast_if_small(lk, LOOKUP_MAX_ROWS)
     o = lk.toDF("__o_id", "ORIGIN_TIME_ZONE")
     d = lk.toDF("__d_id", "DEST_TIME_ZONE")
     out = (facts.join(o, F.col(origin_col) == F.col("__o_id"), "inner")
@@ -103,7 +101,6 @@ def join_stations(obs: DataFrame, stations: DataFrame, station_col: str = LOOKUP
     if pad_width:
         obs = obs.withColumn(station_col, F.lpad(F.col(station_col), pad_width, "0"))
         lk = lk.withColumn(station_col, F.lpad(F.col(station_col), pad_width, "0"))
-    lk = broadcast_if_small(lk, LOOKUP_MAX_ROWS)
     return obs.join(lk, [station_col], "inner").withColumnRenamed(id_col, rename_id)
 
 

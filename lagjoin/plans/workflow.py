@@ -40,7 +40,7 @@ FT_ORIGIN, FT_DEST = "FT_ORIGIN_AIRPORT_ID", "FT_DEST_AIRPORT_ID"
 FT_TS, FT_ARRIVAL = "FT_TIMESTAMP", "FT_DEST_DATE_TIME"
 OT_STATION, OT_TS, OT_DATE = "OT_ORIGIN_AIRPORT_ID", "OT_WEATHER_TIMESTAMP", "OT_Date"
 LABEL_LEAKS = ("FT_ARR_DELAY_NEW", "FT_WEATHER_DELAY", "FT_NAS_DELAY")
-REPORTS = ("parquet_files_stats", "flight_missingValues", "weather_missingValues", "countSinFlag",
+REPORTS = ("parquet_files_stats", "fact_missingValues", "weather_missingValues", "countSinFlag",
            "descriptive_stats", "carrier_stats", "delayed_stats")
 MODES = ("cols", "lines", "both")
 
@@ -75,7 +75,7 @@ def with_row_id(df: DataFrame, col: str = FACT_KEY) -> DataFrame:
 
 
 def join(ft: DataFrame, ot: DataFrame, mode: str = "lines", obs_cols: Sequence[str] | None = None,
-         lags: int = L.DEFAULT_LAGS, strategy: str = "aggregate", match_station: bool = True,
+         lags: int = L.DEFAULT_LAGS, match_station: bool = True,
          dedupe: str | None = None) -> tuple[DataFrame | None, DataFrame | None]:
     """Stage B: (cols, lines).  ``ft`` must carry a unique ``FT_ROW_ID`` for
     the wide form (see :func:`with_row_id`); ``obs_cols`` limits the carried
@@ -98,15 +98,14 @@ def join(ft: DataFrame, ot: DataFrame, mode: str = "lines", obs_cols: Sequence[s
             raise ValueError(f"the wide form needs a unique {FACT_KEY} column (with_row_id)")
         side = otm if match_station else L.dedupe_observations(
             otm.select(*(obs_cols or otm.columns)), None, OT_TS)
-        cols = L.lag_join_wide(ftm, side, key_col=FACT_KEY, strategy=strategy,
-                               match_station=match_station, **kw)
+        cols = L.lag_join_wide(ftm, side, match_station=match_station, **kw)
     return cols, lines
 
 
 def train(joined: DataFrame, ds_type: str = "DS1", delayed: float = 15, on_time: float = 1.0,
           key_cols: Sequence[str] | None = None, features: Sequence[str] | None = None,
           num_trees: int = M.NUM_TREES, max_depth: int = M.MAX_DEPTH, folds: int | None = None,
-          seed: int = 42, fill_missing: float | None = None, handle_invalid: str = "skip"
+          seed: int = 42, fill_missing: float | None = None, handle_invalid: str = "error"
           ) -> dict[str, float]:
     """Stage C: labelled datasets (D1 - D9) -> random forest trained on both
     classes' train parts and evaluated on both test parts.
@@ -115,8 +114,10 @@ def train(joined: DataFrame, ds_type: str = "DS1", delayed: float = 15, on_time:
     seconds, minus the label, the delay columns that define the label and
     the row id -- text keys (join keys, ids as text) are left out; string
     columns named in ``features`` are indexed with an indexer fitted on the
-    train part.  Missing feature values (lag-join misses) are dropped
-    (``handle_invalid='skip'``) unless ``fill_missing`` gives a value."""
+    train part.  Missing feature values (lag-join misses) are an error
+    unless ``fill_missing`` gives a value or ``handle_invalid`` says 'keep' or 'skip'."""
+    if key_cols is None and FACT_KEY in joined.columns:
+        key_cols = [FACT_KEY]  # the lag rows of a fact stay in one part
     d_tr, d_te, o_tr, o_te = D.labelled_datasets(joined, ds_type, delayed, on_time,
                                                  key_cols=key_cols)
     train_df, test_df = d_tr.unionByName(o_tr), d_te.unionByName(o_te)
@@ -143,7 +144,8 @@ def train(joined: DataFrame, ds_type: str = "DS1", delayed: float = 15, on_time:
 
 def run(spark: SparkSession, facts_path: str, obs_path: str, stations_path: str, out_dir: str,
         mode: str = "lines", obs_cols: Sequence[str] | None = None, ds_type: str = "DS1",
-        delayed: float = 15, on_time: float = 1.0, **train_kw) -> dict[str, dict[str, float]]:
+        delayed: float = 15, on_time: float = 1.0, dedupe: str | None = "mean", **train_kw
+        ) -> dict[str, dict[str, float]]:
     """All stages; writes under ``out_dir``: reports/*.csv, ft/, ot/,
     joined_cols/ and/or joined_lines/ (partitioned by year and date),
     schema_*.json and metrics_<mode>/metrics.csv.  Returns the metrics per
@@ -155,7 +157,7 @@ def run(spark: SparkSession, facts_path: str, obs_path: str, stations_path: str,
     ft = spark.read.parquet(os.path.join(out_dir, "ft"))
     ot = spark.read.parquet(os.path.join(out_dir, "ot"))
     T.require_rows(ft, "fact table")
-    cols, lines = join(ft, ot, mode, obs_cols)
+    cols, lines = join(ft, ot, mode, obs_cols, dedupe=dedupe)
     out: dict[str, dict[str, float]] = {}
     for name, df in (("cols", cols), ("lines", lines)):
         if df is None:

@@ -56,7 +56,3 @@ def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
         sc.setCheckpointDir(d)
     return d
 
-
-def scratch_path(spark: SparkSession, name: str, default: str | None = None) -> str:
-    """A path under the session's checkpoint folder for written tables."""
-    return os.path.join(checkpoint_dir(spark, default), "lagjoin", name)

@@ -29,7 +29,7 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType
 
 def ingest_facts(df: DataFrame, date_col: str = "FL_DATE", delay_col: str = "ARR_DELAY_NEW",
                  year_col: str = "Year") -> DataFrame:
-    """S4 (facts): delay text -> double, ``Year`` from the flight date."""
+    """S4 (facts): delay text -> double, ``Year`` from the fact date."""
     return df.withColumns({delay_col: S.to_double(delay_col),
                            year_col: F.year(S.to_date_text(date_col))})
 
@@ -58,18 +58,11 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: Sequence[str],
                       mode: str = "overwrite", cluster: bool = True) -> None:
     """Partitioned parquet sink.
 
-    ``cluster=True`` range-partitions by the partition columns plus a
-    deterministic row hash first: each ordinary partition value lands in
-    one task (one file instead of one file per task), while a hot value (a
-    date holding a third of the rows) is split across as many tasks as its
-    sampled share needs.  The hash depends only on the row, so a retried
-    task rebuilds exactly the same partitions."""
+    ``cluster=True`` gathers the rows of a partition value first: one file
+    for an ordinary value.  AQE splits a value that is hot and joins small
+    ones from the sizes it measured, and the source is read once."""
     if cluster:
-        # an explicit count keeps AQE from folding the writers into a few
-        # tasks (each date is one file either way; the count sets parallelism)
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        salt = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-        df = df.repartitionByRange(n, *[F.col(f"`{c}`") for c in partition_cols], salt)
+        df = df.hint("rebalance", *[F.col(f"`{c}`") for c in partition_cols])
     df.write.mode(mode).partitionBy(*partition_cols).parquet(path)
 
 

@@ -10,7 +10,7 @@ from lagjoin.operators.columns import between_dates, union_all
 from lagjoin.operators.stats import range_stats
 
 # Dataset labels of the load statistics.
-STAT_LABELS = ("flight_initial", "weather_initial", "flight_filtered", "weather_filtered")
+STAT_LABELS = ("fact_initial", "weather_initial", "fact_filtered", "weather_filtered")
 JOINED_MODES = ("cols", "lines", "both")
 
 

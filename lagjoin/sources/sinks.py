@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
-from lagjoin.operators.columns import fits_in
 from lagjoin.operators.ml import metrics_frame
 from lagjoin.sources.ingest import write_partitioned
 
@@ -20,12 +19,9 @@ def store_results(df: DataFrame, path: str, partitions: Sequence[str] = RESULT_P
     write_partitioned(df, path, partitions)
 
 
-def write_report_csv(df: DataFrame, path: str, max_rows: int | None = None) -> None:
+def write_report_csv(df: DataFrame, path: str) -> None:
     """Single-file CSV with header (overwrite).  Only the writer is a
-    single task: the report itself is computed in parallel, once.  A caller
-    may ask for a row bound, which costs a run of its own."""
-    if max_rows is not None and not fits_in(df, max_rows):
-        raise ValueError(f"report has more than {max_rows} rows; write it partitioned")
+    single task: the report itself is computed in parallel, once."""
     df.repartition(1).write.mode("overwrite").option("header", "true").csv(path)
 
 

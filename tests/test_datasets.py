@@ -82,7 +82,7 @@ def test_smallest_by_hash_multi_round(spark):
     df = spark.range(5000).withColumnRenamed("id", "k").withColumn("p", F.col("k") % 7)
     expect = [r["k"] for r in df.withColumn("h", S.md5_hex("k")).orderBy("h").limit(1234).collect()]
     # tiny final bucket forces several histogram rounds
-    got = D.smallest_by_hash(df, 1234, ["k"], final_rows=3)
+    got = D.smallest_by_hash(df, 1234, ["k"])
     assert sorted(r["k"] for r in got.collect()) == sorted(expect)
     assert D.smallest_by_hash(df, 0, ["k"]).count() == 0
     assert D.smallest_by_hash(df, 9999, ["k"]).count() == 5000
@@ -90,7 +90,7 @@ def test_smallest_by_hash_multi_round(spark):
 
 def test_smallest_by_hash_identical_rows(spark):
     df = spark.range(300).select(F.lit(1).alias("a"), F.lit("x").alias("b"))
-    got = D.smallest_by_hash(df, 120, None, final_rows=5)
+    got = D.smallest_by_hash(df, 120, None)
     assert got.count() == 120 and got.distinct().count() == 1
 
 

@@ -17,7 +17,7 @@ def _frame(spark):
 
 def test_index_strings_and_epoch(spark):
     df = spark.createDataFrame([("b", "p"), ("a", "q"), ("b", "q"), ("c", None)], "s string, t string")
-    out = M.index_strings(df, ["s", "t"]).collect()
+    out = M.index_strings(df, ["s", "t"], "skip").collect()
     assert len(out) == 3                       # NULL t skipped
     idx = {r["s"] for r in out}
     assert idx == {0.0, 1.0}                   # b most frequent; a before c alphabetically
@@ -72,7 +72,7 @@ def test_single_class_and_null_features(spark):
     df = M.prepare_features(_frame(spark), "label").withColumn(
         "num", F.when(F.col("id") % 10 == 0, None).otherwise(F.col("num")))
     _, pred, met = M.train_random_forest(df.where("label = 1"), df.where("label = 1"), "label",
-                                         ["num"], num_trees=2, max_depth=2)
+                                         ["num"], num_trees=2, max_depth=2, handle_invalid="skip")
     assert met["accuracy"] == 1.0
     assert pred.count() == df.where("label = 1 AND num IS NOT NULL").count()
 

@@ -34,9 +34,9 @@ def test_default_recipes_and_long_join_shape(spark):
     dtypes = dict(ot.dtypes)
     assert dtypes["OT_Visibility"] == "double" and dtypes["OT_SkyCondition"] == "string"
     assert dtypes["OT_WEATHER_TIMESTAMP"] == "timestamp_ntz"
-    ft = T.fact_table(X.raw_event_flights(spark, SF_SMALL), st)
+    ft = T.fact_table(X.raw_event_facts(spark, SF_SMALL), st)
     assert len(ft.columns) == 14
-    cols, lines = W.join(W.with_row_id(ft), ot, "both")
+    cols, lines = W.join(W.with_row_id(ft), ot, "both", dedupe="mean")
     # long: 15 fact (+ row id) + 4 keys + lag + 2 lag times + 30 + 30 observation columns
     assert len(lines.columns) == 15 + 4 + 3 + 30 + 30
     assert lines.count() >= 12 * ft.count()

@@ -8,7 +8,7 @@ COLS = ("Year int, OP_CARRIER_FL_NUM string, OP_CARRIER_AIRLINE_ID string, ORIGI
         "WEATHER_DELAY string, NAS_DELAY string")
 
 
-def _flights(spark):
+def _facts(spark):
     rows = [(2012, "1", "AA", "10", "20", 15.0, "0.00", "0", "5", "5"),    # = threshold: both classes
             (2012, "2", "AA", "10", "21", 3.0, "0.00", "0", None, "1"),   # on time
             (2012, None, "BB", "10", "20", None, "1.00", "0", None, None),  # cancelled, NULL delay
@@ -18,13 +18,13 @@ def _flights(spark):
 
 
 def test_airport_summary(spark):
-    out = {r["ORIGIN_AIRPORT_ID"]: tuple(r)[1:] for r in A.airport_summary(_flights(spark)).collect()}
-    assert out["10"] == (2, 2, 2)     # NULL flight number not counted
+    out = {r["ORIGIN_AIRPORT_ID"]: tuple(r)[1:] for r in A.airport_summary(_facts(spark)).collect()}
+    assert out["10"] == (2, 2, 2)     # NULL carrier number not counted
     assert out["11"] == (2, 2, 2)
 
 
 def test_carrier_performance_semantics(spark):
-    out = {r["year"]: r for r in A.carrier_performance(_flights(spark), on_time=15).collect()}
+    out = {r["year"]: r for r in A.carrier_performance(_facts(spark), on_time=15).collect()}
     r = out[2012]
     # on-time {15, 3} = 2, delayed {15, 40} = 2, cancelled 1, diverted 1 -> total 6
     assert r["nbs de vol"] == 3
@@ -35,7 +35,7 @@ def test_carrier_performance_semantics(spark):
 
 
 def test_delay_breakdown(spark):
-    out = {r["year"]: r for r in A.delay_breakdown(_flights(spark)).collect()}
+    out = {r["year"]: r for r in A.delay_breakdown(_facts(spark)).collect()}
     # 2012 non-zero delays: 15, 3, 40 (NULL excluded) -> total 58; weather 5+10; NAS 5+1+10
     r = out[2012]
     assert r["% Weather_delay"] == pytest.approx(15 / 58 * 100)
@@ -45,7 +45,7 @@ def test_delay_breakdown(spark):
 
 
 def test_top_value_and_union(spark):
-    df = _flights(spark)
+    df = _facts(spark)
     top = C.top_value(df, "OP_CARRIER_AIRLINE_ID").first()
     assert (top["OP_CARRIER_AIRLINE_ID"], top["count"]) == ("AA", 3)
     u = C.union_all([df.select("Year", "ARR_DELAY_NEW"), df.select("ARR_DELAY_NEW", "Year")])

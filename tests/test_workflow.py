@@ -16,12 +16,12 @@ def _csv(df, path):
 @pytest.fixture(scope="module")
 def raw_files(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("wf"))
-    _csv(X.raw_event_flights(spark, SF_SMALL).drop("Year"), root + "/flights")
+    _csv(X.raw_event_facts(spark, SF_SMALL).drop("Year"), root + "/facts")
     w = X.raw_weather(spark, SF_SMALL, hourly=True).drop("Year") \
         .withColumn("Date", F.date_format("Date", "yyyyMMdd"))
     _csv(w, root + "/weather")
     _csv(X.stations(spark, SF_SMALL), root + "/stations")
-    I.create_parquet_tables(spark, root + "/flights", root + "/weather", root + "/fp", root + "/wp")
+    I.create_parquet_tables(spark, root + "/facts", root + "/weather", root + "/fp", root + "/wp")
     return root
 
 
@@ -62,14 +62,14 @@ def test_cli_run(spark, raw_files, tmp_out):
     assert main(["run", "--facts", raw_files + "/fp", "--obs", raw_files + "/wp",
                  "--stations", raw_files + "/stations", "--out", out, "--mode", "lines",
                  "--obs-cols", "OT_ORIGIN_AIRPORT_ID,OT_WEATHER_TIMESTAMP,OT_Visibility",
-                 "--ds-type", "DS4", "--on-time", "5", "--trees", "3", "--depth", "2"]) == 0
+                 "--ds-type", "DS4", "--on-time", "5", "--trees", "3", "--depth", "2", "--fill-missing", "0"]) == 0
     assert os.path.exists(os.path.join(out, "metrics_DS4_lines", "metrics.csv"))
 
 
 def test_cli_ingest(spark, raw_files, tmp_out):
     from lagjoin.__main__ import main
     fo, wo = os.path.join(tmp_out, "f"), os.path.join(tmp_out, "w")
-    assert main(["ingest", "--facts", raw_files + "/flights", "--obs", raw_files + "/weather",
+    assert main(["ingest", "--facts", raw_files + "/facts", "--obs", raw_files + "/weather",
                  "--facts-out", fo, "--obs-out", wo]) == 0
     f, w = spark.read.parquet(fo), spark.read.parquet(wo)
     assert dict(f.dtypes)["FL_DATE"] == "date" and dict(w.dtypes)["Date"] == "date"
