@@ -4,15 +4,18 @@ Patterns give the base spans.  Besides, every long token is tested: its
 encoding is inferred from its characters, and under the hypothesis that its
 symbols are uniform and independent three tests give p-values - chi-squared
 of the symbol counts, runs about the middle of the alphabet, and serial
-correlation - joined by Fisher's method.  Within a text the hypotheses are
-judged together by the Benjamini-Hochberg rule with weights by length, as
+correlation - joined by Fisher's method.  Where no encoding fits, the token is
+split at the characters of the other base64 form, both ways, and every long
+piece is tested.  Of a token that base spans touch, the parts they leave are
+tested; those too short for that, beside a key of letters and digits, are
+tested together.  Within a text the hypotheses are judged together by the Benjamini-Hochberg rule with weights by length, as
 longer tokens give the tests more power; a token whose randomness is not
 rejected is a secret.
 
 Defined results: a null text is empty; a text without a span has an empty
 span list and the digest of the empty string; repeated rows are scanned each.
 Spans count code points, the end is exclusive, and method spans never overlap
-base ones.
+base ones or each other: random pieces that overlap are one span.
 """
 
 from __future__ import annotations
@@ -38,7 +41,11 @@ KINDS = ("assign", "access", "hex", "random")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
+SHORTEST = 20
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
+#: Pieces of a token in one of the two forms of base64, long and of any length.
+ONE_FORM = (re.compile(r"[A-Za-z0-9_-]{20,}={0,2}"), re.compile(r"[A-Za-z0-9+/]{20,}={0,2}"))
+ONE_FORM_RUN = (re.compile(r"[A-Za-z0-9_-]+={0,2}"), re.compile(r"[A-Za-z0-9+/]+={0,2}"))
 LEVEL = 0.05
 #: Alphabets of the encodings, narrowest first.
 ALPHABETS = {
@@ -59,10 +66,14 @@ def _upper(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
+def _encoding(body: str) -> dict[str, int] | None:
+    return next((p for p in _PLACES.values() if all(c in p for c in body)), None)
+
+
 def randomness(token: str) -> float | None:
     """Joint p-value of the three tests; None if no encoding fits."""
     body = token.rstrip("=")
-    place = next((p for p in _PLACES.values() if all(c in p for c in body)), None)
+    place = _encoding(body)
     if place is None:
         return None
     n, m = len(body), len(place)
@@ -113,22 +124,66 @@ def base_spans(text: str, long_run: bool) -> list[tuple[int, int, str]]:
     return out
 
 
+def _length(text: str, a: int, b: int) -> int:
+    return len(text[a:b].rstrip("="))
+
+
+def _pieces(text: str, a: int, b: int) -> list[tuple[int, int]]:
+    """The long pieces of a token that are in one encoding: itself if one
+    fits, else those of both splits."""
+    if _encoding(text[a:b].rstrip("=")):
+        return [(a, b)]
+    return sorted({m.span() for form in ONE_FORM for m in form.finditer(text, a, b)})
+
+
+def _parts(a: int, b: int, taken: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """What the sorted spans of ``taken`` leave of a token."""
+    out = []
+    for s, e, _ in taken:
+        if s < b and a < e:
+            if a < s:
+                out.append((a, s))
+            a = max(a, e)
+    return out + [(a, b)] if a < b else out
+
+
+def _hypotheses(text: str, a: int, b: int, taken: list[tuple[int, int, str]]):
+    """(tested symbols, spans they decide on) of one token."""
+    parts = _parts(a, b, taken)
+    for part in parts:
+        if _length(text, *part) >= SHORTEST:
+            yield from ((text[s:e].rstrip("="), [(s, e)]) for s, e in _pieces(text, *part))
+    # a keyword is no part of a key, so what stands before it is none either
+    if not any(s < b and a < e for s, e, kind in taken if kind != "assign"):
+        return
+    short = [part for part in parts if 0 < _length(text, *part) < SHORTEST]
+    rest = "".join(text[s:e].rstrip("=") for s, e in short)
+    if _encoding(rest):
+        yield rest, short
+    else:
+        for form in ONE_FORM_RUN:
+            at = [m.span() for s, e in short for m in form.finditer(text, s, e)]
+            yield "".join(text[s:e].rstrip("=") for s, e in at), at
+
+
 def random_spans(text: str, taken: list[tuple[int, int, str]], level: float = LEVEL) -> list[tuple[int, int, str]]:
-    """Tokens apart from ``taken`` that look random: letters and digits, not
-    a path or a hyphenated phrase, and the battery does not reject them."""
+    """Tokens, or what ``taken`` leaves of them, that look random: letters and
+    digits, not a path or a hyphenated phrase, and the battery does not
+    reject them."""
+    taken = sorted(taken)
     found, tested = [], []
     for m in TOKEN.finditer(text):
-        a, b = m.span()
-        body = m[0].rstrip("=")
-        if any(a < e and s < b for s, e, _ in taken):
-            continue
-        if not (re.search(r"\d", body) and re.search(r"[A-Za-z]", body)):
-            continue
-        p = randomness(m[0])
-        if p is not None:
-            found.append((a, b, "random"))
-            tested.append((p, len(body)))
-    return [s for s, ok in zip(found, not_rejected(tested, level)) if ok]
+        for body, spans in _hypotheses(text, *m.span(), taken):
+            if re.search(r"\d", body) and re.search(r"[A-Za-z]", body):
+                found.append(spans)
+                tested.append((randomness(body), len(body)))
+    out: list[tuple[int, int, str]] = []
+    for a, b in sorted(s for spans, ok in zip(found, not_rejected(tested, level)) if ok for s in spans):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]), "random")
+        else:
+            out.append((a, b, "random"))
+    return out
 
 
 def _joined(spans: list[tuple[int, int, str]]) -> str:

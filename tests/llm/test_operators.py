@@ -282,6 +282,28 @@ def test_randomness_battery():
     assert not any(secrets.random_spans(t, []) for t in dull)
 
 
+def test_secret_joined_to_the_other_encoding():
+    rng = np.random.default_rng(7)
+    key = lambda name, n: "".join(secrets.ALPHABETS[name][k] for k in rng.integers(0, len(secrets.ALPHABETS[name]), n))
+    found = Counter()
+    for _ in range(100):
+        for kind, before, secret in (("url", "com/reset/", key("base64url", 20) + "-_" + key("base64url", 22)),
+                                     ("plain", "live_key-", key("base64", 20) + "+/" + key("base64", 22)),
+                                     ("around hex", "", key("base36", 11) + "Z" + "0123456789ab" * 2 + "Q" + key("alphanumeric", 11)),
+                                     ("beside hex", "", "0123456789ab" * 2 + "Q" + key("alphanumeric", 39))):
+            text = f"see {before}{secret} now"
+            base = secrets.base_spans(text, True)
+            spans = secrets.random_spans(text, base)
+            every = sorted(base + spans)
+            assert all(x[1] <= y[0] for x, y in zip(every, every[1:]))
+            left = secrets.redacted_text(text, every)
+            found[kind] += not any(secret[i:i + 4] in left for i in range(len(secret) - 3))
+    assert min(found[k] for k in ("url", "plain", "around hex", "beside hex")) > 80, found
+    dull = ["site/2024/how-to-write-a-readable-slug-in-10-steps/part_2", "commit/" + "0123456789ab" * 2]
+    for text in dull:
+        assert not secrets.random_spans(text, secrets.base_spans(text, True))
+
+
 def test_secret_stage_redacts(spark, docs):
     out = secrets.stage(spark, docs, SF_SMALL)
     assert out.columns == docs.columns and out.count() == docs.count()
