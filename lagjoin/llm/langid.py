@@ -6,7 +6,10 @@ BUCKETS rows per language).  A document is a mixture: its trigram counts come
 from language proportions that expectation-maximisation estimates, for all
 documents of a chunk at once.  The language set is chosen by penalised
 likelihood: the k strongest languages are refitted alone, and k is the number
-with the best log-likelihood less PENALTY * (k - 1) * log(trigrams).
+with the best log-likelihood less PENALTY * (k - 1) * log(trigrams).  A
+document is done when no larger set can be better: log-likelihood is concave
+in the proportions, so its slope at the fit of all languages bounds that of
+every set.  The choice depends on the document alone, not on its neighbours.
 
 Defined results: ``und`` with score 0 where the text is null or has no
 letter, or nothing was learned; ties go to the language first in order; rows
@@ -36,8 +39,8 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Bucket of every trigram of lower-cased letter runs (one blank around
     each run), and the row it belongs to."""
     lowered = [unicodedata.normalize("NFC", t).lower() for t in texts]
-    cp = code_points("\n".join(lowered) + "\n")
-    row = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in lowered])
+    cp = code_points("\n" + "\n".join(lowered) + "\n")  # the first text has a blank before it like the others
+    row = np.concatenate(([0], np.repeat(np.arange(len(texts)), [len(t) + 1 for t in lowered])))
     letter = classes()[cp] == LETTER
     keep = letter.copy()
     keep[1:] |= letter[:-1]  # the first other character after a run is its blank
@@ -118,16 +121,23 @@ def mixtures(texts: list[str], log_p: np.ndarray) -> np.ndarray:
     best = np.zeros((len(ids), n_lang))
     best[np.arange(len(ids)), first] = 1
     best_value = alone.max(1)
-    full, _ = _fit(p, n, heads, doc, np.ones((len(ids), n_lang)))
+    full, value = _fit(p, n, heads, doc, np.ones((len(ids), n_lang)))
+    slope = np.add.reduceat(p * (n / (p * full[doc]).sum(1))[:, None], heads, axis=0).max(1)
+    most = (value + slope - np.add.reduceat(n, heads)) * (1 - 1e-9) + 1e-6 + lift
     full[np.arange(len(ids)), first] += 1  # the best single language stays in every set
     rank = np.argsort(np.argsort(-full, 1, kind="stable"), 1)
     for k in range(2, n_lang + 1):
-        pi, value = _fit(p, n, heads, doc, (rank < k).astype(float))
-        value = value + lift - PENALTY * (k - 1) * size
-        better = value > best_value
-        if not better.any():
+        open_ = most - PENALTY * (k - 1) * size > best_value
+        if not open_.any():
             break
-        best[better], best_value[better] = pi[better], value[better]
+        cell = open_[doc]
+        at = np.flatnonzero(open_)
+        length = np.bincount(doc[cell], minlength=len(ids))[at]
+        pi, value = _fit(p[cell], n[cell], np.cumsum(length) - length, np.repeat(np.arange(len(at)), length),
+                         (rank[at] < k).astype(float))
+        value = value + lift[at] - PENALTY * (k - 1) * size[at]
+        better = value > best_value[at]
+        best[at[better]], best_value[at[better]] = pi[better], value[better]
     out[ids] = best
     return out
 

@@ -204,6 +204,51 @@ def test_mixture_proportions():
     assert pi[0].tolist() == [1, 0] and pi[1].tolist() == [0, 1] and abs(pi[2][0] - .45) < .15 and pi[3].sum() == 0
 
 
+def every_size(text, log_p):
+    """The language set by trying every k."""
+    n_lang = log_p.shape[1]
+    bucket, n = np.unique(langid.trigrams([text])[0], return_counts=True)
+    p, n, one = np.exp(log_p[bucket]), n.astype(float), np.zeros(len(bucket), int)
+    fit = lambda mask: langid._fit(p, n, np.zeros(1, int), one, mask[None].astype(float))
+    alone = (log_p[bucket] * n[:, None]).sum(0)
+    first = alone.argmax()
+    strength = fit(np.ones(n_lang))[0][0]
+    strength[first] += 1
+    rank = np.argsort(np.argsort(-strength, kind="stable"))
+    found = [(alone[first], np.eye(n_lang)[first])]
+    for k in range(2, n_lang + 1):
+        pi, value = fit(rank < k)
+        found.append((value[0] - langid.PENALTY * (k - 1) * np.log(n.sum() + 1), pi[0]))
+    return max(found, key=lambda f: f[0])[1]
+
+
+def test_language_set_depends_on_the_document_alone():
+    left, right = "abcdefghijklmnopqrstuvwxyzabdhcegfj", "zyxwvutsrqponmlkjihgfedcbazxtwvsuqp"
+    log_p = np.full((langid.BUCKETS, 3), -20.0)
+    log_p[:, 0] = -8
+    for k, t in ((1, left), (2, right)):
+        log_p[langid.trigrams([t])[0], k] = -8 + np.log(3)
+    both = left + " " + right  # {0, 1} does not beat {0}, {0, 1, 2} does
+    single = langid.mixtures([both], log_p)[0]
+    assert (single[1:] > 0.3).all()
+    neighbour = langid.mixtures([both, left * 20, ""], log_p)
+    assert np.allclose(neighbour[0], single, atol=1e-9)
+    for t in ("a", "ab cd", both):  # the place in the chunk does not matter either
+        (alone, _), (both_of, row) = langid.trigrams([t]), langid.trigrams([t, t])
+        assert len(alone) and all(both_of[row == k].tolist() == alone.tolist() for k in (0, 1))
+
+    rng = np.random.default_rng(3)
+    log_p = np.log(rng.dirichlet(np.full(langid.BUCKETS, 0.3), 6).T + 1e-9)
+    words = np.array(["".join(rng.choice(list("abcdefghijklmnop"), 4)) for _ in range(60)])
+    for k, w in enumerate(words):
+        log_p[langid.trigrams([w])[0], k % 6] += rng.uniform(0, 3)
+    texts = [" ".join(rng.choice(words[rng.integers(0, 6)::rng.integers(1, 7)], rng.integers(1, 80))) for _ in range(150)]
+    got = langid.mixtures(texts, log_p)
+    want = np.array([every_size(t, log_p) for t in texts])
+    assert np.allclose(got, want, atol=1e-6)
+    assert len({int(k) for k in (got > 0.01).sum(1)}) > 2
+
+
 def test_wavelet_round_trip(docs, texts):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(bpe.tokenizer_path("byte_bpe_50k.json"))
