@@ -32,6 +32,8 @@ from lagjoin.llm.shared import mixed, ship, table, text_groups, texts_of
 BUCKETS = 1 << 16
 ROUNDS = 12
 PENALTY = 2.0
+#: Log-likelihood per trigram if all buckets are as likely.
+CHANCE = -float(np.log(BUCKETS))
 UNKNOWN = "und"
 
 
@@ -101,11 +103,17 @@ def _fit(p: np.ndarray, n: np.ndarray, heads: np.ndarray, doc: np.ndarray, mask:
 def mixtures(texts: list[str], log_p: np.ndarray) -> np.ndarray:
     """Proportions [text, language] of the selected language sets; rows of
     zeros where a text has no letter."""
+    return fitted(texts, log_p)[0]
+
+
+def fitted(texts: list[str], log_p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The proportions, and the log-likelihood per trigram under them (minus
+    infinity where a text has no letter)."""
     n_lang = log_p.shape[1]
-    out = np.zeros((len(texts), n_lang))
+    out, fit = np.zeros((len(texts), n_lang)), np.full(len(texts), -np.inf)
     bucket, row = trigrams(texts)
     if not len(bucket) or not n_lang:
-        return out
+        return out, fit
     cells, n = np.unique(row * BUCKETS + bucket, return_counts=True)
     row, bucket, n = cells // BUCKETS, cells % BUCKETS, n.astype(float)
     heads = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
@@ -116,14 +124,16 @@ def mixtures(texts: list[str], log_p: np.ndarray) -> np.ndarray:
     peak = logs.max(1, keepdims=True)
     p = np.exp(logs - peak)
     lift = np.add.reduceat(n * peak[:, 0], heads)
-    size = np.log(np.add.reduceat(n, heads) + 1)
+    total = np.add.reduceat(n, heads)
+    size = np.log(total + 1)
     first = alone.argmax(1)
     best = np.zeros((len(ids), n_lang))
     best[np.arange(len(ids)), first] = 1
     best_value = alone.max(1)
+    chosen = best_value / total
     full, value = _fit(p, n, heads, doc, np.ones((len(ids), n_lang)))
     slope = np.add.reduceat(p * (n / (p * full[doc]).sum(1))[:, None], heads, axis=0).max(1)
-    most = (value + slope - np.add.reduceat(n, heads)) * (1 - 1e-9) + 1e-6 + lift
+    most = (value + slope - total) * (1 - 1e-9) + 1e-6 + lift
     full[np.arange(len(ids)), first] += 1  # the best single language stays in every set
     rank = np.argsort(np.argsort(-full, 1, kind="stable"), 1)
     for k in range(2, n_lang + 1):
@@ -135,15 +145,19 @@ def mixtures(texts: list[str], log_p: np.ndarray) -> np.ndarray:
         length = np.bincount(doc[cell], minlength=len(ids))[at]
         pi, value = _fit(p[cell], n[cell], np.cumsum(length) - length, np.repeat(np.arange(len(at)), length),
                          (rank[at] < k).astype(float))
-        value = value + lift[at] - PENALTY * (k - 1) * size[at]
+        value = value + lift[at]
+        per_trigram = value / total[at]
+        value = value - PENALTY * (k - 1) * size[at]
         better = value > best_value[at]
         best[at[better]], best_value[at[better]] = pi[better], value[better]
-    out[ids] = best
-    return out
+        chosen[at[better]] = per_trigram[better]
+    out[ids], fit[ids] = best, chosen
+    return out, fit
 
 
 def predict(df: DataFrame, keep: list[str], model: tuple[list[str], np.ndarray], text_col: str = "text") -> DataFrame:
-    """``keep``, lang_pred, score (its proportion) and proportions."""
+    """``keep``, lang_pred, score (its proportion), proportions and fit (the
+    log-likelihood per trigram)."""
     spark = df.sparkSession
     ship(spark)
     langs = model[0]
@@ -154,17 +168,17 @@ def predict(df: DataFrame, keep: list[str], model: tuple[list[str], np.ndarray],
         for batch in batches:
             texts = texts_of(batch.column(len(keep))).to_pylist()
             for a, b in text_groups(texts, 500_000):
-                pi = mixtures(texts[a:b], log_p)
+                pi, fit = fitted(texts[a:b], log_p)
                 score = np.clip(pi.max(1), 0, 1) if len(langs) else np.zeros(b - a)
                 best = pi.argmax(1) if len(langs) else None
                 pred = [langs[best[k]] if score[k] > 0 else UNKNOWN for k in range(b - a)]
                 yield pa.RecordBatch.from_arrays(
                     [*batch.slice(a, b - a).columns[:len(keep)], pa.array(pred, pa.string()), pa.array(score),
-                     pa.array(pi.round(4).tolist(), pa.list_(pa.float64()))],
-                    [*keep, "lang_pred", "score", "proportions"])
+                     pa.array(pi.round(4).tolist(), pa.list_(pa.float64())), pa.array(fit)],
+                    [*keep, "lang_pred", "score", "proportions", "fit"])
 
     schema = (df.select(*keep).schema.add("lang_pred", "string").add("score", "double")
-              .add("proportions", T.ArrayType(T.DoubleType())))
+              .add("proportions", T.ArrayType(T.DoubleType())).add("fit", "double"))
     return df.select(*keep, text_col).mapInArrow(run, schema)
 
 
@@ -182,8 +196,9 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents in a language; texts without a letter, and
-    texts no language of which holds half, go."""
+    """Pipeline stage: documents whose language set explains them, however
+    many languages it has; texts without a letter go, and texts whose trigrams
+    any bucket at random explains as well as the learned languages do."""
     model = train(docs.where(~held_out()))
     judged = predict(docs, docs.columns, model)
-    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= 0.5)).select(*docs.columns)
+    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("fit") > CHANCE)).select(*docs.columns)

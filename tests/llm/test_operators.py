@@ -249,6 +249,21 @@ def test_language_set_depends_on_the_document_alone():
     assert len({int(k) for k in (got > 0.01).sum(1)}) > 2
 
 
+def test_language_stage_judges_by_fit(spark):
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("doc_id", "text", "lang")
+    by_lang = {k: " ".join(r["text"] for r in docs.where(F.col("lang") == k).orderBy("doc_id").limit(9).collect())
+               for k in ("en", "de", "fr")}
+    three = " ".join(by_lang[k][:n] for k, n in (("en", 800), ("de", 700), ("fr", 500)))
+    other = "Съешь же ещё этих мягких французских булок да выпей чаю, потом приходи снова " * 3
+    added = spark.createDataFrame([(-1, three, None), (-2, other, None), (-3, "123 !", None)], docs.schema)
+    every = docs.unionByName(added)
+    kept = {r["doc_id"] for r in langid.stage(spark, every, SF_CHECK).collect()}
+    assert -1 in kept and not {-2, -3} & kept
+    assert len(kept) > 0.95 * docs.count()
+    shares = langid.predict(added, ["doc_id"], langid.train(docs)).where("doc_id = -1").first()
+    assert shares["score"] < 0.5 and sum(x > 0.2 for x in shares["proportions"]) == 3
+
+
 def test_wavelet_round_trip(docs, texts):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(bpe.tokenizer_path("byte_bpe_50k.json"))
