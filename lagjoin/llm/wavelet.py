@@ -1,8 +1,8 @@
 """Token-id output as wavelet matrices.
 
-Documents are dealt by id range and sorted; each task encodes its documents
-and writes shard files.  A shard holds its documents' ids, offsets and a
-wavelet matrix of all token ids: one bit-plane per bit, highest first, each
+Documents are dealt by ranges of id and text and sorted, so rows of one id may
+span tasks; each task encodes its documents and writes shard files.  A shard
+holds its documents' ids, offsets and a wavelet matrix of all token ids: one bit-plane per bit, highest first, each
 stably partitioned by the planes before, with running counts per 512 bits for
 rank and select.  Access, counting and occurrence lookup work on the planes
 of one file, without the tokens.
@@ -222,7 +222,7 @@ def write_shards(df: DataFrame, id_col: str, text_col: str, folder: str | None =
             yield flush()
 
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    dealt = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
+    dealt = rows.repartitionByRange("id", "text").sortWithinPartitions("id", "text")
     shards = written(dealt.mapInArrow(run, "part int, seq int, file string, docs long, tokens long"), "shards")
     order = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
     return written(shards.withColumn("base", F.coalesce(F.sum("tokens").over(order), F.lit(0).cast("long"))), "shards")

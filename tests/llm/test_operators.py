@@ -278,6 +278,19 @@ def test_wavelet_round_trip(docs, texts):
     assert counted(wavelet.read_shards(shards).collect()) == want
 
 
+def test_wavelet_deals_one_id_over_tasks(spark):
+    rows = [(None if k % 2 else 7, f"{k * 7919 % 400:03d} some words of the text") for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = wavelet.write_shards(df, "doc_id", "text", shard_tokens=10**6).groupBy("part").agg(F.sum("docs").alias("n"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert parts.count() > 2 and parts.agg(F.max("n")).first()[0] < 200
+    got = wavelet.read_shards(wavelet.write_shards(df, "doc_id", "text")).orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == [None] * 200 + [7] * 200
+
+
 def test_wavelet_support():
     rng = np.random.default_rng(1)
     for n, top in ((0, 5), (1, 1), (513, 2), (3000, 700)):
