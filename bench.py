@@ -25,9 +25,7 @@ HEADLINE = [
     "Q7_fact_table",            # fact recipe: clean, filter, time zones
     "Q6_obs_table",             # observation recipe: impute, flag-correct, lookup
     "J6_lag_long",              # long lag join (origin + destination)
-    "J7_lag_wide",              # wide lag join, aggregate strategy
-    "J7_lag_wide_joins",        # wide lag join, 24 joins (broadcast after a size check)
-    "J7_lag_wide_obs_explode",  # wide lag join, observations exploded instead of facts
+    "J7_lag_wide",              # wide lag join by frames
     "S12_S11_result_roundtrip", # long join written date-partitioned, reloaded, summarised
     "Q1_missing_report",
     "Q2_flag_report",
@@ -47,7 +45,6 @@ PHASES = {
     "read_parquet": ["S9_load_stats"],
     "Create_tables": ["Q7_fact_table", "Q6_obs_table"],
     "Store_parquet_FinalDf": ["J6_lag_long", "J7_lag_wide", "S12_S11_result_roundtrip"],
-    "wide_join_alternatives": ["J7_lag_wide_joins", "J7_lag_wide_obs_explode"],
     "reports": ["Q1_missing_report", "Q2_flag_report", "A1_airport_summary",
                 "A2_carrier_performance", "A3_delay_breakdown"],
     "FilteredDataFrames": ["D4_DS4", "D7_D8_balanced_split"],
