@@ -166,6 +166,15 @@ def md5_hex(*keys) -> Column:
     return F.md5(F.coalesce(txt, F.lit("\0null")))
 
 
+def md5_row(*columns) -> Column:
+    """md5 of whole rows: JSON marks nulls and column borders and the formats
+    keep microseconds, so only identical rows have equal digests."""
+    text = F.to_json(F.struct(*[_c(c) for c in columns]),
+                     {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                      "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"})
+    return F.md5(text)
+
+
 def md5_prefix_int(*keys, digits: int = 8) -> Column:
     """First ``digits`` hex digits of md5(key) as a non-negative bigint."""
     return F.conv(F.substring(md5_hex(*keys), 1, digits), 16, 10).cast("long")

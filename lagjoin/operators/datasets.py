@@ -51,14 +51,10 @@ def on_time_condition(threshold: float, arr: str = "FT_ARR_DELAY_NEW") -> Column
 
 def row_hash(df: DataFrame, key_cols: Sequence[str] | None) -> Column:
     """Sort key for deterministic selection: md5 of the key columns (all
-    columns when no key is given); with a partial key, md5 of the full row
-    is appended to order rows that share a key."""
-    if not key_cols:
-        return S.md5_hex(*df.columns)
-    h = S.md5_hex(*key_cols)
-    if set(key_cols) >= set(df.columns):
-        return h
-    return F.concat(h, S.md5_hex(*df.columns))
+    columns when no key is given); with a key, md5 of the full row is appended
+    to order rows that share a key or its text."""
+    full = S.md5_row(*df.columns)
+    return F.concat(S.md5_hex(*key_cols), full) if key_cols else full
 
 
 def smallest_by_hash(df: DataFrame, n: int, key_cols: Sequence[str] | None = None) -> DataFrame:
@@ -68,7 +64,7 @@ def smallest_by_hash(df: DataFrame, n: int, key_cols: Sequence[str] | None = Non
     if n <= 0:
         return df.limit(0)
     x = df.withColumn("__s", row_hash(df, key_cols))
-    width = 64 if (key_cols and not set(key_cols) >= set(df.columns)) else 32
+    width = 64 if key_cols else 32
     prefix, remaining = "", n
     while len(prefix) < width:
         depth = len(prefix)

@@ -88,6 +88,17 @@ def test_smallest_by_hash_multi_round(spark):
     assert D.smallest_by_hash(df, 9999, ["k"]).count() == 5000
 
 
+def test_smallest_by_hash_keeps_rows_apart(spark):
+    rows = [(1, "a", None, "2020-01-01 00:00:00.000001"), (1, None, "a", "2020-01-01 00:00:00.000001"),
+            (1, "a|b", "c", "2020-01-01 00:00:00.000001"), (1, "a", "b|c", "2020-01-01 00:00:00.000001"),
+            (1, "a", None, "2020-01-01 00:00:00.000002")]
+    df = spark.createDataFrame(rows, "k int, x string, y string, t string").withColumn("t", F.col("t").cast("timestamp"))
+    for keys in (None, ["k"], ["k", "x", "y"], df.columns):
+        for n in range(1, 5):
+            got = D.smallest_by_hash(df, n, keys).collect()
+            assert len(got) == len(set(got)) == n, (keys, n)
+
+
 def test_smallest_by_hash_identical_rows(spark):
     df = spark.range(300).select(F.lit(1).alias("a"), F.lit("x").alias("b"))
     got = D.smallest_by_hash(df, 120, None)
