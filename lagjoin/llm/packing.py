@@ -174,38 +174,41 @@ def place(cut_pieces: DataFrame, capacity: int = CAPACITY, payload: str = "ids")
     # a class has one row here, and there are about 2 sqrt(capacity) classes
     totals = {r["class_order"]: r["n"]
               for r in counts.groupBy("class_order").agg(F.sum("n").alias("n")).collect()}
-    ranked = cut_pieces.join(bases, ["part", "class_order"]).withColumn("rank", F.col("base") + F.col("seq"))
     first, begin, rows = 0, 0, []
     for j, n in sorted(totals.items()):
         rows.append((j, n // j, first))
         first += n // j
     classes = spark.createDataFrame(rows, "class_order long, full long, first long")
-    ranked = ranked.join(F.broadcast(classes), "class_order").withColumn(
-        "nth", F.floor(F.col("rank") / order)).drop("part", "seq", "base")
-    left = ranked.where(F.col("nth") >= F.col("full"))
+    name = "ids_crc32" if payload == "crc32" else "ids"
+    held = F.crc32("ids").alias(name) if payload == "crc32" else F.col("ids")
+    key = ["part", "class_order", "seq"]
+    columns = ["doc_id", "start", "length", name, "doc_tokens", "sequence_id", "offset"]
+    ranked = (cut_pieces.select(*key, "doc_id", "start", "length", "doc_tokens", held)
+              .join(bases, ["part", "class_order"]).join(F.broadcast(classes), "class_order")
+              .withColumn("rank", F.col("base") + F.col("seq"))
+              .withColumn("nth", F.floor(F.col("rank") / order)))
+    left = ranked.where(F.col("nth") >= F.col("full")).select(*key, "doc_id", "start", "length", "doc_tokens", "rank")
     begins = []
     for r in sorted(left.groupBy("class_order").agg(F.sum("length").alias("n")).collect()):
         begins.append((r["class_order"], begin))
         begin += r["n"]
-    held = F.crc32("ids").alias("ids_crc32") if payload == "crc32" else F.col("ids")
-    columns = ["doc_id", "start", "length", held, "doc_tokens", "sequence_id", "offset"]
 
     in_sequence = Window.partitionBy("sequence_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    name = "ids_crc32" if payload == "crc32" else "ids"
     filled = (ranked.where(F.col("nth") < F.col("full"))
-              .select("doc_id", "start", "length", held, "doc_tokens", "rank",
-                      (F.col("first") + F.col("nth")).alias("sequence_id"))
-              .withColumn("offset", F.coalesce(F.sum("length").over(in_sequence), F.lit(0)))
-              .select(*[name if c is held else c for c in columns]))
+              .withColumn("sequence_id", F.col("first") + F.col("nth"))
+              .withColumn("offset", F.coalesce(F.sum("length").over(in_sequence), F.lit(0))).select(*columns))
 
-    # fewer than ``order`` pieces of a class are left over: one small group each
+    # fewer than ``order`` pieces of a class are left over, one small group
+    # each: below capacity * ln(capacity) rows, whatever the corpus, so
+    # they are sent to where their tokens lie
     cuts = F.array(*[F.struct(F.lit(k).cast("long").alias("k"), F.lit(a).cast("long").alias("a"),
                               F.lit(b).cast("long").alias("b"))
                      for k, (a, b) in enumerate(_stretches(begin, capacity), first)] or
                    [F.struct(F.lit(0).cast("long").alias("k"), F.lit(0).cast("long").alias("a"),
                              F.lit(0).cast("long").alias("b"))])
     in_class = Window.partitionBy("class_order").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
-    strung = (left.join(F.broadcast(spark.createDataFrame(begins, "class_order long, begin long")), "class_order")
+    strung = (cut_pieces.select(*key, "ids").join(F.broadcast(left), key)
+              .join(F.broadcast(spark.createDataFrame(begins, "class_order long, begin long")), "class_order")
               .withColumn("at", F.col("begin") + F.coalesce(F.sum("length").over(in_class), F.lit(0)))
               .withColumn("cut", F.explode(F.filter(cuts, lambda c: (c["b"] > F.col("at")) &
                                                     (c["a"] < F.col("at") + F.col("length")))))
@@ -217,6 +220,8 @@ def place(cut_pieces: DataFrame, capacity: int = CAPACITY, payload: str = "ids")
               .withColumn("ids", F.substring("ids", (4 * F.col("skip") + 1).cast("int"),
                                              (4 * F.col("length")).cast("int")))
               .withColumn("sequence_id", F.col("cut.k")))
+    if payload == "crc32":
+        strung = strung.withColumn(name, F.crc32("ids"))
     return filled.unionByName(strung.select(*columns))
 
 
