@@ -56,10 +56,10 @@ PHASES = {
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    from lagjoin.session import checkpoint_dir, get_spark
+    from lagjoin.session import get_spark
     spark = get_spark(f"local[{cpus}]", app="lagjoin-bench", shuffle_partitions=cpus * 2,
-                      extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
-    checkpoint_dir(spark, default=tempfile.mkdtemp(prefix="lagjoin-bench-", dir="/tmp"))
+                      extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g"),
+                             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="lagjoin-bench-", dir="/tmp")})
     from lagjoin.plans.catalog import queries
     qs = queries()
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]

@@ -29,6 +29,7 @@ from lagjoin.session import checkpoint_dir
 from lagjoin.sources import ingest as I
 from lagjoin.sources import parquet as P
 from lagjoin.sources import sinks as K
+from lagjoin.streaming.enrich import enrich_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 LAGS = 12
@@ -47,8 +48,7 @@ def _sql_round(sql: str, cols: list[str]) -> str:
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    base = checkpoint_dir(spark, default=os.path.join("/tmp", "lagjoin-checkpoints"))
-    return os.path.join(base, "lagjoin-scratch", f"{name}-{uuid.uuid4().hex}")
+    return os.path.join(checkpoint_dir(spark), "lagjoin-scratch", f"{name}-{uuid.uuid4().hex}")
 
 
 # ============================================================================
@@ -94,12 +94,29 @@ def q_j6(spark, sf):
     return _lag_long(spark, sf, with_dest=True)
 
 
-def q_j6_obs_explode(spark, sf):
+def q_j6_joins(spark, sf):
     f, o = X.facts(spark, sf), X.obs(spark, sf)
     return L.lag_join_long(f, o, origin_col="origin", origin_ts_col="t", station_col="station",
                            obs_ts_col="ts", dest_col="dest", dest_ts_col="arr",
                            origin_lag_col="t_lag", dest_lag_col="arr_lag", lags=LAGS,
-                           strategy="frames")
+                           strategy="joins", skew_salt=4)
+
+
+def q_j6_dup(spark, sf):
+    """Readings as they are: a lag row repeats for every origin x destination
+    pair of readings."""
+    j = L.lag_join_long(X.facts(spark, sf), X.readings(spark, sf), origin_col="origin", origin_ts_col="t",
+                        station_col="station", obs_ts_col="ts", dest_col="dest", dest_ts_col="arr",
+                        origin_lag_col="t_lag", dest_lag_col="arr_lag", lags=LAGS)
+    return j.drop("station_ORIG", "station_DEST", "ts_ORIG", "ts_DEST")
+
+
+SQL_J6_DUP = f"""WITH facts AS ({X.FACTS_SQL}), obs AS ({X.READINGS_SQL}),
+y AS (SELECT f.*, CAST(h.range AS INTEGER) AS hours_lag, f.t - to_hours(CAST(h.range AS INTEGER)) AS t_lag,
+             f.arr - to_hours(CAST(h.range AS INTEGER)) AS arr_lag FROM facts f CROSS JOIN range({LAGS}) h)
+SELECT y.*, o.event_id AS event_id_ORIG, o.user_id AS user_id_ORIG, d.event_id AS event_id_DEST, d.user_id AS user_id_DEST
+FROM y LEFT JOIN obs o ON o.station = y.origin AND o.ts = y.t_lag
+       LEFT JOIN obs d ON d.station = y.dest AND d.ts = y.arr_lag"""
 
 
 def _wide(spark, sf, match_station=True):
@@ -137,33 +154,29 @@ def q_j7_time_only(spark, sf):
     return _wide(spark, sf, False)
 
 
-def _readings(spark, sf):
-    """Every view event as a reading of its hour: several share a key."""
-    e = X.table(spark, sf, "events").where(F.col("event_type") == "view")
-    return e.select((F.col("user_id") % X.NATIONS).alias("station"), S.trunc_hour("ts").alias("ts"), "event_id", "user_id")
-
-
 SQL_READINGS = f"""SELECT station, ts, event_id, user_id FROM (
-  SELECT user_id % {X.NATIONS} AS station, date_trunc('hour', ts) AS ts, event_id, user_id,
-         row_number() OVER (PARTITION BY user_id % {X.NATIONS}, date_trunc('hour', ts) ORDER BY event_id, user_id) AS k
-  FROM events WHERE event_type = 'view') WHERE k = 1"""
+  SELECT *, row_number() OVER (PARTITION BY station, ts ORDER BY event_id, user_id) AS k
+  FROM ({X.READINGS_SQL})) WHERE k = 1"""
 
 
 def q_j7_dup(spark, sf):
-    return L.lag_join_wide(X.facts(spark, sf), _readings(spark, sf), origin_col="origin", origin_ts_col="t",
+    return L.lag_join_wide(X.facts(spark, sf), X.readings(spark, sf), origin_col="origin", origin_ts_col="t",
                            station_col="station", obs_ts_col="ts", dest_col="dest", dest_ts_col="arr", lags=LAGS,
                            duplicates="first", origin_part="t_part_{h}", dest_part="arr_part_{h}")
 
 
 def q_j6_stream(spark, sf):
-    from lagjoin.streaming.enrich import enrich_stream_once
-    return enrich_stream_once(spark, sf, _scratch(spark, "stream"))
+    root = _scratch(spark, "stream")
+    return enrich_available(X.facts_stream(spark, sf), X.obs(spark, sf), root + "/out", root + "/checkpoint",
+                            origin_col="origin", origin_ts_col="t", station_col="station", obs_ts_col="ts",
+                            dest_col="dest", dest_ts_col="arr", origin_lag_col="t_lag", dest_lag_col="arr_lag",
+                            lags=LAGS)
 
 
 # --- P11 - P14 -------------------------------------------------------------------
 
 def q_p13(spark, sf):
-    e = X.table(spark, sf, "events").where(F.col("event_type") == "purchase")
+    e = X.table(spark, sf, "events").where(F.col("event_type") != "view")
     t = S.trunc_hour("ts")
     f = e.select(F.col("event_id").alias("fact_id"),
                  (F.col("user_id") % X.NATIONS).cast("string").alias("origin_id"),
@@ -179,7 +192,7 @@ SQL_P13 = f"""WITH st AS ({X.STATIONS_SQL}),
 f AS (SELECT event_id AS fact_id, CAST(user_id % {X.NATIONS} AS VARCHAR) AS origin_id,
              CAST(user_id % {X.DEST_MOD} AS VARCHAR) AS dest_id, date_trunc('hour', ts) AS t,
              CAST(date_trunc('hour', ts) AS DATE) AS d, value AS elapsed
-      FROM events WHERE event_type = 'purchase'),
+      FROM events WHERE event_type <> 'view'),
 z AS (SELECT f.*, CAST(de.TimeZone AS INTEGER) - CAST(og.TimeZone AS INTEGER) AS Delta_Lag
       FROM f JOIN st og ON f.origin_id = og.AirportID JOIN st de ON f.dest_id = de.AirportID),
 a AS (SELECT z.*, 'FT' AS TAG,
@@ -895,14 +908,11 @@ CATALOG: dict[str, tuple[Query, str | None]] = {
     "J5_lag_long_origin": (q_j5, _long_sql(False)),
     "J6_lag_long": (q_j6, _long_sql(True)),
     "J6_lag_long_stream": (q_j6_stream, _long_sql(True)),
-    "J6_lag_long_obs_explode": (q_j6_obs_explode, _long_sql(True)),
+    "J6_lag_long_joins": (q_j6_joins, _long_sql(True)),
+    "J6_lag_long_dup": (q_j6_dup, SQL_J6_DUP),
     "J7_lag_wide": (q_j7, _wide_sql(True)),
-    "J7_lag_wide_joins": (q_j7, _wide_sql(True)),
     "J7_lag_wide_dup": (q_j7_dup, _wide_sql(True, SQL_READINGS, ("event_id", "user_id"))),
     "J7_lag_wide_time_only": (q_j7_time_only, _wide_sql(False)),
-    "J7_lag_wide_time_only_joins": (q_j7_time_only, _wide_sql(False)),
-    "J7_lag_wide_obs_explode": (q_j7, _wide_sql(True)),
-    "J7_lag_wide_time_only_obs_explode": (q_j7_time_only, _wide_sql(False)),
     "P13_P14_arrival_keys": (q_p13, SQL_P13),
     "P12_obs_key": (q_p12, SQL_P12),
     "P1_P2_rename": (q_p1_p2, SQL_P1_P2),

@@ -7,10 +7,11 @@ SQL text (a CTE body) used by the DuckDB oracle; both must stay in step.
 
     stations      nation: AirportID, WBAN (shared by two airports for some
                   codes), TimeZone
-    facts         purchase events: one fact per event, hour-truncated time,
-                  origin/destination stations, arrival 2 h later
+    facts         all events but views: one fact per event, hour-truncated
+                  time, origin/destination stations, arrival 2 h later
     obs           view events per (station, hour): count and mean value
     obs_hour      view events per hour (time-only matching)
+    readings      view events as they are: several readings share an hour
     raw_weather   every event as a raw observation row (text measures with
                   junk, NULL, NaN, quality flags)
     raw_facts   every lineitem as a raw fact row (text columns)
@@ -58,9 +59,13 @@ FROM nation"""
 # --- lag-join facts and observations -------------------------------------------
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+    return facts_of(table(spark, sf_dir, "events"))
+
+
+def facts_of(events: DataFrame) -> DataFrame:
+    """The facts of an event table or stream."""
     t = _hour("ts")
-    return (e.where(F.col("event_type") == "purchase")
+    return (events.where(F.col("event_type") != "view")
              .select(F.col("event_id").alias("fact_id"),
                      (F.col("user_id") % NATIONS).alias("origin"),
                      (F.col("user_id") % DEST_MOD).alias("dest"),
@@ -69,7 +74,16 @@ def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 FACTS_SQL = f"""SELECT event_id AS fact_id, user_id % {NATIONS} AS origin, user_id % {DEST_MOD} AS dest,
        date_trunc('hour', ts) AS t, date_trunc('hour', ts) + INTERVAL 2 HOUR AS arr
-FROM events WHERE event_type = 'purchase'"""
+FROM events WHERE event_type <> 'view'"""
+
+
+def facts_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facts read as a file stream."""
+    folder = sf_dir.rstrip("/")
+    # a file stream lists a directory: point it at the folder, glob the file
+    events = (spark.readStream.schema(table(spark, sf_dir, "events").schema).option("basePath", folder)
+              .parquet(f"{folder}/events.parque[t]"))
+    return facts_of(events)
 
 
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +108,16 @@ OBS_HOUR_SQL = """SELECT date_trunc('hour', ts) AS ts, count(*) AS n, round(avg(
 FROM events WHERE event_type = 'view' GROUP BY 1"""
 
 
+def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every view event as a reading of its hour: several share a key."""
+    e = table(spark, sf_dir, "events").where(F.col("event_type") == "view")
+    return e.select((F.col("user_id") % NATIONS).alias("station"), _hour("ts").alias("ts"), "event_id", "user_id")
+
+
+READINGS_SQL = f"""SELECT user_id % {NATIONS} AS station, date_trunc('hour', ts) AS ts, event_id, user_id
+FROM events WHERE event_type = 'view'"""
+
+
 # --- raw observation rows (text, as read from the feed) -------------------------
 
 def raw_weather(spark: SparkSession, sf_dir: str, hourly: bool = False) -> DataFrame:
@@ -217,9 +241,9 @@ FROM lineitem"""
 
 
 def raw_event_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchase events as raw fact rows, departing on the hour, so they
+    """All events but views as raw fact rows, departing on the hour, so they
     share dates and hours with the (hourly) raw observations."""
-    e = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    e = table(spark, sf_dir, "events").where(F.col("event_type") != "view")
     eid, v, u = F.col("event_id"), F.col("value"), F.col("user_id")
     return e.select(
         (u % 10).cast("string").alias("OP_CARRIER_AIRLINE_ID"),
@@ -252,7 +276,7 @@ RAW_EVENT_FACTS_SQL = f"""SELECT CAST(user_id % 10 AS VARCHAR) AS OP_CARRIER_AIR
        CAST(NULL AS VARCHAR) AS _c12,
        CAST(year(ts) AS INTEGER) AS Year,
        CAST(ts AS DATE) AS FL_DATE
-FROM events WHERE event_type = 'purchase'"""
+FROM events WHERE event_type <> 'view'"""
 
 
 # --- delay triples ---------------------------------------------------------------------

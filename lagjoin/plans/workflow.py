@@ -91,7 +91,8 @@ def join(ft: DataFrame, ot: DataFrame, mode: str = "lines", obs_cols: Sequence[s
     kw = dict(origin_col=FT_ORIGIN, origin_ts_col=FT_TS, station_col=OT_STATION,
               obs_ts_col=OT_TS, dest_col=FT_DEST, dest_ts_col=FT_ARRIVAL, obs_cols=obs_cols,
               lags=lags)
-    lines = L.lag_join_long(ftm, otm, **kw) if mode in ("lines", "both") else None
+    unique = "unique" if dedupe is not None else "all"
+    lines = L.lag_join_long(ftm, otm, duplicates=unique, **kw) if mode in ("lines", "both") else None
     cols = None
     if mode in ("cols", "both"):
         if FACT_KEY not in ft.columns:

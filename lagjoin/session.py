@@ -6,7 +6,8 @@ The library never changes session-wide settings behind the caller's back;
 
 from __future__ import annotations
 
-import os
+import re
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -37,22 +38,19 @@ def get_spark(master: str | None = None, app: str = "lagjoin",
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
-    """Shared folder for lineage cuts: ``spark.checkpoint.dir`` from the
-    session (or the context's checkpoint folder).  ``default`` is installed
-    only when neither is set -- tests pass a scratch folder; on a cluster the
-    setting must exist."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
-    if not d:
-        d = sc.getCheckpointDir()
-    if not d:
-        if default is None:
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; configure a shared folder "
-                "for the cluster (tests may pass default=...)")
-        d = default
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(d)
-    return d
+_LOCAL_DIR: list[str] = []
 
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """Shared folder for lineage cuts and scratch tables: the session's
+    ``spark.checkpoint.dir``, else the context's checkpoint folder.  Where
+    neither is set, a local master gets a scratch folder of this process; a
+    cluster has no folder that all its machines share, so that raises."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir is not set; name a folder that the whole cluster shares")
+    if not _LOCAL_DIR:
+        _LOCAL_DIR.append(tempfile.mkdtemp(prefix="lagjoin-"))
+    return _LOCAL_DIR[0]

@@ -1,5 +1,5 @@
 """Structured Streaming entry points."""
 
-from lagjoin.streaming.enrich import enrich_stream, start_enrichment
+from lagjoin.streaming.enrich import enrich_available, enrich_stream, start_enrichment
 
-__all__ = ["enrich_stream", "start_enrichment"]
+__all__ = ["enrich_available", "enrich_stream", "start_enrichment"]

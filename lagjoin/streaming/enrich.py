@@ -2,22 +2,17 @@
 
 The long lag join is a stream-static LEFT join (facts stream on the left,
 observation table static on the right), which Structured Streaming runs
-per micro-batch without state: every arriving fact is exploded over the lag
-range and matched against the observation table.  A file sink with a
+per micro-batch without state: every arriving fact meets the frames of the
+observation table and is fanned out over the lags.  A file sink with a
 checkpoint location makes the output exactly-once and restartable after a
 lost executor or driver.
 """
 
 from __future__ import annotations
 
-import os
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from lagjoin.functions.scalar import trunc_hour
 from lagjoin.operators.lagged import lag_join_long
-from lagjoin.plans import fixtures as X
 
 
 def enrich_stream(facts_stream: DataFrame, obs: DataFrame, **lag_kwargs) -> DataFrame:
@@ -37,29 +32,13 @@ def start_enrichment(facts_stream: DataFrame, obs: DataFrame, out_path: str, che
     return w.start(out_path)
 
 
-def purchase_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fixture facts (purchase events) read as a file stream."""
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    # a file stream lists a directory: point it at the folder, glob the file
-    e = (spark.readStream.schema(schema).option("basePath", sf_dir.rstrip("/"))
-         .parquet(f"{sf_dir.rstrip('/')}/events.parque[t]"))
-    t = trunc_hour("ts")
-    return (e.where(F.col("event_type") == "purchase")
-             .select(F.col("event_id").alias("fact_id"),
-                     (F.col("user_id") % X.NATIONS).alias("origin"),
-                     (F.col("user_id") % X.DEST_MOD).alias("dest"),
-                     t.alias("t"), (t + F.expr("INTERVAL 2 HOURS")).alias("arr")))
-
-
-def enrich_stream_once(spark: SparkSession, sf_dir: str, scratch: str, lags: int = 12) -> DataFrame:
-    """Run the streaming enrichment over everything available, then read
-    the sink back as a batch DataFrame."""
-    out, ck = os.path.join(scratch, "out"), os.path.join(scratch, "checkpoint")
-    q = start_enrichment(purchase_stream(spark, sf_dir), X.obs(spark, sf_dir), out, ck,
-                         available_now=True, origin_col="origin", origin_ts_col="t",
-                         station_col="station", obs_ts_col="ts", dest_col="dest",
-                         dest_ts_col="arr", origin_lag_col="t_lag", dest_lag_col="arr_lag",
-                         lags=lags)
-    q.awaitTermination()
-    return spark.read.parquet(out)
+def enrich_available(facts_stream: DataFrame, obs: DataFrame, out_path: str, checkpoint: str,
+                     timeout: float = 3600, **lag_kwargs) -> DataFrame:
+    """Enrich everything that the stream holds now, and read the sink back as
+    a batch DataFrame.  A run that does not end within ``timeout`` seconds is
+    stopped and raises; its checkpoint lets the next run go on."""
+    q = start_enrichment(facts_stream, obs, out_path, checkpoint, available_now=True, **lag_kwargs)
+    if not q.awaitTermination(timeout):
+        q.stop()
+        raise TimeoutError(f"the enrichment was still running after {timeout} seconds")
+    return facts_stream.sparkSession.read.parquet(out_path)

@@ -20,10 +20,9 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
+         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lagjoin-ckpt-", dir="/tmp"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    from lagjoin.session import checkpoint_dir
-    checkpoint_dir(s, default=tempfile.mkdtemp(prefix="lagjoin-ckpt-", dir="/tmp"))
     yield s
 
 
