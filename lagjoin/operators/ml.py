@@ -1,6 +1,7 @@
 """Spark ML helpers: encoding, validation, random-forest training and
 metrics (M1 - M10).  Everything runs through Spark ML estimators and
-DataFrame aggregates; only fitted metric scalars reach the driver."""
+DataFrame aggregates; fitted forests, metric scalars and the values of the
+label reach the driver."""
 
 from __future__ import annotations
 
@@ -17,6 +18,9 @@ from pyspark.sql.types import (DateType, DoubleType, StringType, StructField, St
                                TimestampNTZType, TimestampType)
 
 from lagjoin.functions import scalar as S
+from lagjoin.operators.columns import select_columns
+from lagjoin.operators.dictionary import fit_dictionary
+from lagjoin.session import written
 
 # Metric names reported after training and the model defaults.
 METRIC_NAMES = ("accuracy", "f1Score", "recall", "precision", "numTrees", "maxDepth")
@@ -24,22 +28,19 @@ EVALUATOR_METRICS = {"accuracy": "accuracy", "f1Score": "f1", "recall": "weighte
                      "precision": "weightedPrecision"}
 NUM_TREES, MAX_DEPTH = 20, 5
 
+#: Categories of a text feature, and the most that a forest takes.
+MAX_CATEGORIES, MAX_BINS = 64, 10_000
+
 
 # --- M1 / M2 -----------------------------------------------------------------
 
 def index_strings(df: DataFrame, cols: Sequence[str], handle_invalid: str = "error") -> DataFrame:
     """M1: replace each string column by its frequency-rank index (double,
-    most frequent = 0, ties alphabetical).  One multi-column StringIndexer:
-    one pass to count all columns.  A NULL or unseen value is an error unless
-    the caller chooses 'keep' (an index of its own) or 'skip' (the row goes)."""
+    most frequent = 0, ties alphabetical), by a distributed dictionary of all
+    columns.  A NULL value is an error unless the caller chooses 'keep' (an
+    index of its own) or 'skip' (the row goes)."""
     cols = list(cols)
-    if not cols:
-        return df
-    outs = [f"__idx_{i}" for i in range(len(cols))]
-    model = StringIndexer(inputCols=cols, outputCols=outs, handleInvalid=handle_invalid).fit(df)
-    t = model.transform(df)
-    rename = dict(zip(cols, outs))
-    return t.select(*[F.col(rename[c]).alias(c) if c in rename else F.col(c) for c in df.columns])
+    return fit_dictionary(df, cols).transform(df, handle_invalid) if cols else df
 
 
 def dates_to_epoch(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -109,42 +110,77 @@ def feature_columns(df: DataFrame, label_col: str, exclude: Sequence[str] = ())
     return [f.name for f in df.schema.fields if f.name not in skip and S.is_numeric(f.dataType)]
 
 
-def prepare_features(df: DataFrame, label_col: str, handle_invalid: str = "error") -> DataFrame:
-    """M1 + M2 on every string / temporal column of ``df``."""
+def prepare_features(df: DataFrame, label_col: str, handle_invalid: str = "error",
+                     max_categories: int = MAX_CATEGORIES, fit_on: DataFrame | None = None) -> DataFrame:
+    """M1 + M2 on every string / temporal column of ``df``.  The dictionary
+    comes from ``fit_on`` (a train part; default ``df`` itself) and has at
+    most ``max_categories`` categories a column: rare, unknown and NULL
+    values share the last one ('keep')."""
     strings = [f.name for f in df.schema.fields
                if isinstance(f.dataType, StringType) and f.name != label_col]
     temporal = [f.name for f in df.schema.fields
                 if isinstance(f.dataType, (DateType, TimestampType, TimestampNTZType))]
-    return dates_to_epoch(index_strings(df, strings, handle_invalid), temporal)
+    if strings:
+        known = fit_dictionary(df if fit_on is None else fit_on, strings, max_categories)
+        df = known.transform(df, handle_invalid)
+    return dates_to_epoch(df, temporal)
 
 
 # --- M6 / M7 / M8 / M10 ----------------------------------------------------------
 
+def _categories(df: DataFrame, cols: Sequence[str]) -> int:
+    """Most categories of a nominal column."""
+    attrs = [df.schema[c].metadata.get("ml_attr", {}) for c in cols]
+    return max((a.get("num_vals", len(a.get("vals", []))) for a in attrs), default=0)
+
+
+def forest_pipeline(df: DataFrame, label_col: str, feature_cols: Sequence[str], num_trees: int = NUM_TREES,
+                    max_depth: int = MAX_DEPTH, seed: int = 42, handle_invalid: str = "error",
+                    feature_subset: str = "auto") -> Pipeline:
+    """M4 + M5 + M6 as one pipeline for frames like ``df``."""
+    categories = _categories(df, feature_cols)
+    if categories > MAX_BINS:
+        raise ValueError(f"a feature has {categories} categories, {MAX_BINS} at most; group rare values (max_categories)")
+    rf = RandomForestClassifier(labelCol="indexedLabel", featuresCol="indexedFeatures", numTrees=num_trees,
+                                maxDepth=max_depth, maxBins=max(32, categories + 1), seed=seed,
+                                featureSubsetStrategy=feature_subset)
+    return Pipeline(stages=[label_indexer(label_col), assembler(feature_cols, handle_invalid=handle_invalid), rf])
+
+
+def predict(model: PipelineModel, df: DataFrame, label_col: str, out: str = "predicted") -> DataFrame:
+    """M7: the model's rows for ``df``, with the prediction as a label value
+    (``out``) beside its index; rows left without either are an error."""
+    pred = model.transform(df)
+    labels = F.array(*[F.lit(x) for x in model.stages[0].labels])
+    own = F.when(F.col("indexedLabel").isNull() | F.col("prediction").isNull(),
+                 F.raise_error(F.lit("a row was left without a label index or a prediction"))).otherwise(
+        F.element_at(labels, F.col("prediction").cast("int") + 1))
+    return pred.withColumn(out, own.cast(df.schema[label_col].dataType))
+
+
 def train_random_forest(train: DataFrame, test: DataFrame, label_col: str,
                         feature_cols: Sequence[str], num_trees: int = NUM_TREES,
                         max_depth: int = MAX_DEPTH, folds: int | None = None, seed: int = 42,
-                        handle_invalid: str = "error"
+                        handle_invalid: str = "error", keep: Sequence[str] = (),
+                        fold_keys: Sequence[str] | None = None, feature_subset: str = "auto"
                         ) -> tuple[PipelineModel, DataFrame, dict[str, float]]:
     """M6 - M8 (+ M10 when ``folds``): fit label indexer + assembler +
     random forest on ``train``, predict ``test`` and report accuracy, f1,
     weighted recall and precision (one confusion-matrix pass; equal to
-    Spark's evaluator) plus the forest size.  Errors propagate."""
+    Spark's evaluator) plus the forest size.  Errors propagate.
+
+    Both parts are cut to label, features, ``keep`` and ``fold_keys`` (P18)
+    and written once, so no pass of the training computes them again.  With
+    ``folds`` the averaged accuracy over the folds is reported as
+    ``foldAccuracy``; see :func:`cross_validate`."""
+    others = [*feature_cols, *keep, *(fold_keys or ())]
+    train = written(select_columns(train, label_col, others), "train")
+    test = written(select_columns(test, label_col, others), "test")
     validate_inputs(train, label_col, feature_cols, num_trees, max_depth, folds)
-    categories = max((len(train.schema[c].metadata.get("ml_attr", {}).get("vals", [])) for c in feature_cols), default=0)
-    rf = RandomForestClassifier(labelCol="indexedLabel", featuresCol="indexedFeatures", numTrees=num_trees,
-                                maxDepth=max_depth, maxBins=max(32, categories + 1), seed=seed)
-    pipe = Pipeline(stages=[label_indexer(label_col), assembler(feature_cols, handle_invalid=handle_invalid), rf])
-    if folds:
-        ev = MulticlassClassificationEvaluator(labelCol="indexedLabel", predictionCol="prediction")
-        cv = CrossValidator(estimator=pipe, estimatorParamMaps=ParamGridBuilder().build(),
-                            evaluator=ev, numFolds=folds, seed=seed)
-        model = cv.fit(train).bestModel
-    else:
-        model = pipe.fit(train)
-    pred = model.transform(test)
-    bad = pred.where(F.col("indexedLabel").isNull() | F.col("prediction").isNull())
-    if not bad.isEmpty():
-        raise ValueError("some rows were left without a label index or a prediction")
+    options = dict(num_trees=num_trees, max_depth=max_depth, seed=seed, handle_invalid=handle_invalid,
+                   feature_subset=feature_subset)
+    model = forest_pipeline(train, label_col, feature_cols, **options).fit(train)
+    pred = predict(model, test, label_col)
     # all four metrics from one confusion-matrix aggregate (one pass)
     row = confusion_metrics(pred, "indexedLabel", "prediction").first().asDict()
     if row["accuracy"] is None:
@@ -153,18 +189,47 @@ def train_random_forest(train: DataFrame, test: DataFrame, label_col: str,
     forest = model.stages[-1]
     metrics["numTrees"] = float(forest.getNumTrees)
     metrics["maxDepth"] = float(forest.getMaxDepth())
+    if folds:
+        _, scores = cross_validate(train, label_col, feature_cols, folds, fold_keys, **options)
+        metrics["foldAccuracy"] = sum(scores) / len(scores)
     return model, pred, metrics
 
 
+def cross_validate(df: DataFrame, label_col: str, feature_cols: Sequence[str], folds: int,
+                   key_cols: Sequence[str] | None = None, fold_col: str = "fold", **options
+                   ) -> tuple[DataFrame, list[float]]:
+    """(out-of-fold predictions, accuracy by fold).  A row's fold is the
+    md5 bucket of its key (of the whole row without one), so all lag rows of a
+    fact lie in one fold and folds are the same in every run.  Each fold is
+    predicted (``predicted``) by the forest of the others."""
+    if folds < 2:
+        raise ValueError(f"folds must be 2 or more, got {folds}")
+    key = key_cols if key_cols else df.columns
+    one = written(df.withColumn(fold_col, S.md5_bucket(*key, buckets=folds) if key_cols else
+                                F.pmod(F.conv(F.substring(S.md5_row(*key), 1, 8), 16, 10).cast("long"),
+                                       F.lit(folds)).cast("int")), "folds")
+    pipe = forest_pipeline(one, label_col, feature_cols, **options)
+    ev = MulticlassClassificationEvaluator(labelCol="indexedLabel", predictionCol="prediction", metricName="accuracy")
+    cv = CrossValidator(estimator=pipe, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
+                        numFolds=folds, foldCol=fold_col, collectSubModels=True)
+    models = [m[0] for m in cv.fit(one).subModels]
+    parts = [predict(m, one.where(F.col(fold_col) == k), label_col) for k, m in enumerate(models)]
+    out = parts[0].select(*one.columns, "predicted")
+    for p in parts[1:]:
+        out = out.unionByName(p.select(*one.columns, "predicted"))
+    by_fold = out.groupBy(fold_col).agg(F.avg((F.col(label_col) == F.col("predicted")).cast("double")).alias("a"))
+    return out, [r["a"] for r in by_fold.orderBy(fold_col).collect()]
+
+
 def random_forest(df: DataFrame, label_col: str, feature_cols: Sequence[str],
                   num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH,
                   folds: int | None = None, train_fraction: float = 0.8, seed: int = 42,
                   handle_invalid: str = "error") -> dict[str, float]:
-    """M6 with the original single-frame signature: string columns indexed
-    (M1), dates/timestamps to epoch seconds (M2), a seeded 80/20 random
-    split, fit, predict, metrics."""
-    prepared = prepare_features(df, label_col, handle_invalid)
-    train, test = prepared.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)
+    """M6 with the original single-frame signature: a seeded 80/20 random
+    split, string columns indexed (M1, dictionary of the train part), dates
+    and timestamps to epoch seconds (M2), fit, predict, metrics."""
+    raw_train, raw_test = df.randomSplit([train_fraction, 1.0 - train_fraction], seed=seed)
+    train, test = (prepare_features(part, label_col, handle_invalid, fit_on=raw_train) for part in (raw_train, raw_test))
     return train_random_forest(train, test, label_col, feature_cols, num_trees, max_depth,
                                folds, seed, handle_invalid)[2]
 

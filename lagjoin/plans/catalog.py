@@ -8,10 +8,9 @@ bigint.  Queries without SQL are checked by row count only.
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -25,7 +24,7 @@ from lagjoin.operators import quality as Q
 from lagjoin.operators import stats as A
 from lagjoin.plans import fixtures as X
 from lagjoin.plans import tables as T
-from lagjoin.session import checkpoint_dir
+from lagjoin.session import scratch_path
 from lagjoin.sources import ingest as I
 from lagjoin.sources import parquet as P
 from lagjoin.sources import sinks as K
@@ -47,10 +46,6 @@ def _sql_round(sql: str, cols: list[str]) -> str:
     return f"SELECT * REPLACE ({rep}) FROM ({sql}) q"
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    return os.path.join(checkpoint_dir(spark), "lagjoin-scratch", f"{name}-{uuid.uuid4().hex}")
-
-
 # ============================================================================
 # Lag joins
 # ============================================================================
@@ -166,7 +161,7 @@ def q_j7_dup(spark, sf):
 
 
 def q_j6_stream(spark, sf):
-    root = _scratch(spark, "stream")
+    root = scratch_path(spark, "stream")
     return enrich_available(X.facts_stream(spark, sf), X.obs(spark, sf), root + "/out", root + "/checkpoint",
                             origin_col="origin", origin_ts_col="t", station_col="station", obs_ts_col="ts",
                             dest_col="dest", dest_ts_col="arr", origin_lag_col="t_lag", dest_lag_col="arr_lag",
@@ -657,7 +652,7 @@ WHERE ('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT < {int(0.
 def q_s1_s6(spark, sf):
     """Raw fact rows -> CSV text -> all-string scan -> ingest -> date
     partitioned parquet -> scan -> per-year summary."""
-    root = _scratch(spark, "ingest")
+    root = scratch_path(spark, "ingest")
     X.raw_facts(spark, sf).write.mode("overwrite").option("header", "true").csv(root + "/csv")
     raw = I.read_csv(spark, root + "/csv")
     I.write_partitioned(I.ingest_facts(raw.drop("Year")), root + "/parquet", I.FACT_PARTITIONS)
@@ -677,7 +672,7 @@ FROM r GROUP BY Year""", ["delay"])
 def q_s2_s4(spark, sf):
     """Raw observation text with yyyyMMdd dates -> text scan -> ingest ->
     (Year, Date) partitions -> scan -> per-day summary."""
-    root = _scratch(spark, "obs")
+    root = scratch_path(spark, "obs")
     w = X.raw_weather(spark, sf).drop("Year").withColumn("Date", F.date_format("Date", "yyyyMMdd"))
     w.write.mode("overwrite").option("header", "true").csv(root + "/txt")
     raw = I.read_csv(spark, root + "/txt")
@@ -694,7 +689,7 @@ SELECT Year, Date, count(*) AS row_count, count(Visibility) AS vis FROM w GROUP
 def q_s12_s11(spark, sf):
     """Long lag join -> partitioned result sink -> reload ('lines') ->
     per-day summary."""
-    root = _scratch(spark, "joined")
+    root = scratch_path(spark, "joined")
     j = q_j6(spark, sf).withColumns({"FT_Year": F.year("t"), "FT_FL_DATE": F.col("t").cast("date")})
     K.store_results(j, root + "/lines")
     _, lines = P.read_joined(spark, None, root + "/lines", mode="lines")
@@ -711,7 +706,7 @@ FROM j GROUP BY 1"""
 
 def q_s13(spark, sf):
     """Airport report -> single-file CSV -> scan back."""
-    root = _scratch(spark, "report")
+    root = scratch_path(spark, "report")
     K.write_report_csv(q_a1(spark, sf), root + "/airports.csv")
     back = spark.read.option("header", "true").csv(root + "/airports.csv")
     return back.select("ORIGIN_AIRPORT_ID", *[F.col(f"`{c}`").cast("long").alias(c)
@@ -720,7 +715,7 @@ def q_s13(spark, sf):
 
 def q_s3(spark, sf):
     """Station lookup -> CSV -> all-string scan -> lookup join."""
-    root = _scratch(spark, "lookup")
+    root = scratch_path(spark, "lookup")
     X.stations(spark, sf).write.mode("overwrite").option("header", "true").csv(root)
     w = X.raw_weather(spark, sf).select("ObsId", "WBAN", "Time")
     return T.join_stations(w, I.read_csv(spark, root))
@@ -728,7 +723,7 @@ def q_s3(spark, sf):
 
 def q_s15(spark, sf):
     """Classification metrics -> metrics.csv -> scan back as (metric, value)."""
-    root = _scratch(spark, "metrics")
+    root = scratch_path(spark, "metrics")
     m = M.classification_metrics(_rule_predictions(spark, sf), "label", "prediction")
     K.write_metrics_csv(spark, m, root)
     back = spark.read.option("header", "true").csv(root + "/metrics.csv")
@@ -760,19 +755,36 @@ SQL_A8 = "SELECT DISTINCT o_orderpriority FROM orders"
 
 # --- ML ----------------------------------------------------------------------------------
 
-def q_m1(spark, sf):
+def _orders_with_gaps(spark, sf):
     o = X.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
-    return M.index_strings(o, ["o_orderpriority", "o_orderstatus"], "skip")
+    return o.withColumn("o_orderpriority", F.when(F.col("o_orderkey") % 13 != 0, F.col("o_orderpriority")))
+
+
+def q_m1(spark, sf):
+    return M.index_strings(_orders_with_gaps(spark, sf), ["o_orderpriority", "o_orderstatus"], "keep")
+
 
+def _rank_sql(col: str, src: str) -> str:
+    """Value, index, and the index of NULL."""
+    return (f"SELECT {col} AS v, CAST(row_number() OVER (ORDER BY count(*) DESC, {col}) - 1 AS DOUBLE) AS i, "
+            f"CAST(count(*) OVER () AS DOUBLE) AS n FROM {src} WHERE {col} IS NOT NULL GROUP BY {col}")
 
-def _rank_sql(col: str) -> str:
-    return (f"SELECT {col} AS v, CAST(row_number() OVER (ORDER BY count(*) DESC, {col}) - 1 AS DOUBLE) AS i "
-            f"FROM orders GROUP BY {col}")
 
+SQL_M1 = f"""WITH g AS (SELECT o_orderkey, CASE WHEN o_orderkey % 13 <> 0 THEN o_orderpriority END AS o_orderpriority, o_orderstatus FROM orders),
+p AS ({_rank_sql('o_orderpriority', 'g')}), s AS ({_rank_sql('o_orderstatus', 'g')})
+SELECT g.o_orderkey, coalesce(p.i, (SELECT max(n) FROM p)) AS o_orderpriority, coalesce(s.i, (SELECT max(n) FROM s)) AS o_orderstatus
+FROM g LEFT JOIN p ON g.o_orderpriority = p.v LEFT JOIN s ON g.o_orderstatus = s.v"""
 
-SQL_M1 = f"""WITH p AS ({_rank_sql('o_orderpriority')}), s AS ({_rank_sql('o_orderstatus')})
-SELECT o.o_orderkey, p.i AS o_orderpriority, s.i AS o_orderstatus
-FROM orders o JOIN p ON o.o_orderpriority = p.v JOIN s ON o.o_orderstatus = s.v"""
+
+def q_m1_many(spark, sf):
+    """About as many values as orders, and rows without one."""
+    r = X.raw_facts(spark, sf).select("FL_DATE", F.col("OP_CARRIER_FL_NUM").alias("number"), "OP_CARRIER_FL_NUM")
+    return M.index_strings(r, ["OP_CARRIER_FL_NUM"], "keep")
+
+
+SQL_M1_MANY = f"""WITH r AS ({X.RAW_FACTS_SQL}), p AS ({_rank_sql('OP_CARRIER_FL_NUM', 'r')})
+SELECT r.FL_DATE, r.OP_CARRIER_FL_NUM AS number, coalesce(p.i, (SELECT max(n) FROM p)) AS OP_CARRIER_FL_NUM
+FROM r LEFT JOIN p ON r.OP_CARRIER_FL_NUM = p.v"""
 
 
 def q_m2(spark, sf):
@@ -845,14 +857,63 @@ SELECT CAST((rs - pos * (pos + 1) / 2.0) / (pos * neg) AS DOUBLE) AS auc FROM c"
 
 
 def q_m6(spark, sf):
-    s = X.scored(spark, sf)
-    feats = M.prepare_features(s.select("doc_id", "label", "n_chars", "lang", "source"), "label", "skip")
-    train, test = D.train_test_split(feats, ["doc_id"], 75)
+    s = X.scored(spark, sf).select("doc_id", "label", "n_chars", "lang", "source")
+    raw_train, raw_test = D.train_test_split(s, ["doc_id"], 75)
+    train, test = (M.prepare_features(p, "label", "keep", fit_on=raw_train) for p in (raw_train, raw_test))
     _, pred, _ = M.train_random_forest(train, test, "label", ["n_chars", "lang", "source"],
-                                       num_trees=20, max_depth=5, seed=42)
+                                       num_trees=20, max_depth=5, seed=42, keep=["doc_id"])
     return pred.select("doc_id", "label", "prediction")
 
 
+def q_m5(spark, sf):
+    """Index, number and time of every event as one vector, spelt out."""
+    e = X.table(spark, sf, "events").select("event_id", "event_type", "value", "ts")
+    known = M.prepare_features(e, "event_id", "keep").fillna(0.0, ["value"])
+    v = M.assembler(["event_type", "value", "ts"], out="v").transform(known)
+    parts = vector_to_array("v")
+    return v.select("event_id", *[parts[k].alias(f"f{k}") for k in range(3)])
+
+
+SQL_M5 = f"""WITH t AS ({_rank_sql('event_type', 'events')})
+SELECT event_id, coalesce(t.i, (SELECT max(n) FROM t)) AS f0, coalesce(value, 0.0) AS f1,
+       CAST(floor(epoch(ts)) AS DOUBLE) AS f2
+FROM events LEFT JOIN t ON events.event_type = t.v"""
+
+
+def _ruled(spark, sf, kinds: int):
+    """Events whose label follows from their kind; some have a rare kind or none."""
+    eid, u = F.col("event_id"), F.col("user_id") % kinds
+    kind = F.when(eid % 97 == 0, F.lit(None).cast("string")).when(
+        eid % 50 == 0, F.concat(F.lit("rare"), (eid % 1000).cast("string"))).otherwise(
+        F.concat(F.lit("kind"), u.cast("string")))
+    label = F.when((eid % 97 != 0) & (eid % 50 != 0) & (u % 3 == 0), 1).otherwise(0)
+    return X.table(spark, sf, "events").select("event_id", kind.alias("kind"), F.coalesce("value", F.lit(0.0)).alias("value"),
+                                               label.alias("label"))
+
+
+def _ruled_sql(kinds: int, where: str, extra: str = "") -> str:
+    label = f"CASE WHEN event_id % 97 <> 0 AND event_id % 50 <> 0 AND user_id % {kinds} % 3 = 0 THEN 1 ELSE 0 END"
+    return f"SELECT event_id, {label} AS label, {label} AS predicted{extra} FROM events WHERE {where}"
+
+
+def _q_m6_ruled(kinds: int):
+    """Train on three quarters of the events; the rest is predicted as the rule says."""
+    def q(spark, sf):
+        raw_train, raw_test = D.train_test_split(_ruled(spark, sf, kinds), ["event_id"], 75)
+        train, test = (M.prepare_features(p, "label", "keep", max_categories=kinds + 4, fit_on=raw_train)
+                       for p in (raw_train, raw_test))
+        _, pred, _ = M.train_random_forest(train, test, "label", ["kind", "value"], keep=["event_id"],
+                                           feature_subset="all")
+        return pred.select("event_id", "label", "predicted")
+    return q
+
+
+def q_m10(spark, sf):
+    prepared = M.prepare_features(_ruled(spark, sf, 12), "label", "keep", max_categories=16)
+    out, _ = M.cross_validate(prepared, "label", ["kind", "value"], 3, ["event_id"], feature_subset="all", num_trees=5)
+    return out.select("event_id", "label", "predicted", "fold")
+
+
 # --- end to end: raw rows -> recipes -> keys -> long lag join --------------------
 
 _W1_OBS = ["OT_ORIGIN_AIRPORT_ID", "OT_WEATHER_TIMESTAMP", "OT_Visibility", "OT_SkyCondition"]
@@ -955,12 +1016,17 @@ CATALOG: dict[str, tuple[Query, str | None]] = {
     "A4_range_stats": (q_a4, SQL_A4),
     "A8_distinct_values": (q_a8, SQL_A8),
     "M1_string_index": (q_m1, SQL_M1),
+    "M1_string_index_many": (q_m1_many, SQL_M1_MANY),
     "M2_epoch_seconds": (q_m2, SQL_M2),
     "M4_label_index": (q_m4, SQL_M4),
     "M8_metrics": (q_m8, SQL_M8),
     "M8_confusion_metrics": (q_m8_confusion, SQL_M8),
     "M9_area_under_roc": (q_m9, SQL_M9),
+    "M5_assembly": (q_m5, SQL_M5),
     "M6_random_forest": (q_m6, None),
+    "M6_M7_forest_rule": (_q_m6_ruled(12), _ruled_sql(12, f"{_bucket_sql('event_id')} >= 75")),
+    "M6_M7_forest_many_kinds": (_q_m6_ruled(36), _ruled_sql(36, f"{_bucket_sql('event_id')} >= 75")),
+    "M10_cross_validation": (q_m10, _ruled_sql(12, "true", f", CAST(('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8))::BIGINT % 3 AS INTEGER) AS fold")),
 }
 
 

@@ -29,6 +29,7 @@ from lagjoin.operators import lagged as L
 from lagjoin.operators import ml as M
 from lagjoin.operators import quality as Q
 from lagjoin.operators import stats as A
+from lagjoin.operators.dictionary import fit_dictionary
 from lagjoin.plans import tables as T
 from lagjoin.sources import ingest as I
 from lagjoin.sources import parquet as P
@@ -106,16 +107,16 @@ def join(ft: DataFrame, ot: DataFrame, mode: str = "lines", obs_cols: Sequence[s
 def train(joined: DataFrame, ds_type: str = "DS1", delayed: float = 15, on_time: float = 1.0,
           key_cols: Sequence[str] | None = None, features: Sequence[str] | None = None,
           num_trees: int = M.NUM_TREES, max_depth: int = M.MAX_DEPTH, folds: int | None = None,
-          seed: int = 42, fill_missing: float | None = None, handle_invalid: str = "error"
-          ) -> dict[str, float]:
+          seed: int = 42, fill_missing: float | None = None, handle_invalid: str = "error",
+          max_categories: int = M.MAX_CATEGORIES) -> dict[str, float]:
     """Stage C: labelled datasets (D1 - D9) -> random forest trained on both
     classes' train parts and evaluated on both test parts.
 
     Default features: every numeric column plus dates/timestamps as epoch
     seconds, minus the label, the delay columns that define the label and
     the row id -- text keys (join keys, ids as text) are left out; string
-    columns named in ``features`` are indexed with an indexer fitted on the
-    train part.  Missing feature values (lag-join misses) are an error
+    columns named in ``features`` are indexed by a dictionary of the train
+    part, rare values as one of at most ``max_categories``.  Missing feature values (lag-join misses) are an error
     unless ``fill_missing`` gives a value or ``handle_invalid`` says 'keep' or 'skip'."""
     if key_cols is None and FACT_KEY in joined.columns:
         key_cols = [FACT_KEY]  # the lag rows of a fact stay in one part
@@ -130,16 +131,14 @@ def train(joined: DataFrame, ds_type: str = "DS1", delayed: float = 15, on_time:
         feats = list(features)
         text = [c for c in feats if c in Q.columns_by(train_df, kind="string")]
         if text:
-            from pyspark.ml.feature import StringIndexer
-            outs = [f"__i_{c}" for c in text]
-            idx = StringIndexer(inputCols=text, outputCols=outs, handleInvalid="keep").fit(train_df)
-            train_df, test_df = idx.transform(train_df), idx.transform(test_df)
-            feats = [f"__i_{c}" if c in text else c for c in feats]
+            known = fit_dictionary(train_df, text, max_categories)
+            train_df, test_df = known.transform(train_df, "keep"), known.transform(test_df, "keep")
     if fill_missing is not None:
         train_df = train_df.fillna(fill_missing, subset=feats)
         test_df = test_df.fillna(fill_missing, subset=feats)
     _, _, metrics = M.train_random_forest(train_df, test_df, D.LABEL_COL, feats, num_trees,
-                                          max_depth, folds, seed, handle_invalid)
+                                          max_depth, folds, seed, handle_invalid,
+                                          fold_keys=key_cols)
     return metrics
 
 

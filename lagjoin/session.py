@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, app: str = "lagjoin",
@@ -54,3 +55,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not _LOCAL_DIR:
         _LOCAL_DIR.append(tempfile.mkdtemp(prefix="lagjoin-"))
     return _LOCAL_DIR[0]
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/lagjoin-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table of the shared folder, reread: this cuts its lineage,
+    and later passes read it instead of computing it again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
