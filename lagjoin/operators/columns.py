@@ -34,12 +34,7 @@ def to_double_columns(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     return df.withColumns({c: S.to_double(c) for c in cols})
 
 
-# --- P10 / P18 ------------------------------------------------------------
-
-def drop_columns(df: DataFrame, cols: Iterable[str]) -> DataFrame:
-    """P10: drop columns (absent names are ignored)."""
-    return df.drop(*list(cols))
-
+# --- P18 ------------------------------------------------------------------
 
 def select_columns(df: DataFrame, first: str, others: Sequence[str]) -> DataFrame:
     """Label + feature subset (duplicates removed, order kept)."""

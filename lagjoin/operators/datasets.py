@@ -2,25 +2,34 @@
 
 Reproducibility comes from hashing a row key with md5: a row's bucket does
 not depend on partitioning, cluster size or run, unlike ``sample`` /
-``randomSplit``.  Exact balancing ("keep exactly n on-time rows") selects
-the n rows with the smallest hash by refining a hash-prefix histogram: each
-round is one aggregate whose result is at most 65,536 rows, until the cut is
-one hash; then one filter keeps what lies below it -- no unbounded set passes
-through one task or the driver.
+``randomSplit``.
+
+Exact balancing ("keep exactly n on-time rows") selects the n rows with the
+smallest digest.  A mergeable quantile sketch of the digests, taken while the
+labelled rows are written, brackets the cut between two of its quantiles; one
+pass counts the rows below the bracket and gathers the digests inside it (a
+few in a hundred), and the cut is found among those by histograms of digest
+prefixes.  The parts are then read from the written table, which is laid out
+by class and part.  Rows are read three times in all, no unbounded set passes
+through one task or the driver, and the sketch only saves work: if a bracket
+misses the cut, it is widened to all rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lagjoin.functions import scalar as S
+from lagjoin.session import scratch_path, written
 
 # Dataset kinds, label column and split defaults.
 DS_TYPES = ("DS1", "DS2", "DS3", "DS4")
 LABEL_COL = "FT_OnTime"
+DELAY_COLUMNS = ("FT_ARR_DELAY_NEW", "FT_WEATHER_DELAY", "FT_NAS_DELAY")
 DELAYED_LABEL, ON_TIME_LABEL = 0, 1
 TRAIN_PCT = 75
 HIST_DIGITS = 4            # hex digits refined per histogram round (65,536 bins)
@@ -57,37 +66,89 @@ def row_hash(df: DataFrame, key_cols: Sequence[str] | None) -> Column:
     return F.concat(S.md5_hex(*key_cols), full) if key_cols else full
 
 
+#: Quantiles of a sketch, and its accuracy (rank error at most 1 in this many).
+QUANTILES, ACCURACY = 256, 10_000
+_HEX = 15  # digits of a digest that fit a non-negative bigint
+
+
+def _leading(digest: Column) -> Column:
+    """The first 60 bits of a digest: in the order of the digest itself."""
+    return F.conv(F.substring(digest, 1, _HEX), 16, 10).cast("long")
+
+
+def _sketch(number: Column) -> Column:
+    grid = F.array(*[F.lit(k / QUANTILES) for k in range(QUANTILES + 1)])
+    return F.percentile_approx(number, grid, ACCURACY)
+
+
+def _cut(rows: DataFrame, number: Column, digest: Column, n: int, total: int,
+         quantiles: Sequence[int] | None = None) -> tuple[str, int]:
+    """Where the ``n`` smallest digests end, 0 < n < total: (digest, copies).
+    All rows up to ``digest`` are among them (copies 0), or all rows below it
+    and ``copies`` of the rows that have exactly it."""
+    lo, hi = -1, 1 << 60
+    if quantiles:
+        at = n * QUANTILES // total
+        lo = quantiles[at - 1] if at >= 1 else -1
+        hi = quantiles[min(at + 2, QUANTILES)]
+    inside = number >= F.lit(lo)
+    near = written(rows.where(number <= F.lit(hi)).groupBy(F.when(inside, digest).alias("s"))
+                   .agg(F.count(F.lit(1)).alias("c")), "bracket")
+    sums = near.agg(F.sum(F.when(F.col("s").isNull(), F.col("c"))).alias("below"), F.sum("c").alias("upto")).first()
+    below, upto = sums["below"] or 0, sums["upto"] or 0
+    if not below < n <= upto:
+        return _cut(rows, number, digest, n, total)
+    near = near.where("s is not null")
+    prefix, remaining = "", n - below
+    while True:
+        depth = len(prefix)
+        cand = near.where(F.substring("s", 1, depth) == F.lit(prefix)) if depth else near
+        hist = sorted((r["b"], r["c"], r["lo"], r["hi"]) for r in
+                      cand.groupBy(F.substring("s", depth + 1, HIST_DIGITS).alias("b"))
+                          .agg(F.sum("c").alias("c"), F.min("s").alias("lo"), F.max("s").alias("hi")).collect())
+        for b, count, least, most in hist:
+            if count >= remaining:
+                break
+            remaining -= count
+        if count == remaining:  # the cut lies between two digests
+            return most, 0
+        if least == most:
+            return most, remaining
+        prefix += b
+
+
+def _upto(number: Column, digest: Column, cut: str, inclusive: bool = True) -> Column:
+    """Rows whose digest does not lie beyond a cut; digests are compared only
+    where the leading bits agree."""
+    lead = F.lit(int(cut[:_HEX], 16))
+    tail = digest <= F.lit(cut) if inclusive else digest < F.lit(cut)
+    return (number < lead) | ((number == lead) & tail)
+
+
 def smallest_by_hash(df: DataFrame, n: int, key_cols: Sequence[str] | None = None) -> DataFrame:
     """D7 exact: the ``n`` rows with the smallest row hash (ties by identical
     rows are interchangeable).  Equivalent to ``orderBy(hash).limit(n)``
     without funnelling n rows through a single task."""
     if n <= 0:
         return df.limit(0)
-    x = df.withColumn("__s", row_hash(df, key_cols))
-    width = 64 if key_cols else 32
-    prefix, remaining = "", n
-    while len(prefix) < width:
-        depth = len(prefix)
-        cand = x.where(F.substring("__s", 1, depth) == F.lit(prefix)) if depth else x
-        hist = sorted((r["b"], r["c"], r["lo"], r["hi"]) for r in
-                      cand.groupBy(F.substring("__s", depth + 1, HIST_DIGITS).alias("b"))
-                          .agg(F.count(F.lit(1)).alias("c"), F.min("__s").alias("lo"), F.max("__s").alias("hi"))
-                          .collect())
-        if not depth and sum(h[1] for h in hist) <= n:
-            return df
-        for b, count, lo, hi in hist:
-            if count >= remaining:
-                break
-            remaining -= count
-        if count == remaining:  # the cut lies between two hashes
-            return x.where(F.col("__s") <= F.lit(hi)).drop("__s")
-        prefix = lo if lo == hi else prefix + b
+    digest = row_hash(df, key_cols)
+    number = _leading(digest)
+    known = df.agg(F.count(F.lit(1)).alias("n"), _sketch(number).alias("q")).first()
+    if known["n"] <= n:
+        return df
+    cut, copies = _cut(df, number, digest, n, known["n"], known["q"])
+    return _below(df, number, digest, cut, copies)
+
+
+def _below(df: DataFrame, number: Column, digest: Column, cut: str, copies: int) -> DataFrame:
+    if not copies:
+        return df.where(_upto(number, digest, cut))
     # the cut lies among identical rows: read one and make its copies in
     # parallel from a range -- typed literals, no join
-    rep = x.where(F.col("__s") == F.lit(prefix)).first()
-    copies = df.sparkSession.range(remaining).select(
+    rep = df.where((number == F.lit(int(cut[:_HEX], 16))) & (digest == F.lit(cut))).first()
+    same = df.sparkSession.range(copies).select(
         *[F.lit(rep[f.name]).cast(f.dataType).alias(f.name) for f in df.schema.fields])
-    return x.where(F.col("__s") < F.lit(prefix)).drop("__s").unionByName(copies)
+    return df.where(_upto(number, digest, cut, inclusive=False)).unionByName(same)
 
 
 def hash_fraction(df: DataFrame, n: int, total: int, key_cols: Sequence[str] | None = None) -> DataFrame:
@@ -135,23 +196,96 @@ def labelled_datasets(df: DataFrame, ds_type: str, delayed_threshold: float,
         raise ValueError(f"unknown balance mode {balance!r}")
     dcond = delayed_condition(ds_type, delayed_threshold, arr, weather, nas)
     ocond = on_time_condition(on_time_threshold, arr)
-    # one pass for the three counts
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(dcond).alias("d"),
-                 F.count_if(ocond).alias("o")).first()
-    delayed = df.where(dcond).withColumn(label_col, F.lit(DELAYED_LABEL))
-    on_time = df.where(ocond).withColumn(label_col, F.lit(ON_TIME_LABEL))
-    if row["n"] == 0:
-        e = delayed.limit(0)
+    labels = F.filter(F.array(F.when(dcond, F.lit(DELAYED_LABEL)), F.when(ocond, F.lit(ON_TIME_LABEL))),
+                      lambda x: x.isNotNull())
+    digest = row_hash(df, key_cols)
+    number = _leading(digest)
+    # one pass over the input: labels, hashes and parts are written, class by
+    # class, and the sketch of the on-time digests is taken on the way
+    seen = Observation()
+    watched = df.observe(seen, F.count(F.lit(1)).alias("n"), _sketch(F.when(ocond, number)).alias("q"))
+    path = scratch_path(df.sparkSession, "labelled")
+    schema = T.StructType([*df.schema.fields, T.StructField(label_col, T.IntegerType()), T.StructField("__n", T.LongType()),
+                           T.StructField("__label", T.IntegerType()), T.StructField("__test", T.IntegerType())])
+    (watched.select("*", F.explode(labels).alias(label_col), number.alias("__n"),
+                    (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100 >= train_pct).cast("int").alias("__test"))
+     .withColumn("__label", F.col(label_col)).write.partitionBy("__label", "__test").parquet(path))
+    rows = df.sparkSession.read.schema(schema).parquet(path)
+    sizes = {r["__label"]: r["n"] for r in rows.groupBy("__label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_del, n_on = sizes.get(DELAYED_LABEL, 0), sizes.get(ON_TIME_LABEL, 0)
+    columns = [*(S.qcol(c) for c in df.columns), F.col(label_col)]
+    if not sizes and not seen.get["n"]:
+        e = rows.select(*columns)
         return e, e, e, e
-    if row["d"] == 0:
+    if not n_del:
         raise ValueError("no delayed rows found")
-    if row["o"] == 0:
+    if not n_on:
         raise ValueError("no on-time rows found")
-    n_del, n_on = row["d"], row["o"]
+    delayed, on_time = rows.where(F.col("__label") == DELAYED_LABEL), rows.where(F.col("__label") == ON_TIME_LABEL)
     if n_on > n_del and balance == "exact":
-        on_time, n_on = smallest_by_hash(on_time, n_del, key_cols), n_del
+        own = row_hash(df, key_cols)
+        cut, copies = _cut(on_time, F.col("__n"), own, n_del, n_on, seen.get["q"])
+        on_time, n_on = _below(on_time, F.col("__n"), own, cut, copies), n_del
     elif n_on > n_del and balance == "approx":
-        on_time = hash_fraction(on_time, n_del, n_on, key_cols)
-    d_tr, d_te = train_test_split(delayed, key_cols, train_pct, n_del)
-    o_tr, o_te = train_test_split(on_time, key_cols, train_pct, n_on)
-    return d_tr, d_te, o_tr, o_te
+        bound = int((n_del / n_on) * (1 << 32)) << 28  # of 60 bits: the same rows as 32 bits below the bound
+        on_time = on_time.where(F.col("__n") < F.lit(bound))
+
+    def parts(side: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+        train, test = (side if n <= 1 else side.where("__test = 0")), (side.limit(0) if n <= 1 else side.where("__test = 1"))
+        return train.select(*columns), test.select(*columns)
+
+    return *parts(delayed, n_del), *parts(on_time, n_on)
+
+
+def grouped_datasets(df: DataFrame, ds_type: str, delayed_threshold: float, on_time_threshold: float = 0.0, *,
+                     group_cols: Sequence[str], balance: bool = True, train_pct: int = TRAIN_PCT,
+                     label_col: str = LABEL_COL, part_col: str = "part", arr: str = "FT_ARR_DELAY_NEW",
+                     weather: str = "FT_WEATHER_DELAY", nas: str = "FT_NAS_DELAY") -> DataFrame:
+    """D1 - D9 on a joined table, where a fact has a row per lag: labelled
+    rows with ``part_col`` 'train' or 'test'.  Whole groups are kept or left
+    and lie in one part; classes are balanced to the same number of groups
+    (of the smallest digests), and exactly ``train_pct`` percent of each
+    class's groups, rounded down but one at least, are for training.
+
+    The labelled rows and their digests are written once; cuts are found on
+    the much smaller table of groups and applied as literals, without a join.
+    A group with rows of both classes is an error, as are thresholds that
+    overlap and an empty class."""
+    if delayed_threshold < on_time_threshold:
+        raise ValueError(f"threshold {delayed_threshold} must be >= on-time threshold {on_time_threshold}")
+    dcond = delayed_condition(ds_type, delayed_threshold, arr, weather, nas)
+    ocond = on_time_condition(on_time_threshold, arr)
+    label = F.when(dcond, F.lit(DELAYED_LABEL)).when(ocond, F.lit(ON_TIME_LABEL))
+    rows = written(df.withColumn(label_col, label).where(F.col(label_col).isNotNull())
+                   .withColumn("__g", S.md5_hex(*group_cols)), "labelled")
+    groups = written(rows.groupBy(F.col(label_col).alias("label"), "__g").agg(F.count(F.lit(1)).alias("rows")), "groups")
+    if not groups.groupBy("__g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        raise ValueError("a group has rows of both classes")
+    sizes = {r["label"]: r["n"] for r in groups.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    for value, name in ((DELAYED_LABEL, "delayed"), (ON_TIME_LABEL, "on-time")):
+        if not sizes.get(value):
+            raise ValueError(f"no {name} rows found")
+    kept, part = F.lit(True), F.lit(None)
+    # the two halves of a digest are independent: one balances, one splits
+    split = F.concat(F.substring("__g", 17, 16), F.substring("__g", 1, 16))
+    for value, n in sorted(sizes.items()):
+        own = groups.where(F.col("label") == value)
+        of_class = F.col(label_col) == value
+        least = min(sizes.values())
+        if balance and n > least:
+            cut = _nth(own, F.col("__g"), least, n)
+            own, n = own.where(_upto(_leading(F.col("__g")), F.col("__g"), cut)), least
+            kept = kept & (~of_class | _upto(_leading(F.col("__g")), F.col("__g"), cut))
+        n_train = max(1, n * train_pct // 100)
+        chosen = F.lit("train")
+        if n_train < n:
+            cut = _nth(own, split, n_train, n)
+            chosen = F.when(_upto(_leading(split), split, cut), "train").otherwise("test")
+        part = F.when(of_class, chosen).otherwise(part)
+    return rows.where(kept).select(*[S.qcol(c) for c in df.columns], label_col, part.alias(part_col))
+
+
+def _nth(groups: DataFrame, digest: Column, n: int, total: int) -> str:
+    """The digest of the n-th of ``total`` groups, which are distinct."""
+    number = _leading(digest)
+    return _cut(groups, number, digest, n, total, groups.agg(_sketch(number).alias("q")).first()["q"])[0]

@@ -212,12 +212,20 @@ FROM obs o"""
 # --- projections ----------------------------------------------------------------------
 
 def q_p1_p2(spark, sf):
-    o = X.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    return C.add_suffix(C.add_prefix(o, "FT_"), "_ORIG")
+    return C.add_suffix(C.add_prefix(X.table(spark, sf, "orders"), "FT_"), "_ORIG")
 
 
-SQL_P1_P2 = """SELECT o_orderkey AS FT_o_orderkey_ORIG, o_custkey AS FT_o_custkey_ORIG,
-       o_orderstatus AS FT_o_orderstatus_ORIG FROM orders"""
+SQL_P1_P2 = "SELECT " + ", ".join(f"{c} AS FT_{c}_ORIG" for c in X.ORDERS) + " FROM orders"
+
+
+def q_p18(spark, sf):
+    """Label, features and keys as training takes them: each once, in order."""
+    x = X.delays(spark, sf)
+    return C.select_columns(x, "FT_ARR_DELAY_NEW", ["FT_NAS_DELAY", "Year", "FT_ARR_DELAY_NEW", "l_orderkey", "Year"])
+
+
+SQL_P18 = f"""WITH x AS ({X.DELAYS_SQL})
+SELECT FT_ARR_DELAY_NEW, FT_NAS_DELAY, Year, l_orderkey FROM x"""
 
 
 def q_p3(spark, sf):
@@ -638,6 +646,65 @@ UNION ALL
 SELECT ob.*, CASE WHEN {_bucket_sql('event_id')} < 75 THEN 'ontime_train' ELSE 'ontime_test' END AS part FROM ob"""
 
 
+def q_d7_approx(spark, sf):
+    k = X.keyed_delays(spark, sf)
+    parts = D.labelled_datasets(k, "DS4", 80, 20, key_cols=["event_id"], balance="approx")
+    names = ["delayed_train", "delayed_test", "ontime_train", "ontime_test"]
+    return C.union_all([p.withColumn("part", F.lit(n)) for p, n in zip(parts, names)])
+
+
+SQL_D7_APPROX = SQL_D7_D8[:SQL_D7_D8.index("ob AS (")] + f"""ob AS (SELECT o.* FROM o
+       WHERE (SELECT count(*) FROM o) <= (SELECT count(*) FROM d)
+          OR ('0x' || substr(md5(CAST(event_id AS VARCHAR)), 1, 8))::BIGINT
+             < CAST(floor((SELECT count(*) FROM d)::DOUBLE / (SELECT count(*) FROM o) * 4294967296) AS BIGINT))
+""" + SQL_D7_D8[SQL_D7_D8.index("SELECT d.*, CASE"):]
+
+
+def q_d7_equal_rows(spark, sf):
+    """Rows without a key, many of them identical: exactly as many on-time
+    rows as delayed ones, each equal to one of the input."""
+    k = X.keyed_delays(spark, sf).select(*[F.floor(F.col(c) / 40).cast("double").alias(c) for c in D.DELAY_COLUMNS])
+    parts = D.labelled_datasets(k, "DS4", 2, 1, balance="exact")
+    return C.union_all(parts).groupBy(D.LABEL_COL).agg(F.count(F.lit(1)).alias("row_count"),
+                                                       F.max("FT_ARR_DELAY_NEW").alias("most"))
+
+
+SQL_D7_EQUAL_ROWS = f"""WITH k AS ({X.KEYED_DELAYS_SQL}), f AS (SELECT floor(FT_ARR_DELAY_NEW / 40) AS a FROM k),
+c AS (SELECT count(*) FILTER (WHERE a >= 2) AS d, count(*) FILTER (WHERE a <= 1) AS o FROM f)
+SELECT 0 AS FT_OnTime, d AS row_count, (SELECT max(a) FROM f WHERE a >= 2) AS most FROM c
+UNION ALL SELECT 1, least(d, o), (SELECT max(a) FROM f WHERE a <= 1) FROM c"""
+
+
+def _w3_joined(spark, sf):
+    """The long join of facts that carry their delays, written and reloaded."""
+    root = scratch_path(spark, "w3")
+    facts = X.facts(spark, sf).join(X.keyed_delays(spark, sf).withColumnRenamed("event_id", "fact_id"), "fact_id")
+    lines = L.lag_join_long(facts, X.obs(spark, sf), origin_col="origin", origin_ts_col="t", station_col="station",
+                            obs_ts_col="ts", dest_col="dest", dest_ts_col="arr", origin_lag_col="t_lag",
+                            dest_lag_col="arr_lag", lags=LAGS)
+    K.store_results(lines.withColumns({"FT_Year": F.year("t"), "FT_FL_DATE": F.col("t").cast("date")}), root)
+    return P.read_joined(spark, None, root, mode="lines")[1]
+
+
+def q_w3(spark, sf):
+    """Datasets from the joined table: all lag rows of a fact in one part."""
+    out = D.grouped_datasets(_w3_joined(spark, sf), "DS4", 80, 40, group_cols=["fact_id"])
+    return out.select("fact_id", "hours_lag", "v_ORIG", "v_DEST", "FT_ARR_DELAY_NEW", D.LABEL_COL, "part")
+
+
+SQL_W3 = f"""WITH j AS ({_long_sql(True)}), k AS ({X.KEYED_DELAYS_SQL}),
+x AS (SELECT j.fact_id, j.hours_lag, j.v_ORIG, j.v_DEST, k.FT_ARR_DELAY_NEW,
+             CASE WHEN k.FT_ARR_DELAY_NEW >= 80 THEN 0 WHEN k.FT_ARR_DELAY_NEW <= 40 THEN 1 END AS FT_OnTime
+      FROM j JOIN k ON j.fact_id = k.event_id),
+g AS (SELECT DISTINCT fact_id, FT_OnTime, md5(CAST(fact_id AS VARCHAR)) AS m FROM x WHERE FT_OnTime IS NOT NULL),
+r AS (SELECT *, row_number() OVER (PARTITION BY FT_OnTime ORDER BY m) AS k FROM g),
+b AS (SELECT * FROM r WHERE k <= (SELECT min(n) FROM (SELECT count(*) AS n FROM g GROUP BY FT_OnTime))),
+s AS (SELECT fact_id, row_number() OVER (PARTITION BY FT_OnTime ORDER BY substr(m, 17, 16) || substr(m, 1, 16)) AS k,
+             count(*) OVER (PARTITION BY FT_OnTime) AS n FROM b)
+SELECT x.*, CASE WHEN s.k <= greatest(1, s.n * 75 // 100) THEN 'train' ELSE 'test' END AS part
+FROM x JOIN s ON x.fact_id = s.fact_id WHERE x.FT_OnTime IS NOT NULL"""
+
+
 def q_s5(spark, sf):
     o = X.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     return I.sample_rows(o, 0.3, key_cols=["o_orderkey"])
@@ -686,6 +753,58 @@ SQL_S2_S4 = f"""WITH w AS ({X.RAW_WEATHER_TEXT_SQL})
 SELECT Year, Date, count(*) AS row_count, count(Visibility) AS vis FROM w GROUP BY Year, Date"""
 
 
+def q_s6_incremental(spark, sf):
+    """Two loads that overlap by days, the second one twice: it replaces its
+    own days and no others."""
+    root = scratch_path(spark, "incremental")
+    e = X.table(spark, sf, "events").select("event_id", "value", F.col("ts").cast("date").alias("Date")).withColumn(
+        "Year", F.year("Date"))
+    first = e.where(F.dayofmonth("Date") <= 20).withColumn("load", F.lit(1))
+    second = e.where(F.dayofmonth("Date") >= 10).withColumn("load", F.lit(2)).where(F.col("event_id") % 3 != 0)
+    for load in (first, second, second):
+        I.write_partitioned(load, root, I.OBS_PARTITIONS, mode="days")
+    return P.read_parquet(spark, root).select("event_id", "value", "Date", "load")
+
+
+SQL_S6_INCREMENTAL = """WITH e AS (SELECT event_id, value, CAST(ts AS DATE) AS Date FROM events),
+second AS (SELECT *, 2 AS load FROM e WHERE day(Date) >= 10 AND event_id % 3 <> 0)
+SELECT * FROM second
+UNION ALL SELECT *, 1 AS load FROM e WHERE day(Date) <= 20 AND Date NOT IN (SELECT Date FROM second)"""
+
+
+def q_s1_rejected(spark, sf):
+    """Orders as text lines, some ragged: rows and rejected lines."""
+    root = scratch_path(spark, "ragged")
+    k = F.col("o_orderkey")
+    line = F.when(k % 31 == 0, F.concat_ws(",", "o_orderkey", "o_custkey")).when(
+        k % 37 == 0, F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderstatus", F.lit("extra"))).otherwise(
+        F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderstatus"))
+    X.table(spark, sf, "orders").select(line.alias("value")).write.text(root)
+    rows, rejected = I.read_csv_checked(spark, root, ["o_orderkey", "o_custkey", "o_orderstatus"])
+    return rows.withColumn("line", F.lit(None).cast("string")).unionByName(
+        rejected.select("line"), allowMissingColumns=True)
+
+
+SQL_S1_REJECTED = """SELECT CASE WHEN ok THEN CAST(o_orderkey AS VARCHAR) END AS o_orderkey,
+       CASE WHEN ok THEN CAST(o_custkey AS VARCHAR) END AS o_custkey, CASE WHEN ok THEN o_orderstatus END AS o_orderstatus,
+       CASE WHEN o_orderkey % 31 = 0 THEN o_orderkey || ',' || o_custkey
+            WHEN o_orderkey % 37 = 0 THEN o_orderkey || ',' || o_custkey || ',' || o_orderstatus || ',extra' END AS line
+FROM (SELECT *, o_orderkey % 31 <> 0 AND o_orderkey % 37 <> 0 AS ok FROM orders)"""
+
+
+def q_s10_reload(spark, sf):
+    """The joined pair written, read back unaligned with its statistics as a
+    CSV report, which is read back too."""
+    root = scratch_path(spark, "pair")
+    f, o = _pair(spark, sf)
+    f.withColumnRenamed("FL_DATE", "FT_FL_DATE").write.parquet(root + "/f")
+    o.withColumnRenamed("Date", "FT_FL_DATE").write.parquet(root + "/o")
+    P.read_pair(spark, root + "/f", root + "/o", aligned=False, stats_csv=root + "/stats.csv")
+    back = spark.read.option("header", "true").csv(root + "/stats.csv")
+    return back.select(F.col("min_date").cast("date").alias("min_date"), F.col("max_date").cast("date").alias("max_date"),
+                       F.col("size").cast("long").alias("size"), "dataset")
+
+
 def q_s12_s11(spark, sf):
     """Long lag join -> partitioned result sink -> reload ('lines') ->
     per-day summary."""
@@ -1000,12 +1119,19 @@ CATALOG: dict[str, tuple[Query, str | None]] = {
     "S9_load_stats": (q_s9, SQL_S9),
     "F2_aligned_facts": (q_f2, SQL_F2),
     "S10_joined_stats": (q_s10, SQL_S10),
+    "S10_unaligned_pair_roundtrip": (q_s10_reload, SQL_S10),
+    "S6_incremental_load": (q_s6_incremental, SQL_S6_INCREMENTAL),
+    "S1_rejected_rows": (q_s1_rejected, SQL_S1_REJECTED),
+    "P18_column_subset": (q_p18, SQL_P18),
     "D1_DS1": (_q_ds("DS1"), _ds_sql(_DS_SQL["DS1"], 0)),
     "D2_DS2": (_q_ds("DS2"), _ds_sql(_DS_SQL["DS2"], 0)),
     "D3_DS3": (_q_ds("DS3"), _ds_sql(_DS_SQL["DS3"], 0)),
     "D4_DS4": (_q_ds("DS4"), _ds_sql(_DS_SQL["DS4"], 0)),
     "D5_on_time": (q_d5, _ds_sql("a <= 1.0", 1)),
     "D7_D8_balanced_split": (q_d7_d8, SQL_D7_D8),
+    "D7_balanced_approx": (q_d7_approx, SQL_D7_APPROX),
+    "D7_balanced_equal_rows": (q_d7_equal_rows, SQL_D7_EQUAL_ROWS),
+    "W3_datasets_from_join": (q_w3, SQL_W3),
     "S5_hash_sample": (q_s5, SQL_S5),
     "S1_S6_csv_ingest_roundtrip": (q_s1_s6, SQL_S1_S6),
     "S2_S4_obs_ingest_roundtrip": (q_s2_s4, SQL_S2_S4),

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from lagjoin.functions.scalar import trunc_hour
 
+ORDERS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
 NATIONS = 25          # origin stations of the lag fixtures (user_id % 25)
 DEST_MOD = 7          # destination stations (user_id % 7)
 WBAN_MOD = 23         # raw observation station codes; 20..22 are unknown

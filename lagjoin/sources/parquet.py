@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lagjoin.functions import scalar as S
 from lagjoin.operators.columns import between_dates, union_all
-from lagjoin.operators.stats import range_stats
+from lagjoin.session import written
 
 # Dataset labels of the load statistics.
 STAT_LABELS = ("fact_initial", "weather_initial", "fact_filtered", "weather_filtered")
@@ -24,10 +25,14 @@ def read_parquet(spark: SparkSession, path: str, fraction: float | None = None,
     return df
 
 
-def common_range(a: DataFrame, a_col: str, b: DataFrame, b_col: str):
-    """(start, end) = (max of the minima, min of the maxima).  Two
-    one-row aggregates; on partition columns these read only metadata-sized
-    data.  Raises on an empty input (no range)."""
+def date_histogram(df: DataFrame, date_col: str) -> DataFrame:
+    """Rows per date, as a written table of a row per date: range, sizes and
+    every filtered size follow from it, so a table is read once.  Where the
+    date is a partition column the scan needs row counts only."""
+    return written(df.groupBy(S.qcol(date_col).alias("date")).agg(F.count(F.lit(1)).alias("n")), "dates")
+
+
+def _range_of(a: DataFrame, a_col: str, b: DataFrame, b_col: str):
     ra = a.agg(F.min(a_col).alias("lo"), F.max(a_col).alias("hi")).first()
     rb = b.agg(F.min(b_col).alias("lo"), F.max(b_col).alias("hi")).first()
     if ra["lo"] is None or rb["lo"] is None:
@@ -35,21 +40,33 @@ def common_range(a: DataFrame, a_col: str, b: DataFrame, b_col: str):
     return max(ra["lo"], rb["lo"]), min(ra["hi"], rb["hi"])
 
 
+def common_range(a: DataFrame, a_col: str, b: DataFrame, b_col: str):
+    """(start, end) = (max of the minima, min of the maxima).  Two
+    one-row aggregates; on partition columns these read only metadata-sized
+    data.  Raises on an empty input (no range)."""
+    return _range_of(a, a_col, b, b_col)
+
+
+def histogram_stats(histogram: DataFrame, label: str) -> DataFrame:
+    """A row of the load statistics from a date histogram."""
+    return histogram.agg(F.min("date").alias("min_date"), F.max("date").alias("max_date"),
+                         F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("size")).withColumn("dataset", F.lit(label))
+
+
 def align_pair(facts: DataFrame, obs: DataFrame, fact_date: str = "FL_DATE",
                obs_date: str = "Date") -> tuple[DataFrame, DataFrame, DataFrame]:
     """S8 + S9 + F2: filter both tables to their common date range
     (inclusive; disjoint ranges give two empty tables) and return the load
     statistics (initial and filtered; min_date, max_date, size, dataset).
-    The bounds are literals, so filters on partition columns prune
-    directories at planning time."""
-    start, end = common_range(facts, fact_date, obs, obs_date)
-    f2 = between_dates(facts, fact_date, start, end)
-    o2 = between_dates(obs, obs_date, start, end)
-    stats = union_all([range_stats(facts, fact_date, STAT_LABELS[0]),
-                       range_stats(obs, obs_date, STAT_LABELS[1]),
-                       range_stats(f2, fact_date, STAT_LABELS[2]),
-                       range_stats(o2, obs_date, STAT_LABELS[3])])
-    return f2, o2, stats
+    The range and all statistics come from one histogram a table.  The bounds
+    are literals, so filters on partition columns prune directories at
+    planning time."""
+    f_dates, o_dates = date_histogram(facts, fact_date), date_histogram(obs, obs_date)
+    start, end = _range_of(f_dates, "date", o_dates, "date")
+    stats = union_all([histogram_stats(h, label) for h, label in zip(
+        (f_dates, o_dates, between_dates(f_dates, "date", start, end), between_dates(o_dates, "date", start, end)),
+        STAT_LABELS)])
+    return between_dates(facts, fact_date, start, end), between_dates(obs, obs_date, start, end), stats
 
 
 def read_pair(spark: SparkSession, facts_path: str, obs_path: str, aligned: bool = True,
@@ -75,8 +92,8 @@ def read_pair(spark: SparkSession, facts_path: str, obs_path: str, aligned: bool
 def load_stats(facts: DataFrame, obs: DataFrame, date_col: str) -> DataFrame:
     """2-row load statistics of already-joined tables (both dated by
     ``date_col``)."""
-    return union_all([range_stats(facts, date_col, STAT_LABELS[0]),
-                      range_stats(obs, date_col, STAT_LABELS[1])])
+    return union_all([histogram_stats(date_histogram(t, date_col), label)
+                      for t, label in zip((facts, obs), STAT_LABELS)])
 
 
 def read_joined(spark: SparkSession, cols_path: str | None, lines_path: str | None,

@@ -14,9 +14,11 @@ from lagjoin.sources.ingest import write_partitioned
 RESULT_PARTITIONS = ("FT_Year", "FT_FL_DATE")
 
 
-def store_results(df: DataFrame, path: str, partitions: Sequence[str] = RESULT_PARTITIONS) -> None:
-    """Partitioned parquet sink for joined results (overwrite)."""
-    write_partitioned(df, path, partitions)
+def store_results(df: DataFrame, path: str, partitions: Sequence[str] = RESULT_PARTITIONS,
+                  mode: str = "overwrite") -> None:
+    """Partitioned parquet sink for joined results (``mode`` as for
+    :func:`write_partitioned`)."""
+    write_partitioned(df, path, partitions, mode)
 
 
 def write_report_csv(df: DataFrame, path: str) -> None:
