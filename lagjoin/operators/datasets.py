@@ -5,21 +5,21 @@ not depend on partitioning, cluster size or run, unlike ``sample`` /
 ``randomSplit``.
 
 Exact balancing ("keep exactly n on-time rows") selects the n rows with the
-smallest digest.  A mergeable quantile sketch of the digests, taken while the
-labelled rows are written, brackets the cut between two of its quantiles; one
-pass counts the rows below the bracket and gathers the digests inside it (a
-few in a hundred), and the cut is found among those by histograms of digest
-prefixes.  The parts are then read from the written table, which is laid out
-by class and part.  Rows are read three times in all, no unbounded set passes
-through one task or the driver, and the sketch only saves work: if a bracket
-misses the cut, it is widened to all rows.
+smallest digest.  The pass that counts the classes also makes a mergeable
+quantile sketch of the on-time digests, which brackets the cut between two of
+its quantiles.  A second pass writes labels, hashes and parts, laid out by
+class, part and zone (below or inside the bracket; what lies above is out).
+The cut is found inside the bracket, about one row in a hundred, by histograms
+of digest prefixes, and the parts are read from the written table.  Rows are
+read three times in all, and no unbounded set passes through one task or the
+driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,11 +68,11 @@ def row_hash(df: DataFrame, key_cols: Sequence[str] | None) -> Column:
 
 #: Quantiles of a sketch, and its accuracy (rank error at most 1 in this many).
 QUANTILES, ACCURACY = 256, 10_000
-_HEX = 15  # digits of a digest that fit a non-negative bigint
+_HEX, _SPAN = 13, 1 << 52  # leading digits: numbers that a sketch, which works on doubles, keeps exactly
 
 
 def _leading(digest: Column) -> Column:
-    """The first 60 bits of a digest: in the order of the digest itself."""
+    """The first 52 bits of a digest: in the order of the digest itself."""
     return F.conv(F.substring(digest, 1, _HEX), 16, 10).cast("long")
 
 
@@ -81,23 +81,26 @@ def _sketch(number: Column) -> Column:
     return F.percentile_approx(number, grid, ACCURACY)
 
 
+def _bracket(n: int, total: int, quantiles: Sequence[int]) -> tuple[int, int]:
+    """Numbers between which the n-th of ``total`` lies: a quantile's rank is
+    off by less than a step of the grid, so one step either way is enough."""
+    at = n * QUANTILES // total
+    return quantiles[at - 1] if at >= 1 else -1, quantiles[min(at + 2, QUANTILES)]
+
+
 def _cut(rows: DataFrame, number: Column, digest: Column, n: int, total: int,
          quantiles: Sequence[int] | None = None) -> tuple[str, int]:
     """Where the ``n`` smallest digests end, 0 < n < total: (digest, copies).
     All rows up to ``digest`` are among them (copies 0), or all rows below it
     and ``copies`` of the rows that have exactly it."""
-    lo, hi = -1, 1 << 60
-    if quantiles:
-        at = n * QUANTILES // total
-        lo = quantiles[at - 1] if at >= 1 else -1
-        hi = quantiles[min(at + 2, QUANTILES)]
+    lo, hi = _bracket(n, total, quantiles) if quantiles else (-1, _SPAN)
     inside = number >= F.lit(lo)
     near = written(rows.where(number <= F.lit(hi)).groupBy(F.when(inside, digest).alias("s"))
                    .agg(F.count(F.lit(1)).alias("c")), "bracket")
     sums = near.agg(F.sum(F.when(F.col("s").isNull(), F.col("c"))).alias("below"), F.sum("c").alias("upto")).first()
     below, upto = sums["below"] or 0, sums["upto"] or 0
     if not below < n <= upto:
-        return _cut(rows, number, digest, n, total)
+        raise RuntimeError(f"the bracket holds ranks {below + 1} to {upto}, not {n}")
     near = near.where("s is not null")
     prefix, remaining = "", n - below
     while True:
@@ -200,34 +203,34 @@ def labelled_datasets(df: DataFrame, ds_type: str, delayed_threshold: float,
                       lambda x: x.isNotNull())
     digest = row_hash(df, key_cols)
     number = _leading(digest)
-    # one pass over the input: labels, hashes and parts are written, class by
-    # class, and the sketch of the on-time digests is taken on the way
-    seen = Observation()
-    watched = df.observe(seen, F.count(F.lit(1)).alias("n"), _sketch(F.when(ocond, number)).alias("q"))
+    known = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(dcond).alias("d"), F.count_if(ocond).alias("o"),
+                   _sketch(F.when(ocond, number)).alias("q")).first()
+    n_del, n_on = known["d"], known["o"]
+    if known["n"] and not n_del:
+        raise ValueError("no delayed rows found")
+    if known["n"] and not n_on:
+        raise ValueError("no on-time rows found")
+    cut = balance == "exact" and n_on > n_del
+    lo, hi = _bracket(n_del, n_on, known["q"]) if cut else (-1, _SPAN)
+    zone = F.when((F.col(label_col) == DELAYED_LABEL) | (F.col("__n") < lo), 0).when(F.col("__n") <= hi, 1)
     path = scratch_path(df.sparkSession, "labelled")
     schema = T.StructType([*df.schema.fields, T.StructField(label_col, T.IntegerType()), T.StructField("__n", T.LongType()),
-                           T.StructField("__label", T.IntegerType()), T.StructField("__test", T.IntegerType())])
-    (watched.select("*", F.explode(labels).alias(label_col), number.alias("__n"),
-                    (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100 >= train_pct).cast("int").alias("__test"))
-     .withColumn("__label", F.col(label_col)).write.partitionBy("__label", "__test").parquet(path))
+                           T.StructField("__label", T.IntegerType()), T.StructField("__test", T.IntegerType()),
+                           T.StructField("__zone", T.IntegerType())])
+    (df.select("*", F.explode(labels).alias(label_col), number.alias("__n"),
+               (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100 >= train_pct).cast("int").alias("__test"))
+     .withColumn("__label", F.col(label_col)).withColumn("__zone", zone).where(F.col("__zone").isNotNull())
+     .write.partitionBy("__label", "__test", "__zone").parquet(path))
     rows = df.sparkSession.read.schema(schema).parquet(path)
-    sizes = {r["__label"]: r["n"] for r in rows.groupBy("__label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_del, n_on = sizes.get(DELAYED_LABEL, 0), sizes.get(ON_TIME_LABEL, 0)
     columns = [*(S.qcol(c) for c in df.columns), F.col(label_col)]
-    if not sizes and not seen.get["n"]:
-        e = rows.select(*columns)
-        return e, e, e, e
-    if not n_del:
-        raise ValueError("no delayed rows found")
-    if not n_on:
-        raise ValueError("no on-time rows found")
     delayed, on_time = rows.where(F.col("__label") == DELAYED_LABEL), rows.where(F.col("__label") == ON_TIME_LABEL)
-    if n_on > n_del and balance == "exact":
-        own = row_hash(df, key_cols)
-        cut, copies = _cut(on_time, F.col("__n"), own, n_del, n_on, seen.get["q"])
-        on_time, n_on = _below(on_time, F.col("__n"), own, cut, copies), n_del
+    if cut:
+        inside = on_time.where("__zone = 1")
+        n = {r["__zone"]: r["n"] for r in on_time.groupBy("__zone").agg(F.count(F.lit(1)).alias("n")).collect()}
+        where, copies = _cut(inside, F.col("__n"), digest, n_del - n.get(0, 0), n[1])
+        on_time, n_on = _below(on_time, F.col("__n"), digest, where, copies), n_del
     elif n_on > n_del and balance == "approx":
-        bound = int((n_del / n_on) * (1 << 32)) << 28  # of 60 bits: the same rows as 32 bits below the bound
+        bound = int((n_del / n_on) * (1 << 32)) << 20  # of 52 bits: the same rows as 32 bits below the bound
         on_time = on_time.where(F.col("__n") < F.lit(bound))
 
     def parts(side: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
