@@ -24,6 +24,7 @@ from lagjoin.operators import quality as Q
 from lagjoin.operators import stats as A
 from lagjoin.plans import fixtures as X
 from lagjoin.plans import tables as T
+from lagjoin.plans import workflow as W
 from lagjoin.session import scratch_path
 from lagjoin.sources import ingest as I
 from lagjoin.sources import parquet as P
@@ -344,39 +345,40 @@ def _missing(c: str) -> str:
     return f"({c} IS NULL OR isnan({c}))"
 
 
-# typed raw weather after Q3 imputation (StationType, Visibility, WindSpeed; Year has none missing)
-def _imputed_cte(raw_sql: str) -> str:
+_NARROW = ("StationType", "Visibility", "WindSpeed")     # numeric columns of the narrow feed
+_NARROW_MEANS, _NARROW_MODES = ("Visibility", "WindSpeed"), ("SkyCondition", "WeatherType")
+_FULL_MEANS = tuple(m for m in T.OBS_NUMERIC if m != "StationType")
+
+
+def _imputed_cte(raw_sql: str, numeric=_NARROW) -> str:
+    """Typed raw weather after Q3 imputation."""
+    stats = ",\n              ".join(
+        f"count(*) FILTER (WHERE {_missing(c)}) AS m_{c}, avg({c}) FILTER (WHERE NOT {_missing(c)}) AS a_{c}" for c in numeric)
+    fills = ",\n          ".join(
+        f"CASE WHEN {_missing(c)} AND CAST(m_{c} AS DOUBLE) / n < 0.2 THEN a_{c} ELSE {c} END AS {c}" for c in numeric)
     return f"""raw AS ({raw_sql}),
 s1 AS (SELECT count(*) AS n,
-              count(*) FILTER (WHERE {_missing('StationType')}) AS m_st,
-              avg(StationType) FILTER (WHERE NOT {_missing('StationType')}) AS a_st,
-              count(*) FILTER (WHERE {_missing('Visibility')}) AS m_vis,
-              avg(Visibility) FILTER (WHERE NOT {_missing('Visibility')}) AS a_vis,
-              count(*) FILTER (WHERE {_missing('WindSpeed')}) AS m_ws,
-              avg(WindSpeed) FILTER (WHERE NOT {_missing('WindSpeed')}) AS a_ws
+              {stats}
        FROM raw),
 imp AS (SELECT raw.* REPLACE (
-          CASE WHEN {_missing('StationType')} AND CAST(m_st AS DOUBLE) / n < 0.2 THEN a_st ELSE StationType END AS StationType,
-          CASE WHEN {_missing('Visibility')} AND CAST(m_vis AS DOUBLE) / n < 0.2 THEN a_vis ELSE Visibility END AS Visibility,
-          CASE WHEN {_missing('WindSpeed')} AND CAST(m_ws AS DOUBLE) / n < 0.2 THEN a_ws ELSE WindSpeed END AS WindSpeed)
+          {fills})
         FROM raw, s1)"""
 
 
 _IMPUTED_CTE = _imputed_cte(X.RAW_WEATHER_TYPED_SQL)
 
 
-def _corrected_cte(src: str) -> str:
-    return f"""means AS (SELECT avg(Visibility) FILTER (WHERE VisibilityFlag <> 's') AS mv,
-                 avg(WindSpeed) FILTER (WHERE WindSpeedFlag <> 's') AS mw FROM {src}),
-sky AS (SELECT SkyCondition AS v FROM {src} WHERE SkyConditionFlag <> 's' GROUP BY 1
-        ORDER BY count(*) DESC, v ASC NULLS FIRST LIMIT 1),
-wt AS (SELECT WeatherType AS v FROM {src} WHERE WeatherTypeFlag <> 's' GROUP BY 1
-       ORDER BY count(*) DESC, v ASC NULLS FIRST LIMIT 1),
+def _corrected_cte(src: str, means=_NARROW_MEANS, modes=_NARROW_MODES) -> str:
+    """After Q4 / Q5: means and modes of unflagged rows."""
+    avgs = ", ".join(f"avg({c}) FILTER (WHERE {c}Flag <> 's') AS m_{c}" for c in means)
+    tops = ",\n".join(f"""top_{c} AS (SELECT {c} AS v FROM {src} WHERE {c}Flag <> 's' GROUP BY 1
+       ORDER BY count(*) DESC, v ASC NULLS FIRST LIMIT 1)""" for c in modes)
+    fixes = [f"CASE WHEN {c}Flag = 's' THEN coalesce(means.m_{c}, {c}) ELSE {c} END AS {c}" for c in means]
+    fixes += [f"CASE WHEN {c}Flag = 's' THEN (SELECT v FROM top_{c}) ELSE {c} END AS {c}" for c in modes]
+    return f"""means AS (SELECT {avgs} FROM {src}),
+{tops},
 fix AS (SELECT {src}.* REPLACE (
-          CASE WHEN VisibilityFlag = 's' THEN means.mv ELSE Visibility END AS Visibility,
-          CASE WHEN WindSpeedFlag = 's' THEN means.mw ELSE WindSpeed END AS WindSpeed,
-          CASE WHEN SkyConditionFlag = 's' THEN (SELECT v FROM sky) ELSE SkyCondition END AS SkyCondition,
-          CASE WHEN WeatherTypeFlag = 's' THEN (SELECT v FROM wt) ELSE WeatherType END AS WeatherType)
+          {", ".join(fixes)})
         FROM {src}, means)"""
 
 
@@ -389,27 +391,24 @@ def _typed_weather(spark, sf):
 
 
 def q_q6(spark, sf):
-    w = X.raw_weather(spark, sf)
-    out = T.observation_table(w, X.stations(spark, sf),
-                              measures=("SkyCondition", "Visibility", "WeatherType", "WindSpeed"),
-                              numeric_cols=("StationType", "Visibility", "WindSpeed"))
-    return _round(out)
+    return _round(T.observation_table(X.full_weather(spark, sf), X.stations(spark, sf)))
 
 
 def _obs_table_sql(raw_sql: str) -> str:
-    """Q6 in SQL over a typed raw observation source."""
-    return f"""WITH {_imputed_cte(raw_sql)}, {_corrected_cte('imp')}, st AS ({X.STATIONS_SQL})
-SELECT f.WBAN AS OT_WBAN, f.ObsId AS OT_ObsId, lpad(f.Time, 4, '0') AS OT_Time,
-       f.StationType AS OT_StationType, f.SkyCondition AS OT_SkyCondition,
-       f.Visibility AS OT_Visibility, f.WeatherType AS OT_WeatherType, f.WindSpeed AS OT_WindSpeed,
+    """Q6 in SQL over a typed raw observation source with all measures."""
+    measures = ", ".join(f"f.{m} AS OT_{m}" for m in ("StationType", *T.OBS_MEASURES))
+    return f"""WITH {_imputed_cte(raw_sql, T.OBS_NUMERIC)}, {_corrected_cte('imp', _FULL_MEANS, T.OBS_TEXT_MEASURES)},
+st AS ({X.STATIONS_SQL})
+SELECT f.WBAN AS OT_WBAN, f.ObsId AS OT_ObsId, lpad(f.Time, 4, '0') AS OT_Time, {measures},
        f.Year AS OT_Year, f.Date AS OT_Date,
        try_strptime(CAST(f.Date AS VARCHAR) || ' ' || lpad(f.Time, 4, '0'), '%Y-%m-%d %H%M') AS OT_WEATHER_TIMESTAMP,
        st.AirportID AS OT_ORIGIN_AIRPORT_ID, st.TimeZone AS OT_TimeZone
 FROM fix f JOIN st ON f.WBAN = st.WBAN"""
 
 
-OT_DOUBLES = ["OT_StationType", "OT_Visibility", "OT_WindSpeed"]
-SQL_Q6 = _sql_round(_obs_table_sql(X.RAW_WEATHER_TYPED_SQL), OT_DOUBLES)
+OT_DOUBLES = [f"OT_{m}" for m in T.OBS_NUMERIC]
+OT_TEXTS = [f"OT_{m}" for m in T.OBS_TEXT_MEASURES]
+SQL_Q6 = _sql_round(_obs_table_sql(X.full_weather_typed_sql()), OT_DOUBLES)
 
 
 def q_q3(spark, sf):
@@ -1035,47 +1034,73 @@ def q_m10(spark, sf):
 
 # --- end to end: raw rows -> recipes -> keys -> long lag join --------------------
 
-_W1_OBS = ["OT_ORIGIN_AIRPORT_ID", "OT_WEATHER_TIMESTAMP", "OT_Visibility", "OT_SkyCondition"]
-_W1_OUT = ["FT_OP_CARRIER_FL_NUM", "FT_ORIGIN_AIRPORT_ID", "FT_DEST_AIRPORT_ID", "FT_TIMESTAMP",
-           "FT_DEST_DATE_TIME", "FT_JOIN_KEY_DEST", "hours_lag", "FT_ORIGIN_DATE_TIME_LAG",
-           "FT_DEST_DATE_TIME_LAG", "OT_Visibility_ORIG", "OT_SkyCondition_ORIG",
-           "OT_Visibility_DEST", "OT_SkyCondition_DEST"]
+_OT_KEYS = ["OT_ORIGIN_AIRPORT_ID", "OT_WEATHER_TIMESTAMP"]
+_OT_MEASURES = [*OT_DOUBLES, *OT_TEXTS]
+_FT_KEPT = ["FT_OP_CARRIER_FL_NUM", "FT_ORIGIN_AIRPORT_ID", "FT_DEST_AIRPORT_ID", "FT_TIMESTAMP", "FT_DEST_DATE_TIME"]
+_W1_OUT = [*_FT_KEPT, "FT_JOIN_KEY_DEST", "hours_lag", "FT_ORIGIN_DATE_TIME_LAG", "FT_DEST_DATE_TIME_LAG",
+           *[c + side for side in ("_ORIG", "_DEST") for c in _OT_MEASURES]]
 
 
-def q_w1(spark, sf):
-    from lagjoin.plans import workflow as W
+def _raw_tables(spark, sf):
+    """Both recipes at full width.  Hourly readings are made unique per
+    (station, hour) by the joins that follow: duplicates would make the two
+    LEFT joins emit origin x destination pairs."""
     st = X.stations(spark, sf)
-    ft = T.fact_table(X.raw_event_facts(spark, sf), st)
-    ot = T.observation_table(X.raw_weather(spark, sf, hourly=True), st,
-                             measures=("SkyCondition", "Visibility", "WeatherType", "WindSpeed"),
-                             numeric_cols=("StationType", "Visibility", "WindSpeed"))
-    # hourly readings are made unique per (station, hour) first: duplicates
-    # would make the two LEFT joins emit origin x destination pairs
-    _, lines = W.join(ft, ot, "lines", obs_cols=_W1_OBS, dedupe="mean")
+    return T.fact_table(X.raw_event_facts(spark, sf), st), T.observation_table(X.full_weather(spark, sf, hourly=True), st)
+
+
+def q_w1(spark, sf):
+    ft, ot = _raw_tables(spark, sf)
+    _, lines = W.join(ft, ot, "lines", obs_cols=[*_OT_KEYS, *_OT_MEASURES], dedupe="mean")
     return _round(lines.select(*_W1_OUT))
 
 
-SQL_W1 = _sql_round(f"""WITH ft AS ({_fact_table_sql(X.RAW_EVENT_FACTS_SQL)}),
-ot0 AS ({_obs_table_sql(X.raw_weather_typed_sql(True))}),
-ot AS (SELECT OT_ORIGIN_AIRPORT_ID, OT_WEATHER_TIMESTAMP, avg(OT_Visibility) AS OT_Visibility,
-              min(OT_SkyCondition) AS OT_SkyCondition
-       FROM ot0 GROUP BY OT_ORIGIN_AIRPORT_ID, OT_WEATHER_TIMESTAMP),
+def q_w2(spark, sf):
+    """Raw rows to the wide form with all measures: joined as arrays of
+    readings, written by day, reloaded and flattened."""
+    ft, ot = _raw_tables(spark, sf)
+    cols, _ = W.join(W.with_row_id(ft), ot, "cols", obs_cols=[*_OT_KEYS, *_OT_MEASURES], dedupe="mean", nested=True)
+    root = scratch_path(spark, "wide")
+    K.store_results(cols, root)
+    wide = L.flatten_wide(P.read_joined(spark, root, None, mode="cols")[0], origin_ts_col=W.FT_TS, dest_ts_col=W.FT_ARRIVAL)
+    joined = [c for c in wide.columns if "_PART_" in c or "_Part_" in c]
+    return _round(wide.select(*_FT_KEPT, *joined))
+
+
+_RAW_SQL = f"""ft AS ({_fact_table_sql(X.RAW_EVENT_FACTS_SQL)}),
+ot0 AS ({_obs_table_sql(X.full_weather_typed_sql(True))}),
+ot AS (SELECT {", ".join(_OT_KEYS)}, {", ".join(f"avg({c}) AS {c}" for c in OT_DOUBLES)},
+              {", ".join(f"min({c}) AS {c}" for c in OT_TEXTS)}
+       FROM ot0 GROUP BY {", ".join(_OT_KEYS)}),
 fm AS (SELECT ft.*, ft.FT_TIMESTAMP + to_seconds(CAST(trunc(ft.FT_CRS_ELAPSED_TIME * 60) AS BIGINT)
-                    + CAST(trunc(ft.FT_Delta_Lag * 3600) AS BIGINT)) AS FT_DEST_DATE_TIME FROM ft),
+                    + CAST(trunc(ft.FT_Delta_Lag * 3600) AS BIGINT)) AS FT_DEST_DATE_TIME FROM ft)"""
+
+SQL_W1 = _sql_round(f"""WITH {_RAW_SQL},
 x AS (SELECT fm.*, fm.FT_DEST_AIRPORT_ID || '_' || CAST(fm.FT_DEST_DATE_TIME AS VARCHAR) AS FT_JOIN_KEY_DEST,
              CAST(h.range AS INTEGER) AS hours_lag,
              fm.FT_TIMESTAMP - to_hours(CAST(h.range AS INTEGER)) AS FT_ORIGIN_DATE_TIME_LAG,
              fm.FT_DEST_DATE_TIME - to_hours(CAST(h.range AS INTEGER)) AS FT_DEST_DATE_TIME_LAG
       FROM fm CROSS JOIN range({LAGS}) h)
-SELECT x.FT_OP_CARRIER_FL_NUM, x.FT_ORIGIN_AIRPORT_ID, x.FT_DEST_AIRPORT_ID, x.FT_TIMESTAMP,
-       x.FT_DEST_DATE_TIME, x.FT_JOIN_KEY_DEST, x.hours_lag, x.FT_ORIGIN_DATE_TIME_LAG,
-       x.FT_DEST_DATE_TIME_LAG, o.OT_Visibility AS OT_Visibility_ORIG,
-       o.OT_SkyCondition AS OT_SkyCondition_ORIG, d.OT_Visibility AS OT_Visibility_DEST,
-       d.OT_SkyCondition AS OT_SkyCondition_DEST
+SELECT {", ".join("x." + c for c in _W1_OUT[:9])},
+       {", ".join(f"o.{c} AS {c}_ORIG, d.{c} AS {c}_DEST" for c in _OT_MEASURES)}
 FROM x
 LEFT JOIN ot o ON o.OT_ORIGIN_AIRPORT_ID = x.FT_ORIGIN_AIRPORT_ID AND o.OT_WEATHER_TIMESTAMP = x.FT_ORIGIN_DATE_TIME_LAG
 LEFT JOIN ot d ON d.OT_ORIGIN_AIRPORT_ID = x.FT_DEST_AIRPORT_ID AND d.OT_WEATHER_TIMESTAMP = x.FT_DEST_DATE_TIME_LAG""",
-                    ["OT_Visibility_ORIG", "OT_Visibility_DEST"])
+                    [c + side for c in OT_DOUBLES for side in ("_ORIG", "_DEST")])
+
+
+def _sql_w2() -> str:
+    kept, joins = ["fm." + c for c in _FT_KEPT], []
+    for h in range(LAGS):
+        kept += [f"fm.FT_TIMESTAMP - to_hours({h}) AS FT_ORIGIN_DATE_TIME_PART_{h}",
+                 f"fm.FT_DEST_DATE_TIME - to_hours({h}) AS FT_DEST_DATE_TIME_PART_{h}"]
+        for side, part, station, ts in (("o", "Part", "FT_ORIGIN_AIRPORT_ID", "FT_TIMESTAMP"),
+                                        ("d", "Dest_Part", "FT_DEST_AIRPORT_ID", "FT_DEST_DATE_TIME")):
+            kept += [f"{side}{h}.{c} AS {c}_{part}_{h}" for c in [*_OT_KEYS, *_OT_MEASURES]]
+            joins.append(f"LEFT JOIN ot {side}{h} ON {side}{h}.OT_ORIGIN_AIRPORT_ID = fm.{station} "
+                         f"AND {side}{h}.OT_WEATHER_TIMESTAMP = fm.{ts} - to_hours({h})")
+    return _sql_round(f"WITH {_RAW_SQL}\nSELECT " + ",\n       ".join(kept) + "\nFROM fm\n" + "\n".join(joins),
+                      [f"{c}_{part}_{h}" for c in OT_DOUBLES for part in ("Part", "Dest_Part") for h in range(LAGS)])
 
 
 # ============================================================================
@@ -1084,6 +1109,7 @@ LEFT JOIN ot d ON d.OT_ORIGIN_AIRPORT_ID = x.FT_DEST_AIRPORT_ID AND d.OT_WEATHER
 
 CATALOG: dict[str, tuple[Query, str | None]] = {
     "W1_raw_to_long_lag_join": (q_w1, SQL_W1),
+    "W2_raw_to_wide": (q_w2, _sql_w2()),
     "J4_lag_cross": (q_j4, SQL_J4),
     "J5_lag_long_origin": (q_j5, _long_sql(False)),
     "J6_lag_long": (q_j6, _long_sql(True)),

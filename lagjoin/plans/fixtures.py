@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lagjoin.functions.scalar import trunc_hour
+from lagjoin.plans.tables import OBS_MEASURES, flag_of
 
 ORDERS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
 NATIONS = 25          # origin stations of the lag fixtures (user_id % 25)
@@ -121,9 +122,46 @@ FROM events WHERE event_type = 'view'"""
 
 # --- raw observation rows (text, as read from the feed) -------------------------
 
+#: Measures that only the full feed has, and how often each is missing.
+MORE_MEASURES = tuple(m for m in OBS_MEASURES if m not in ("SkyCondition", "Visibility", "WeatherType", "WindSpeed"))
+
+
+def _every(k: int) -> int:
+    return 3 if k % 5 == 4 else 6 + k
+
+
+def full_weather(spark: SparkSession, sf_dir: str, hourly: bool = False) -> DataFrame:
+    """The raw observations with all measures of the feed and their flags."""
+    eid, v = F.col("event_id"), F.col("value")
+    e = table(spark, sf_dir, "events")
+    more = []
+    for k, m in enumerate(MORE_MEASURES):
+        if m == "RecordType":
+            text = F.when((eid + k) % 6 != 0, F.when((eid + k) % 2 == 0, "AA").otherwise("SP"))
+        else:
+            text = F.when((eid + k) % _every(k) == 0, F.lit("M")).otherwise((v * (k + 1) / 7).cast("string"))
+        flag = F.when(eid * (k + 3) % 7 == 0, "s").when(eid * (k + 3) % 7 != 1, " ")
+        more += [text.alias(m), flag.alias(flag_of(m))]
+    return _raw_weather(e, hourly, more)
+
+
+def full_weather_typed_sql(hourly: bool = False) -> str:
+    more = []
+    for k, m in enumerate(MORE_MEASURES):
+        if m == "RecordType":
+            more.append(f"CASE WHEN (event_id + {k}) % 6 <> 0 THEN CASE WHEN (event_id + {k}) % 2 = 0 THEN 'AA' ELSE 'SP' END END AS {m}")
+        else:
+            more.append(f"CASE WHEN (event_id + {k}) % {_every(k)} = 0 THEN NULL ELSE value * {k + 1} / 7 END AS {m}")
+        more.append(f"CASE WHEN event_id * {k + 3} % 7 = 0 THEN 's' WHEN event_id * {k + 3} % 7 <> 1 THEN ' ' END AS {flag_of(m)}")
+    return raw_weather_typed_sql(hourly).replace("\nFROM events", ",\n       " + ",\n       ".join(more) + "\nFROM events")
+
+
 def raw_weather(spark: SparkSession, sf_dir: str, hourly: bool = False) -> DataFrame:
     """Every event as a raw observation; ``hourly`` puts readings on the hour."""
-    e = table(spark, sf_dir, "events")
+    return _raw_weather(table(spark, sf_dir, "events"), hourly, [])
+
+
+def _raw_weather(e: DataFrame, hourly: bool, more: list) -> DataFrame:
     eid, v = F.col("event_id"), F.col("value")
     clock = F.hour("ts") * 100 if hourly else F.hour("ts") * 100 + F.minute("ts")
     return e.select(
@@ -139,10 +177,10 @@ def raw_weather(spark: SparkSession, sf_dir: str, hourly: bool = False) -> DataF
          .otherwise(" ").alias("VisibilityFlag"),
         F.when(v > 50, "RA").when(v > 20, "BR").alias("WeatherType"),
         F.when(F.col("user_id") % 4 == 0, "s").otherwise(" ").alias("WeatherTypeFlag"),
-        F.when(eid % 4 == 0, F.lit("M")).otherwise((v / 2).cast("string")).alias("WindSpeed"),
+        F.when(eid % 4 == 0, F.lit("M")).otherwise((v / 3).cast("string")).alias("WindSpeed"),
         F.when(eid % 5 == 0, "s").otherwise("").alias("WindSpeedFlag"),
         F.year("ts").alias("Year"),
-        F.col("ts").cast("date").alias("Date"))
+        F.col("ts").cast("date").alias("Date"), *more)
 
 
 # Typed twin of raw_weather for the oracle: the text measures are written as
@@ -161,7 +199,7 @@ def raw_weather_typed_sql(hourly: bool = False) -> str:
             ELSE ' ' END AS VisibilityFlag,
        CASE WHEN value > 50 THEN 'RA' WHEN value > 20 THEN 'BR' END AS WeatherType,
        CASE WHEN user_id % 4 = 0 THEN 's' ELSE ' ' END AS WeatherTypeFlag,
-       CASE WHEN event_id % 4 = 0 THEN NULL ELSE value / 2 END AS WindSpeed,
+       CASE WHEN event_id % 4 = 0 THEN NULL ELSE value / 3 END AS WindSpeed,
        CASE WHEN event_id % 5 = 0 THEN 's' ELSE '' END AS WindSpeedFlag,
        CAST(year(ts) AS INTEGER) AS Year,
        CAST(ts AS DATE) AS Date

@@ -77,11 +77,12 @@ def with_row_id(df: DataFrame, col: str = FACT_KEY) -> DataFrame:
 
 def join(ft: DataFrame, ot: DataFrame, mode: str = "lines", obs_cols: Sequence[str] | None = None,
          lags: int = L.DEFAULT_LAGS, match_station: bool = True,
-         dedupe: str | None = None) -> tuple[DataFrame | None, DataFrame | None]:
+         dedupe: str | None = None, nested: bool = False) -> tuple[DataFrame | None, DataFrame | None]:
     """Stage B: (cols, lines).  ``ft`` must carry a unique ``FT_ROW_ID`` for
     the wide form (see :func:`with_row_id`); ``obs_cols`` limits the carried
     observation columns; ``dedupe`` ('mean' or 'min') first makes the
-    observations unique per (station, time)."""
+    observations unique per (station, time).  ``nested``: the wide form as
+    arrays by lag, for :func:`lagjoin.operators.lagged.flatten_wide`."""
     if mode not in MODES:
         raise ValueError(f"mode {mode!r} not in {MODES}")
     if dedupe is not None:
@@ -100,7 +101,7 @@ def join(ft: DataFrame, ot: DataFrame, mode: str = "lines", obs_cols: Sequence[s
             raise ValueError(f"the wide form needs a unique {FACT_KEY} column (with_row_id)")
         side = otm if match_station else L.dedupe_observations(
             otm.select(*(obs_cols or otm.columns)), None, OT_TS)
-        cols = L.lag_join_wide(ftm, side, match_station=match_station, **kw)
+        cols = L.lag_join_wide(ftm, side, match_station=match_station, nested=nested, **kw)
     return cols, lines
 
 
@@ -147,7 +148,8 @@ def run(spark: SparkSession, facts_path: str, obs_path: str, stations_path: str,
         delayed: float = 15, on_time: float = 1.0, dedupe: str | None = "mean", **train_kw
         ) -> dict[str, dict[str, float]]:
     """All stages; writes under ``out_dir``: reports/*.csv, ft/, ot/,
-    joined_cols/ and/or joined_lines/ (partitioned by year and date),
+    joined_cols/ (readings as arrays by lag) and/or joined_lines/ (both
+    partitioned by year and date),
     schema_*.json and metrics_<mode>/metrics.csv.  Returns the metrics per
     produced form."""
     rep = os.path.join(out_dir, "reports")
@@ -157,15 +159,17 @@ def run(spark: SparkSession, facts_path: str, obs_path: str, stations_path: str,
     ft = spark.read.parquet(os.path.join(out_dir, "ft"))
     ot = spark.read.parquet(os.path.join(out_dir, "ot"))
     T.require_rows(ft, "fact table")
-    cols, lines = join(ft, ot, mode, obs_cols, dedupe=dedupe)
+    cols, lines = join(ft, ot, mode, obs_cols, dedupe=dedupe, nested=True)
     out: dict[str, dict[str, float]] = {}
     for name, df in (("cols", cols), ("lines", lines)):
         if df is None:
             continue
         path = os.path.join(out_dir, f"joined_{name}")
         K.store_results(df, path)
-        K.write_schema_json(df, os.path.join(out_dir, f"schema_{name}.json"))
         joined = T.require_rows(spark.read.parquet(path), f"joined {name}")
+        if name == "cols":
+            joined = L.flatten_wide(joined, origin_ts_col=FT_TS, dest_ts_col=FT_ARRIVAL)
+        K.write_schema_json(joined, os.path.join(out_dir, f"schema_{name}.json"))
         metrics = train(joined, ds_type, delayed, on_time, **train_kw)
         K.write_metrics_csv(spark, metrics, os.path.join(out_dir, f"metrics_{ds_type}_{name}"))
         out[name] = metrics
