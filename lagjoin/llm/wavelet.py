@@ -1,7 +1,7 @@
 """Token-id output as wavelet matrices.
 
-Documents are dealt by ranges of id and text and sorted, so rows of one id may
-span tasks; each task encodes its documents and writes shard files.  A shard
+Documents are dealt by ranges of id and the beginning of the text, so rows of
+one id may span tasks; each task encodes its documents and writes shard files.  A shard
 holds its documents' ids, offsets and a wavelet matrix of all token ids: one bit-plane per bit, highest first, each
 stably partitioned by the planes before, with running counts per 512 bits for
 rank and select.  Access, counting and occurrence lookup work on the planes
@@ -27,15 +27,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lagjoin.llm.bpe import tokenizer_path
-from lagjoin.llm.pretok import WordTable, code_points, split_keeping_space
+from lagjoin.llm.bpe import byte_symbols, tokenizer_path
+from lagjoin.llm.pretok import code_points, split_keeping_space
 from lagjoin.llm.shared import new_path, ship, table, text_groups, texts_of, written
 from lagjoin.llm.store import own_name, read_bytes, write_bytes
+from lagjoin.llm.words import LONG_WORD, HashedWords, piece_encoder
 
 END_ID = 2
 SHARD_TOKENS = 4_000_000
 MAGIC = b"WVM1"
 BLOCK = 512
+#: Code points encoded at once.
+CHUNK = 500_000
 
 
 class WaveletMatrix:
@@ -52,14 +55,15 @@ class WaveletMatrix:
     @classmethod
     def build(cls, values: np.ndarray) -> "WaveletMatrix":
         bits = max(1, int(values.max()).bit_length()) if len(values) else 1
+        values = values.astype(np.uint16 if bits <= 16 else np.uint32)
         planes, zeros = [], []
         for level in range(bits - 1, -1, -1):
-            bit = (values >> level) & 1
-            planes.append(np.packbits(bit.astype(np.uint8)))
-            low = bit == 0
-            zeros.append(int(low.sum()))
-            values = np.concatenate([values[low], values[~low]])
-        return cls(len(bit) if bits else 0, planes, zeros)
+            high = (values & values.dtype.type(1 << level)) != 0
+            planes.append(np.packbits(high))
+            low = values[~high]
+            zeros.append(len(low))
+            values = np.concatenate([low, values[high]])
+        return cls(len(values), planes, zeros)
 
     def _rank1(self, level: int, at: int) -> int:
         """Ones among the first ``at`` bits of a plane."""
@@ -114,16 +118,16 @@ class WaveletMatrix:
         return at
 
     def values(self) -> np.ndarray:
-        """All values, plane by plane."""
-        at = np.arange(self.n)
-        out = np.zeros(self.n, np.uint32)
-        for plane, zeros in zip(self.planes, self.zeros):
-            bits = np.unpackbits(plane)[:self.n]
-            ones = np.cumsum(bits, dtype=np.int64) - bits
-            hit = bits[at]
-            out = out << np.uint32(1) | hit
-            at = np.where(hit == 1, zeros + ones[at], at - ones[at])
-        return out
+        """All values: from the lowest plane upwards, each plane's stable
+        partition is undone by its own bits, in sequential passes."""
+        out = np.zeros(self.n, np.uint16 if len(self.planes) <= 16 else np.uint32)
+        for level, (plane, zeros) in enumerate(zip(reversed(self.planes), reversed(self.zeros))):
+            high = np.unpackbits(plane, count=self.n).view(bool)
+            before = np.empty_like(out)
+            before[~high] = out[:zeros]
+            before[high] = out[zeros:] | out.dtype.type(1 << level)
+            out = before
+        return out.astype(np.uint32)
 
 
 def shard_bytes(doc_ids: list[int | None], lengths: np.ndarray, tokens: np.ndarray) -> bytes:
@@ -152,15 +156,25 @@ def open_shard(data: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix
 
 
 class ByteEncoder:
-    """The tokenizers library over a byte-level BPE file; texts are split at
-    once by array operations and each new word is encoded by the library."""
+    """Encoder of a byte-level BPE file: texts are split at once by array
+    operations and each new word is merged by its ranks (very long ones by
+    the tokenizers library, whose time grows with n log n)."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.added_at = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) or r"(?!)")
-        self.words = WordTable(lambda ws: [e.ids for e in self.tokenizer.encode_batch(ws, add_special_tokens=False)])
+        byte_of = {s: b for b, s in enumerate(byte_symbols())}
+        self.piece = piece_encoder({bytes(byte_of[c] for c in t): i for t, i in self.tokenizer.get_vocab().items()
+                                    if t not in self.added})
+        self.words = HashedWords(self._encode_words)
+
+    def _encode_words(self, words: list[str]) -> tuple[list[list[int]], np.ndarray]:
+        raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        ids = [self.piece(w) if len(w) <= LONG_WORD else self.tokenizer.encode(t, add_special_tokens=False).ids
+               for w, t in zip(raw, words)]
+        return ids, np.ones(len(words), bool)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         pieces, rows = [], []
@@ -210,7 +224,7 @@ def write_shards(df: DataFrame, id_col: str, text_col: str, folder: str | None =
 
         for batch in batches:
             names, texts = batch.column(0).to_pylist(), texts_of(batch.column(1)).to_pylist()
-            for a, b in text_groups(texts):
+            for a, b in text_groups(texts, CHUNK):
                 for name, tokens in zip(names[a:b], coder.encode(texts[a:b])):
                     tokens = np.append(tokens, end_id).astype(np.uint32)
                     if ids and held + len(tokens) > shard_tokens:
@@ -221,11 +235,19 @@ def write_shards(df: DataFrame, id_col: str, text_col: str, folder: str | None =
         if ids:
             yield flush()
 
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    dealt = rows.repartitionByRange("id", "text").sortWithinPartitions("id", "text")
-    shards = written(dealt.mapInArrow(run, "part int, seq int, file string, docs long, tokens long"), "shards")
-    order = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)
-    return written(shards.withColumn("base", F.coalesce(F.sum("tokens").over(order), F.lit(0).cast("long"))), "shards")
+    # ranges are cut by id and the beginning of the text, so that no whole
+    # text is sampled
+    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
+                     F.substring(text_col, 1, 200).alias("head"))
+    dealt = rows.repartitionByRange("id", "head").sortWithinPartitions("id", "text")
+    shards = written(dealt.select("id", "text").mapInArrow(run, "part int, seq int, file string, docs long, tokens long"), "shards")
+    # tokens before a shard: those of earlier tasks, then of its own task's
+    per_part = shards.groupBy("part").agg(F.sum("tokens").alias("t"))
+    before = per_part.select("part", F.coalesce(F.sum("t").over(
+        Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    own = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    return written(shards.join(before, "part").withColumn(
+        "base", F.col("before") + F.coalesce(F.sum("tokens").over(own), F.lit(0))).drop("before"), "shards")
 
 
 def read_shards(shards: DataFrame) -> DataFrame:
@@ -245,7 +267,10 @@ def read_shards(shards: DataFrame) -> DataFrame:
                      pa.array(lengths, pa.int64()), pa.array(crc, pa.int64())],
                     ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return shards.select("file", "base").repartition("file").mapInArrow(
+    # shards are of about one size: dealt in turn, a few to a task
+    spark = shards.sparkSession
+    files = max(1, min(shards.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    return shards.select("file", "base").repartition(files).mapInArrow(
         run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
