@@ -192,6 +192,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that are not contaminated."""
-    judged = contamination(docs, table(spark, sf_dir, "benchmark"), docs.columns)
-    return judged.where(~F.col("contaminated")).select(*docs.columns)
+    """Pipeline stage: documents that are not contaminated.  The columns are
+    numbered meanwhile, so none clashes with a name of the result."""
+    own = [f"c{k}" for k in range(len(docs.columns))]
+    judged = contamination(docs.toDF(*own), table(spark, sf_dir, "benchmark"), own, own[docs.columns.index("text")])
+    return judged.where(~F.col("contaminated")).select(*own).toDF(*docs.columns)

@@ -265,11 +265,19 @@ def pruned(cells: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return _dealt(cells.where("dense = 0")).mapInArrow(run, CELL).unionByName(cells.where("dense = 1"))
 
 
+#: Classes whose keys (24 bytes each) are sent to all tasks; more are joined by a shuffle.
+MAX_WANTED = 2_000_000
+
+
 def _sets_of(docs: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
     """key and shingle set of the wanted classes (key, id, h), from the texts
     of their representatives."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("h"),
                         F.col(text_col).alias("text"))
+    # a class is wanted if it may have a partner: its 64-bit keys are sent to
+    # the texts while they are few, else texts and keys meet by a shuffle
+    few = wanted.count() <= MAX_WANTED
+    wanted = F.broadcast(wanted) if few else wanted
     picked = texts.alias("d").join(wanted.alias("w"), (F.col("d.h") == F.col("w.h")) & F.col("d.id").eqNullSafe(
         F.col("w.id"))).select("w.key", "d.text")
 
@@ -422,16 +430,19 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the document of the least id of each group stays, one
     row if several share it; documents without a word all stay."""
     # a row id of its own, fixed by writing: ids may be null or repeated
-    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    found = join(rows, "__row", "text").where("group_key is not null").select("__row", "group_key")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "__row")
-    kept = (rows.select("doc_id", "__row").join(found, "__row").groupBy("group_key")
-            .agg(F.min(order).alias("first")).select(F.col("first.__row").alias("__row")))
-    wordless = join_free(rows)
-    return rows.join(kept.unionByName(wordless), "__row", "left_semi").select(*docs.columns)
-
-
-def join_free(rows: DataFrame) -> DataFrame:
+    row = "__row"
+    while row in docs.columns:
+        row += "_"
+    rows = written(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = join(rows, row, "text").where("group_key is not null").select(row, "group_key")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", row)
+    kept = (rows.select("doc_id", row).join(found, row).groupBy("group_key")
+            .agg(F.min(order).alias("first")).select(F.col(f"first.{row}").alias(row)))
+    wordless = join_free(rows, row)
+    return rows.join(kept.unionByName(wordless), row, "left_semi").select(*docs.columns)
+
+
+def join_free(rows: DataFrame, row: str = "__row") -> DataFrame:
     """Row ids of the documents without a word."""
     has_word = F.col("text").rlike("[0-9A-Za-z]|[^\\x00-\\x7F]")
-    return rows.where(~F.coalesce(has_word, F.lit(False))).select("__row")
+    return rows.where(~F.coalesce(has_word, F.lit(False))).select(row)

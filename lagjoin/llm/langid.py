@@ -198,7 +198,21 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents whose language set explains them, however
     many languages it has; texts without a letter go, and texts whose trigrams
-    any bucket at random explains as well as the learned languages do."""
-    model = train(docs.where(~held_out()))
-    judged = predict(docs, docs.columns, model)
-    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("fit") > CHANCE)).select(*docs.columns)
+    any bucket at random explains as well as the learned languages do.
+
+    Only the texts pass through Python, so columns of any name are kept as
+    they are."""
+    langs, log_p = train(docs.where(~held_out()))
+    ship(spark)
+    shared = spark.sparkContext.broadcast(log_p.astype(np.float32))
+
+    @F.arrow_udf("boolean")
+    def explained(column: pa.Array) -> pa.Array:
+        p, out = shared.value.astype(float), []
+        texts = texts_of(column).to_pylist()
+        for a, b in text_groups(texts, 500_000):
+            pi, fit = fitted(texts[a:b], p)
+            out.append((pi.max(1) > 0) & (fit > CHANCE) if len(langs) else np.zeros(b - a, bool))
+        return pa.array(np.concatenate(out) if out else np.empty(0, bool))
+
+    return docs.where(explained("text"))

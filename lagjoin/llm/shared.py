@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: Texts are worked on in chunks of about this many bytes or code points, so
 #: a task's numpy buffers stay bounded whatever the Arrow batch holds (one
 #: longer text makes a chunk of its own).
-CHUNK = 2_000_000
+CHUNK = 500_000
 
 _SHIPPED: set[str] = set()
 
