@@ -91,8 +91,3 @@ def range_stats(df: DataFrame, date_col: str, dataset: str) -> DataFrame:
 def row_count(df: DataFrame) -> DataFrame:
     """A5 as a frame: one row with the row count (lazy, composable)."""
     return df.agg(F.count(F.lit(1)).alias("row_count"))
-
-
-def is_empty(df: DataFrame) -> bool:
-    """A5: emptiness test (reads at most one row)."""
-    return df.isEmpty()

@@ -20,15 +20,10 @@ CASES = [
     ("J6_lag_long", {"spark.sql.autoBroadcastJoinThreshold": "-1",
                      "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"},
      "Long lag join with broadcasts disabled (the large-observation case): two sort-merge "
-     "joins; the observation shuffle is built once and reused (ReusedExchange)."),
+     "joins of un-exploded facts; the frame exchange is built once and reused."),
     ("J7_lag_wide", {"spark.sql.autoBroadcastJoinThreshold": "-1",
                      "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"},
-     "Wide lag join, aggregate strategy, shuffle joins: two lag joins on narrow keys, one "
-     "per-fact aggregate, the join back reuses the aggregate's partitioning."),
-    ("J7_lag_wide_obs_explode", {"spark.sql.autoBroadcastJoinThreshold": "-1",
-                                 "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"},
-     "Wide lag join exploding the observations instead of the facts: fact keys are shuffled "
-     "once per side, the exploded observations once (reused by the destination join)."),
+     "Wide lag join with broadcasts disabled: un-exploded facts, one frame exchange."),
     ("Q6_obs_table", {}, "Observation recipe after its two statistics passes: one projection "
                          "with literal means/modes, then the checked-broadcast station lookup."),
     ("S9_load_stats", {}, "Common date range + load statistics: 1-row aggregates with literal "
@@ -38,10 +33,10 @@ CASES = [
 
 def main() -> None:
     sf = os.environ.get("PLANS_SF_DIR", "/root/testdata/sf0.01")
-    from lagjoin.session import checkpoint_dir, get_spark
+    from lagjoin.session import get_spark
     from lagjoin.plans.catalog import queries
-    spark = get_spark("local[8]", app="lagjoin-plans", shuffle_partitions=8)
-    checkpoint_dir(spark, default=tempfile.mkdtemp(prefix="lagjoin-plans-", dir="/tmp"))
+    spark = get_spark("local[8]", app="lagjoin-plans", shuffle_partitions=8,
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="lagjoin-plans-", dir="/tmp")})
     qs = queries()
     out = ["# Final physical plans", "",
            f"Generated by `tools/show_plans.py` at `{os.path.basename(sf)}` on local[8]; each "
