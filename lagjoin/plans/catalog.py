@@ -1018,7 +1018,7 @@ def _q_m6_ruled(kinds: int):
     """Train on three quarters of the events; the rest is predicted as the rule says."""
     def q(spark, sf):
         raw_train, raw_test = D.train_test_split(_ruled(spark, sf, kinds), ["event_id"], 75)
-        train, test = (M.prepare_features(p, "label", "keep", max_categories=kinds + 4, fit_on=raw_train)
+        train, test = (M.prepare_features(p, "label", "keep", max_categories=kinds + 1, fit_on=raw_train)
                        for p in (raw_train, raw_test))
         _, pred, _ = M.train_random_forest(train, test, "label", ["kind", "value"], keep=["event_id"],
                                            feature_subset="all")
@@ -1027,8 +1027,8 @@ def _q_m6_ruled(kinds: int):
 
 
 def q_m10(spark, sf):
-    prepared = M.prepare_features(_ruled(spark, sf, 12), "label", "keep", max_categories=16)
-    out, _ = M.cross_validate(prepared, "label", ["kind", "value"], 3, ["event_id"], feature_subset="all", num_trees=5)
+    prepared = M.prepare_features(_ruled(spark, sf, 12), "label", "keep", max_categories=13)
+    out, _ = M.cross_validate(prepared, "label", ["kind", "value"], 3, ["event_id"], feature_subset="all", num_trees=10)
     return out.select("event_id", "label", "predicted", "fold")
 
 
