@@ -7,13 +7,17 @@ merges neighbouring ranges into one read each, and parses the records.
 
 Duplicates: of records with equal payloads of at least ``min_revisit`` bytes
 the smallest id is a response, all others revisit it.  Only ids and digests
-decide that; the left join on the digest is an ordinary one that Spark may
-split where a digest is hot.
+decide that.  The ``MAX_SENT`` most repeated digests are broadcast, so no
+payload of theirs is shuffled; if there are more repeated digests, a second
+join shuffles on the others, none of which is hot, and the revisits found
+before travel without their payload.
 
 Defined results: a null payload is empty; a null url has no target field; a
 null id never is a response's id but may revisit one; rows that repeat the
 smallest id are responses each; an empty table gives empty archives.  Columns
-other than the named ones are ignored.
+other than the named ones are ignored.  A task holds one payload while it
+writes, and while it reads one stretch of the file and about ``READ_BYTES`` of
+payloads (one longer payload is held alone), however well they compress.
 """
 
 from __future__ import annotations
@@ -35,6 +39,7 @@ MIN_REVISIT = 100
 FILE_BYTES = 256 << 20   # a task starts another archive beyond this
 READ_BYTES = 8 << 20     # one coalesced read is at most about this long
 GAP_BYTES = 64 << 10     # unwanted bytes read over to save a request
+MAX_SENT = 200_000       # repeated digests broadcast, about 100 bytes each
 
 INDEX = T.StructType([
     T.StructField("file", T.StringType()), T.StructField("offset", T.LongType()),
@@ -50,25 +55,38 @@ RECORD = T.StructType([
 
 def with_revisits(df: DataFrame, id_col: str, url_col: str, payload_col: str,
                   min_revisit: int = MIN_REVISIT) -> DataFrame:
-    """id, url, payload, digest, n_bytes and refers_to (null: a response)."""
+    """id, url, payload, digest, n_bytes and refers_to (null: a response).
+    The payload of a revisit may be null."""
     rows = df.select(
         F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"),
         F.encode(F.coalesce(F.col(payload_col), F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256)).withColumn("n_bytes", F.octet_length("payload"))
-    firsts = (rows.where(F.col("n_bytes") >= min_revisit).groupBy("digest")
-              .agg(F.min("id").alias("first_id"), F.count("*").alias("copies"))
-              .where("copies > 1 and first_id is not null").drop("copies"))
-    return (rows.join(firsts, "digest", "left")
-            .withColumn("refers_to", F.when(~F.col("id").eqNullSafe(F.col("first_id")), F.col("first_id")))
-            .drop("first_id"))
-
-
-def record_bytes(rid: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None) -> bytes:
+    firsts = written(rows.where(F.col("n_bytes") >= min_revisit).groupBy("digest")
+                     .agg(F.min("id").alias("first_id"), F.count("*").alias("copies"))
+                     .where("copies > 1 and first_id is not null"), "warc-firsts")
+    sent, rest = firsts, None
+    if firsts.count() > MAX_SENT:
+        sent = written(firsts.orderBy(F.desc("copies"), "digest").limit(MAX_SENT), "warc-firsts")
+        rest = firsts.join(F.broadcast(sent.select("digest")), "digest", "left_anti")
+    rows = rows.join(F.broadcast(sent.drop("copies")), "digest", "left")
+    revisit = F.col("first_id").isNotNull() & ~F.col("id").eqNullSafe(F.col("first_id"))
+    rows = rows.withColumn("payload", F.when(~revisit, F.col("payload")))
+    if rest is not None:
+        # Rows decided already meet nobody; their own key spreads them.
+        rows = (rows.withColumn("key", F.when(F.col("first_id").isNull(), F.col("digest"))
+                                .otherwise(F.concat(F.lit("-"), F.xxhash64("id", "url").cast("string"))))
+                .join(rest.select(F.col("digest").alias("key"), F.col("first_id").alias("rest_id")), "key", "left")
+                .withColumn("first_id", F.coalesce("first_id", "rest_id")).drop("key", "rest_id"))
+    return rows.withColumn("refers_to", F.when(revisit, F.col("first_id"))).drop("first_id")
+
+
+def record_bytes(rid: int | None, url: str | None, payload: bytes | None, n_bytes: int, digest: str,
+                 refers_to: int | None) -> bytes:
     """One gzip member: a response, or a revisit with an empty block."""
     body = payload if refers_to is None else b""
     kind = "response" if refers_to is None else "revisit"
     head = ["WARC/1.1", f"WARC-Type: {kind}", "WARC-Date: 1970-01-01T00:00:00Z",
-            f"WARC-Payload-Digest: sha256:{digest}", f"X-Payload-Length: {len(payload)}",
+            f"WARC-Payload-Digest: sha256:{digest}", f"X-Payload-Length: {n_bytes}",
             f"Content-Length: {len(body)}"]
     if rid is not None:
         head.append(f"WARC-Record-ID: <urn:page:{rid}>")
@@ -114,28 +132,27 @@ def write_archives(rows: DataFrame, folder: str | None = None, file_bytes: int =
         out, uri, at = None, None, 0
         try:
             for batch in batches:
-                for lo in range(0, batch.num_rows, 256):
-                    index = []
-                    for r in batch.slice(lo, 256).to_pylist():
-                        if out is None or at >= file_bytes:
-                            if out is not None:
-                                out.close()
-                            uri, at = own_name(folder, ".warc.gz"), 0
-                            system, path = filesystem(uri)
-                            system.create_dir(path.rpartition("/")[0], recursive=True)
-                            out = system.open_output_stream(path, compression=None)
-                        data = record_bytes(r["id"], r["url"], r["payload"], r["digest"], r["refers_to"])
-                        out.write(data)
-                        index.append({"file": uri, "offset": at, "length": len(data), "id": r["id"], "url": r["url"],
-                                      "digest": r["digest"],
-                                      "record_type": "response" if r["refers_to"] is None else "revisit"})
-                        at += len(data)
-                    yield pa.RecordBatch.from_pylist(index, _arrow(INDEX))
+                index = []
+                for k in range(batch.num_rows):
+                    rid, url, payload, n_bytes, digest, refers_to = (c[k].as_py() for c in batch.columns)
+                    if out is None or at >= file_bytes:
+                        if out is not None:
+                            out.close()
+                        uri, at = own_name(folder, ".warc.gz"), 0
+                        system, path = filesystem(uri)
+                        system.create_dir(path.rpartition("/")[0], recursive=True)
+                        out = system.open_output_stream(path, compression=None)
+                    data = record_bytes(rid, url, payload, n_bytes, digest, refers_to)
+                    out.write(data)
+                    index.append({"file": uri, "offset": at, "length": len(data), "id": rid, "url": url,
+                                  "digest": digest, "record_type": "response" if refers_to is None else "revisit"})
+                    at += len(data)
+                yield pa.RecordBatch.from_pylist(index, _arrow(INDEX))
         finally:
             if out is not None:
                 out.close()
 
-    return written(rows.select("id", "url", "payload", "digest", "refers_to").mapInArrow(run, INDEX), "warc-index")
+    return written(rows.select("id", "url", "payload", "n_bytes", "digest", "refers_to").mapInArrow(run, INDEX), "warc-index")
 
 
 def _arrow(schema: T.StructType) -> pa.Schema:
@@ -162,23 +179,31 @@ def read_records(index: DataFrame, payloads: bool = True, read_bytes: int = READ
             first = group[0][0]
             f.seek(first)
             data = f.read(max(o + n for o, n in group) - first)
-            found = [parse_record(data[o - first:o - first + n]) for o, n in group]
-            if not payloads:
-                for r in found:
-                    del r["payload"]
-            return pa.RecordBatch.from_pylist(found, arrow)
+            found, held = [], 0
+            for o, n in group:
+                record = parse_record(data[o - first:o - first + n])
+                if payloads:
+                    held += len(record["payload"])
+                else:
+                    del record["payload"]
+                found.append(record)
+                if held >= read_bytes:
+                    yield pa.RecordBatch.from_pylist(found, arrow)
+                    found, held = [], 0
+            if found:
+                yield pa.RecordBatch.from_pylist(found, arrow)
 
         file, group = None, []
         for batch in batches:
             for name, offset, length in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 if group and (name != file or offset > sum(group[-1]) + gap_bytes
                               or offset + length - group[0][0] > read_bytes):
-                    yield records(file, group)
+                    yield from records(file, group)
                     group = []
                 file = name
                 group.append((offset, length))
         if group:
-            yield records(file, group)
+            yield from records(file, group)
 
     picked = (index.select("file", "offset", "length").repartition("file", stretch)
               .sortWithinPartitions("file", "offset"))
