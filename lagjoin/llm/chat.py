@@ -13,9 +13,15 @@ line feed becomes ``\\n``; this is reversible, and no control string can come
 from a text.  The loss mask is a list of [start, end) code point spans of the
 formatted text, one per assistant text.
 
-Defined results: a null role or text is empty; rows that repeat a turn are
-turns of their own, ordered by role, then text; a null tree id is a tree of
-its own; an empty table gives no rows.
+Defined results: a null role or text is empty, a null score 0; a null tree id
+is a tree of its own; a null node id is an id like any other, but nobody's
+parent; of rows that repeat a node the smallest by (parent, role, text, score)
+counts; a parent that does not exist is none, so its child is a root; a cycle
+of parents is cut above its smallest node, which becomes a root; an empty
+table gives no rows.  Trees read only their six columns, whatever others
+there are.  In conversations (rows by turn) rows that repeat a turn are turns
+of their own, ordered by role, then text.  A conversation is one row whole,
+however long its texts.
 """
 
 from __future__ import annotations
@@ -24,7 +30,7 @@ import hashlib
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lagjoin.llm.shared import ship, table, written
@@ -60,27 +66,62 @@ def parse_turns(formatted: str) -> list[tuple[str, str]]:
     return [(unescaped(a), unescaped(b)) for a, b in re.findall(pattern, formatted, re.S)]
 
 
-def leaf_paths(nodes: DataFrame) -> DataFrame:
-    """(tree, leaf, node, distance) for every leaf and each of its
-    ancestors, itself included.  ``nodes`` has tree, node, parent."""
-    edges = nodes.select("tree", "node", "parent")
-    parents = edges.where("parent is not null").select("tree", F.col("parent").alias("node")).distinct()
-    same = lambda a, b: a["tree"].eqNullSafe(b["tree"]) & (a["node"] == b["node"])
-    e, p = edges.alias("e"), parents.alias("p")
-    leaves = e.join(p, F.col("e.tree").eqNullSafe(F.col("p.tree")) & (F.col("e.node") == F.col("p.node")), "left_anti")
-    paths = written(leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).alias("distance")), "paths")
-    jumps = written(edges.where("parent is not null").select("tree", "node", F.col("parent").alias("up")), "jumps")
-    reach = 1
+def once(nodes: DataFrame) -> DataFrame:
+    """tree, node, parent, role, text, score: one row per node."""
+    rows = nodes.select(
+        F.col("tree").cast("long").alias("tree"), F.col("node").cast("long").alias("node"),
+        F.struct(F.col("parent").cast("long").alias("parent"), F.coalesce(F.col("role"), F.lit("")).alias("role"),
+                 F.coalesce(F.col("text"), F.lit("")).alias("text"),
+                 F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score")).alias("said"))
+    return rows.groupBy("tree", "node").agg(F.min("said").alias("said")).select("tree", "node", "said.*")
+
+
+def _same(a: str, b: str) -> Column:
+    """Rows of two aliases, each alias.column, that agree in the tree and in these columns."""
+    return F.col(f"{a.split('.')[0]}.tree").eqNullSafe(F.col(f"{b.split('.')[0]}.tree")) & (F.col(a) == F.col(b))
+
+
+def _jumps(edges: DataFrame, size: int) -> list[DataFrame]:
+    """For k = 0, 1, ... a table (tree, node, up, low): the ancestor 2**k
+    steps up and the smallest node met before it.  Ends where none is left,
+    or where 2**k reaches ``size``: then every walk left runs in a cycle."""
+    rounds, reach = [], 1
+    jumps = written(edges.select("tree", "node", F.col("parent").alias("up"), F.col("node").alias("low")), "jumps")
     while not jumps.isEmpty():
-        a, b = paths.alias("a"), jumps.alias("b")
-        further = a.join(b, F.col("a.tree").eqNullSafe(F.col("b.tree")) & (F.col("a.node") == F.col("b.node"))).select(
-            "a.tree", "a.leaf", F.col("b.up").alias("node"), (F.col("a.distance") + reach).alias("distance"))
-        paths = written(paths.unionByName(further), "paths")
-        a, b = jumps.alias("a"), jumps.alias("b")
-        jumps = written(a.join(b, F.col("a.tree").eqNullSafe(F.col("b.tree")) & (F.col("a.up") == F.col("b.node")))
-                        .select("a.tree", "a.node", "b.up"), "jumps")
+        rounds.append(jumps)
+        if reach >= size:
+            break
+        jumps = written(jumps.alias("a").join(jumps.alias("b"), _same("a.up", "b.node")).select(
+            "a.tree", "a.node", "b.up", F.least("a.low", "b.low").alias("low")), "jumps")
         reach *= 2
-    return paths
+    return rounds
+
+
+def leaf_paths(nodes: DataFrame) -> DataFrame:
+    """(tree, leaf, node, distance) for every leaf and each of its
+    ancestors, itself included.  ``nodes`` has tree, node, parent, one row
+    per node."""
+    known = nodes.select("tree", "node")
+    edges = written(nodes.alias("e").join(known.alias("k"), _same("e.parent", "k.node"), "left_semi")
+                    .select("tree", "node", "parent"), "edges")
+    size = nodes.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
+    rounds = _jumps(edges, size)
+    if rounds and 2 ** (len(rounds) - 1) >= size:
+        # After as many steps as a tree has nodes a walk is on its cycle, and has met all of it.
+        walks = rounds[-1]
+        cuts = (walks.alias("a").join(walks.select("tree", "up").distinct().alias("b"), _same("a.node", "b.up"),
+                                      "left_semi").where("node = low").select("tree", "node"))
+        edges = written(edges.alias("e").join(cuts.alias("c"), _same("e.node", "c.node"), "left_anti"), "edges")
+        rounds = _jumps(edges, size)
+    leaves = known.alias("e").join(edges.select("tree", "parent").distinct().alias("p"),
+                                   _same("e.node", "p.parent"), "left_anti")
+    paths = leaves.select("tree", F.col("node").alias("leaf"), "node", F.lit(0).alias("distance"))
+    for k, jumps in enumerate(rounds):
+        paths = written(paths, "paths")
+        here = F.col("a.tree").eqNullSafe(F.col("b.tree")) & F.col("a.node").eqNullSafe(F.col("b.node"))
+        paths = paths.unionByName(paths.alias("a").join(jumps.alias("b"), here).select(
+            "a.tree", "a.leaf", F.col("b.up").alias("node"), (F.col("a.distance") + 2 ** k).alias("distance")))
+    return written(paths, "paths")
 
 
 def format_trees(nodes: DataFrame, per_tree: int | None = 1) -> DataFrame:
@@ -88,22 +129,19 @@ def format_trees(nodes: DataFrame, per_tree: int | None = 1) -> DataFrame:
     paths of each tree (None: all).  ``nodes``: tree, node, parent, role,
     text, score."""
     ship(nodes.sparkSession)
-    paths = leaf_paths(nodes)
-    p, n = paths.alias("p"), nodes.alias("n")
-    on = F.col("p.tree").eqNullSafe(F.col("n.tree")) & (F.col("p.node") == F.col("n.node"))
+    nodes = written(once(nodes), "nodes")
+    p, n = leaf_paths(nodes).alias("p"), nodes.alias("n")
+    on = F.col("p.tree").eqNullSafe(F.col("n.tree")) & F.col("p.node").eqNullSafe(F.col("n.node"))
     if per_tree is not None:
-        scored = (p.join(n.select("tree", "node", "score").alias("n"), on)
-                  .groupBy("p.tree", "p.leaf").agg(F.sum(F.coalesce("n.score", F.lit(0.0))).alias("path_score")))
+        scored = (p.join(nodes.select("tree", "node", "score").alias("n"), on)
+                  .groupBy("p.tree", "p.leaf").agg(F.sum("n.score").alias("path_score")))
         best = (scored.withColumn("__r", F.row_number().over(
             Window.partitionBy("tree").orderBy(F.desc("path_score"), "leaf"))).where(F.col("__r") <= per_tree))
-        b = best.alias("b")
-        p = (p.join(b, F.col("p.tree").eqNullSafe(F.col("b.tree")) & (F.col("p.leaf") == F.col("b.leaf")))
-             .select("p.tree", "p.leaf", "p.node", "p.distance").alias("p"))
+        p = p.join(best.alias("b"), F.col("p.tree").eqNullSafe(F.col("b.tree"))
+                   & F.col("p.leaf").eqNullSafe(F.col("b.leaf")), "left_semi").alias("p")
     turns = p.join(n, on).groupBy("p.tree", "p.leaf").agg(
-        F.sum(F.coalesce("n.score", F.lit(0.0))).alias("score"),
-        F.sort_array(F.collect_list(F.struct(
-            (-F.col("p.distance")).alias("at"), F.coalesce("n.role", F.lit("")).alias("role"),
-            F.coalesce("n.text", F.lit("")).alias("text")))).alias("turns"))
+        F.sum("n.score").alias("score"),
+        F.sort_array(F.collect_list(F.struct((-F.col("p.distance")).alias("at"), "n.role", "n.text"))).alias("turns"))
 
     def run(batches):
         for batch in batches:
@@ -158,8 +196,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PROBE).alias("text"))
-    nodes = written(chains(rows.unionByName(probe)), "turns")
-    return digests(written(format_trees(nodes), "chat"))
+    return digests(written(format_trees(chains(rows.unionByName(probe))), "chat"))
 
 
 ORACLE = r"""
