@@ -2,12 +2,14 @@
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
+import regex
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
-from lagjoin.llm import bpe, chat, langid, toxicity, warc
+from lagjoin.llm import bpe, chat, langid, quality, toxicity, warc
 
 TREE = "tree long, node long, parent long, role string, text string, score double"
 
@@ -102,3 +104,46 @@ def test_empty_tables(spark):
     model = langid.train(none)
     assert langid.predict(none, ["doc_id"], model).count() == 0
     assert {r["lang_pred"] for r in langid.predict(docs, ["doc_id"], model).collect()} == {langid.UNKNOWN}
+
+
+def plain_kept(text):
+    """The base rule and the six production rules, one after another."""
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    n, lines = len(words), text.split("\n")
+    full = [x for x in lines if re.search(r"[^\x20\x09-\x0D]", x)]
+    grams = Counter(zip(words, words[1:], words[2:]))
+    again = {p + d for p in range(n - 2) if grams[tuple(words[p:p + 3])] > 1 for d in range(3)}
+    chars = sum(map(len, words))
+    bullets = sum(x.lstrip(" ")[:1] in ("-", "*", "•") and x.lstrip(" ") != "" for x in lines)
+    dots = sum(x.rstrip(" ").rstrip("\r").endswith(("…", "...")) for x in lines)
+    return not (n < 50 or 100 * len(again) > 50 * n or 10 * len(re.findall(r"[#*$%&|<>]", text)) > 3 * n
+                or chars < 2 * n or chars > 15 * n or 10 * (len(full) - len(set(full))) > 3 * len(full)
+                or 2 * sum(bool(regex.search(r"\p{L}", w)) for w in words) < n
+                or 10 * bullets > 9 * len(lines) or 10 * dots > 3 * len(lines))
+
+
+def test_quality_verdict_is_brute_force(spark):
+    rng = random.Random(3)
+    words = lambda k, f=lambda i: f"w{i}x{rng.randrange(9999)}": " ".join(f(i) for i in range(k))
+    odd = [words(60), words(49), words(60) + " #" * 30, "\n".join(["a b c d e f g h"] * 3 + [words(8) for _ in range(9)]),
+           words(60, lambda i: str(rng.randrange(10 ** 6))), words(60, lambda i: "x" * 20 + str(i)), words(60, lambda i: chr(97 + i % 26)),
+           "\n".join("- " + words(9) for _ in range(9)), "\n".join("  • " + words(9) for _ in range(9)),
+           "\n".join(words(9) + "... " for _ in range(9)), "\n".join(words(9) + "…" for _ in range(9)),
+           "\n".join(["..."] * 3 + [words(9) for _ in range(9)]), words(2_000), "", None]
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(spark.createDataFrame([(-k - 1, t) for k, t in enumerate(odd)], "doc_id long, text string"))
+    docs = docs.withColumn("kept", F.lit("clash")).withColumn("n_words", F.lit(None))
+    want = {r["doc_id"]: plain_kept(r["text"]) for r in docs.collect()}
+    got = {r["doc_id"]: r["kept"] for r in quality.judge(docs, ["doc_id"]).collect()}
+    assert got == want and len({want[-k - 1] for k in range(len(odd))}) == 2
+    few = {r["doc_id"]: r["kept"] for r in quality.judge(docs, ["doc_id"], sample_rows=5).collect()}
+    assert few == want
+
+
+def test_quality_cascade_counts_what_is_left():
+    # rule 1 fails only rows that rule 0 fails as well; rule 2 fails others
+    failed = [((True, True, False), 50), ((True, False, False), 10), ((False, False, True), 20), ((False,) * 3, 20)]
+    assert quality.cascade(failed, [1.0, 1.0, 1.0]) == [0, 2, 1]
+    assert quality.cascade(failed, [9.0, 1.0, 1.0]) == [1, 2, 0]
+    assert quality.cascade([((False, False), 5)], [2.0, 1.0]) == [1, 0]
