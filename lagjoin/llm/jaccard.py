@@ -420,10 +420,15 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op2: class, links and group of every document."""
     found = written(join(table(spark, sf_dir, "documents")), "joined")
-    least = found.where("group_key is not null").groupBy("group_key").agg(F.min("doc_id").alias("group_id"))
-    return found.join(least, "group_key", "left").select(
-        "doc_id", "class_id", "n_copies", "n_links",
-        F.when(F.col("group_key").isNull(), F.col("doc_id")).otherwise(F.col("group_id")).alias("group_id"))
+    # a class without others is its own group, so only groups of several
+    # classes are looked up: sent to all tasks while they are few, as one
+    # group may hold a large part of the rows
+    groups = written(found.where("key is not null").groupBy("group_key").agg(
+        F.min("doc_id").alias("group_id"), F.min("key").alias("least"), F.max("key").alias("most"))
+        .where("least < most").select("group_key", "group_id"), "groups")
+    groups = F.broadcast(groups) if groups.count() <= MAX_WANTED else groups
+    return found.join(groups, "group_key", "left").select(
+        "doc_id", "class_id", "n_copies", "n_links", F.coalesce("group_id", "class_id").alias("group_id"))
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
