@@ -1,24 +1,33 @@
 """Token-id output as wavelet matrices.
 
 Documents are dealt by ranges of id and the beginning of the text, so rows of
-one id may span tasks; each task encodes its documents and writes shard files.  A shard
-holds its documents' ids, offsets and a wavelet matrix of all token ids: one bit-plane per bit, highest first, each
-stably partitioned by the planes before, with running counts per 512 bits for
-rank and select.  Access, counting and occurrence lookup work on the planes
-of one file, without the tokens.
-
-File: magic ``WVM1``, a little-endian uint32 header length, a JSON header,
-then zlib-compressed sections in the header's order (their lengths are in it).
+one id may span tasks; each task encodes its documents and writes shard files.
+A shard holds its documents' ids, offsets and a wavelet matrix of all token
+ids: one bit-plane per bit, highest first, each stably partitioned by the
+planes before.  Planes are stored in blocks of ``STORED_BITS`` bits with a
+directory of their places and of the ones before each, so access, counting
+and occurrence lookup (:class:`ShardFile`) read and inflate one or two blocks
+a plane, never the whole shard.
+
+File: magic ``WVM2``, a little-endian uint32 header length, a JSON header
+(numbers of documents, tokens and bits, zeros of each plane, section lengths),
+then the sections: the directory (uint32 lengths, then uint64 ones before, of
+all blocks, plane by plane), ids, known ids, token counts, and the blocks.
+All sections and blocks are compressed by zlib, each alone.
 
 Defined results: a null text is empty and has only its end id; null ids come
-first; rows of one id are ordered by text; a table without rows has no shard.
+first; rows of one id are ordered by text, repeated rows are written each; a
+table without rows has no shard; a very long text makes a shard of its own;
+columns other than the two named are not looked at, whatever their names.
 """
 
 from __future__ import annotations
 
+import io
 import json
 import struct
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +39,15 @@ from pyspark.sql import functions as F
 from lagjoin.llm.bpe import byte_symbols, tokenizer_path
 from lagjoin.llm.pretok import code_points, split_keeping_space
 from lagjoin.llm.shared import new_path, ship, table, text_groups, texts_of, written
-from lagjoin.llm.store import own_name, read_bytes, write_bytes
+from lagjoin.llm.store import filesystem, own_name, read_bytes, write_bytes
 from lagjoin.llm.words import LONG_WORD, HashedWords, piece_encoder
 
 END_ID = 2
 SHARD_TOKENS = 4_000_000
-MAGIC = b"WVM1"
+MAGIC = b"WVM2"
 BLOCK = 512
+#: Bits of a plane that are stored, and inflated, together.
+STORED_BITS = 1 << 17
 #: Code points encoded at once.
 CHUNK = 500_000
 
@@ -72,21 +83,26 @@ class WaveletMatrix:
         part = np.unpackbits(self.planes[level][lo:lo + (rest + 7) // 8])[:rest]
         return int(self.ranks[level][block] + part.sum())
 
+    def _bit(self, level: int, at: int) -> int:
+        return int(self.planes[level][at >> 3] >> (7 - (at & 7)) & 1)
+
     def access(self, at: int) -> int:
         value = 0
-        for level, plane in enumerate(self.planes):
-            bit = int(plane[at >> 3] >> (7 - (at & 7)) & 1)
+        if not 0 <= at < self.n:
+            raise IndexError(f"position {at} of {self.n} tokens")
+        for level in range(len(self.zeros)):
+            bit = self._bit(level, at)
             ones = self._rank1(level, at)
             at = self.zeros[level] + ones if bit else at - ones
             value = value << 1 | bit
         return value
 
     def _narrow(self, token: int, lo: int, hi: int) -> tuple[int, int]:
-        if token >> len(self.planes):
+        if token >> len(self.zeros):
             return 0, 0
-        for level in range(len(self.planes)):
+        for level in range(len(self.zeros)):
             a, b = self._rank1(level, lo), self._rank1(level, hi)
-            if token >> (len(self.planes) - 1 - level) & 1:
+            if token >> (len(self.zeros) - 1 - level) & 1:
                 lo, hi = self.zeros[level] + a, self.zeros[level] + b
             else:
                 lo, hi = lo - a, hi - b
@@ -112,8 +128,8 @@ class WaveletMatrix:
         if not 0 <= k < hi - lo:
             raise IndexError(f"token {token} occurs {hi - lo} times")
         at = lo + k
-        for level in range(len(self.planes) - 1, -1, -1):
-            bit = token >> (len(self.planes) - 1 - level) & 1
+        for level in range(len(self.zeros) - 1, -1, -1):
+            bit = token >> (len(self.zeros) - 1 - level) & 1
             at = self._select(level, bit, at - self.zeros[level] if bit else at)
         return at
 
@@ -130,29 +146,96 @@ class WaveletMatrix:
         return out.astype(np.uint32)
 
 
-def shard_bytes(doc_ids: list[int | None], lengths: np.ndarray, tokens: np.ndarray) -> bytes:
+def shard_bytes(doc_ids: list[int | None], lengths: np.ndarray, tokens: np.ndarray,
+                stored_bits: int = STORED_BITS) -> bytes:
+    """The file of a shard; ``stored_bits`` is a multiple of 8."""
     wm = WaveletMatrix.build(tokens)
     ids = np.array([i or 0 for i in doc_ids], "<i8")
     known = np.packbits(np.array([i is not None for i in doc_ids], np.uint8))
-    sections = [zlib.compress(s.tobytes(), 1) for s in (ids, known, lengths.astype("<i8"), *wm.planes)]
-    head = json.dumps({"docs": len(doc_ids), "tokens": wm.n, "zeros": wm.zeros,
+    step = stored_bits // 8
+    blocks, ones = [], []
+    for plane in wm.planes:
+        parts = [plane[k:k + step] for k in range(0, len(plane), step)]
+        blocks += [zlib.compress(part.tobytes(), 1) for part in parts]
+        ones += [0, *np.cumsum([int(np.bitwise_count(part).sum()) for part in parts])[:-1].tolist()] if parts else []
+    directory = np.array([len(b) for b in blocks], "<u4").tobytes() + np.array(ones, "<u8").tobytes()
+    sections = [zlib.compress(s, 1) for s in (directory, ids.tobytes(), known.tobytes(), lengths.astype("<i8").tobytes())]
+    head = json.dumps({"docs": len(doc_ids), "tokens": wm.n, "zeros": wm.zeros, "stored_bits": stored_bits,
                        "sections": [len(s) for s in sections]}).encode()
-    return MAGIC + struct.pack("<I", len(head)) + head + b"".join(sections)
+    return MAGIC + struct.pack("<I", len(head)) + head + b"".join(sections) + b"".join(blocks)
+
+
+class ShardFile(WaveletMatrix):
+    """Rank, select, access, count and locate on a shard file, by reads of
+    the header, the directory and the blocks that a call touches."""
+
+    def __init__(self, file, cached_blocks: int = 64):
+        self.file = file
+        if file.read(4) != MAGIC:
+            raise ValueError("not a wavelet shard")
+        size = struct.unpack("<I", file.read(4))[0]
+        self.head = json.loads(file.read(size))
+        self.n, self.zeros, self.stored = self.head["tokens"], self.head["zeros"], self.head["stored_bits"]
+        self.at = np.cumsum([8 + size, *self.head["sections"]]).tolist()
+        directory = self._section(0)
+        count = len(directory) // 12
+        self.per_plane = count // len(self.zeros)
+        lengths = np.frombuffer(directory, "<u4", count).astype(np.int64)
+        self.places = np.concatenate(([0], np.cumsum(lengths))) + self.at[-1]
+        self.before = np.frombuffer(directory, "<u8", offset=4 * count).astype(np.int64).reshape(len(self.zeros), -1)
+        self.block = lru_cache(cached_blocks)(self._block)
+        self.read_blocks = 0
+
+    def _section(self, k: int) -> bytes:
+        self.file.seek(self.at[k])
+        return zlib.decompress(self.file.read(self.at[k + 1] - self.at[k]))
+
+    def _block(self, level: int, k: int) -> np.ndarray:
+        self.read_blocks += 1
+        lo, hi = self.places[level * self.per_plane + k:][:2].tolist()
+        self.file.seek(lo)
+        return np.frombuffer(zlib.decompress(self.file.read(hi - lo)), np.uint8)
+
+    def documents(self) -> tuple[list[int | None], np.ndarray]:
+        """Ids of the documents and their token counts."""
+        known = np.unpackbits(np.frombuffer(self._section(2), np.uint8))[:self.head["docs"]]
+        ids = [i if k else None for i, k in zip(np.frombuffer(self._section(1), "<i8").tolist(), known)]
+        return ids, np.frombuffer(self._section(3), "<i8")
+
+    @property
+    def planes(self) -> list[np.ndarray]:
+        """All planes whole, each inflated when it is asked for."""
+        return [np.concatenate([self._block(level, k) for k in range(self.per_plane)] or [np.empty(0, np.uint8)])
+                for level in range(len(self.zeros))]
+
+    def _bit(self, level: int, at: int) -> int:
+        k, rest = divmod(at, self.stored)
+        return int(self.block(level, k)[rest >> 3] >> (7 - (rest & 7)) & 1)
+
+    def _rank1(self, level: int, at: int) -> int:
+        k, rest = divmod(at, self.stored)
+        if k >= self.per_plane:
+            return self.n - self.zeros[level]
+        if not rest:
+            return int(self.before[level, k])
+        part = self.block(level, k)
+        whole = int(np.bitwise_count(part[:rest >> 3]).sum())
+        last = int(part[rest >> 3]) >> (8 - (rest & 7)) if rest & 7 else 0
+        return int(self.before[level, k]) + whole + last.bit_count()
+
+    def _select(self, level: int, bit: int, k: int) -> int:
+        ones = self.before[level]
+        before = ones if bit else np.arange(self.per_plane) * self.stored - ones
+        block = int(np.searchsorted(before, k, "right")) - 1
+        part = np.unpackbits(self.block(level, block))
+        return block * self.stored + int(np.flatnonzero(part == bit)[k - before[block]])
 
 
 def open_shard(data: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix]:
-    """Document ids, their token counts and the matrix of a shard file."""
-    if data[:4] != MAGIC:
-        raise ValueError("not a wavelet shard")
-    n = struct.unpack("<I", data[4:8])[0]
-    head, at, parts = json.loads(data[8:8 + n]), 8 + n, []
-    for size in head["sections"]:
-        parts.append(zlib.decompress(data[at:at + size]))
-        at += size
-    known = np.unpackbits(np.frombuffer(parts[1], np.uint8))[:head["docs"]]
-    ids = [i if k else None for i, k in zip(np.frombuffer(parts[0], "<i8").tolist(), known)]
-    planes = [np.frombuffer(p, np.uint8) for p in parts[3:]]
-    return ids, np.frombuffer(parts[2], "<i8"), WaveletMatrix(head["tokens"], planes, head["zeros"])
+    """Document ids, their token counts and the matrix of a shard file that
+    is in memory."""
+    shard = ShardFile(io.BytesIO(data))
+    return *shard.documents(), WaveletMatrix(shard.n, shard.planes, shard.zeros)
 
 
 class ByteEncoder:
@@ -274,6 +357,45 @@ def read_shards(shards: DataFrame) -> DataFrame:
         run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
+def count_tokens(shards: DataFrame, tokens: list[int]) -> DataFrame:
+    """token and n, how often it occurs in the whole corpus, from the blocks
+    of the shards that counting touches."""
+    ship(shards.sparkSession)
+    wanted = sorted(set(tokens))
+
+    def run(batches):
+        for batch in batches:
+            for file in batch.column(0).to_pylist():
+                system, path = filesystem(file)
+                with system.open_input_file(path) as f:
+                    shard = ShardFile(f)
+                    n = [shard.count(t) for t in wanted]
+                yield pa.RecordBatch.from_arrays([pa.array(wanted, pa.int64()), pa.array(n, pa.int64())], ["token", "n"])
+
+    return (shards.select("file").mapInArrow(run, "token long, n long")
+            .groupBy("token").agg(F.sum("n").alias("n")))
+
+
+def find_token(shards: DataFrame, token: int) -> DataFrame:
+    """file and position (in the whole corpus) of every occurrence of
+    ``token``, by select in the shards."""
+    ship(shards.sparkSession)
+
+    def run(batches):
+        for batch in batches:
+            for file, base in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                system, path = filesystem(file)
+                with system.open_input_file(path) as f:
+                    shard = ShardFile(f, 2048)
+                    total = shard.count(token)
+                    for lo in range(0, total, 10_000):
+                        at = [base + shard.locate(token, k) for k in range(lo, min(lo + 10_000, total))]
+                        yield pa.RecordBatch.from_arrays([pa.array([file] * len(at), pa.string()),
+                                                          pa.array(at, pa.int64())], ["file", "position"])
+
+    return shards.select("file", "base").mapInArrow(run, "file string, position long")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op7: every document written to shards and read back."""
     return read_shards(write_shards(table(spark, sf_dir, "documents"), "doc_id", "text"))
