@@ -13,7 +13,10 @@ every set.  The choice depends on the document alone, not on its neighbours.
 
 Defined results: ``und`` with score 0 where the text is null or has no
 letter, or nothing was learned; ties go to the language first in order; rows
-without a language teach nothing; repeated rows count each.
+without a language teach nothing; repeated rows count each; an empty table
+teaches nothing and has no rows of its own.  A very long text is fitted whole,
+in a chunk of its own.  ``predict`` carries the columns asked for, which must
+not be named like its results; the stage keeps all, whatever their names.
 """
 
 from __future__ import annotations

@@ -9,7 +9,9 @@ severity, the sum of P(grade > k).
 
 Defined results: a null or empty text has the severity of no words; labels
 with a null grade or id teach nothing; repeated documents teach once; with
-no labels or a single grade the severity is that grade (0 if none).
+no labels or a single grade the severity is that grade (0 if none); an empty
+table has no rows.  A very long text counts whole.  Columns that are not asked
+for are not looked at; those asked for must not be named like the results.
 """
 
 from __future__ import annotations
