@@ -77,18 +77,19 @@ def with_row_id(df: DataFrame, col: str = FACT_KEY) -> DataFrame:
 
 def join(ft: DataFrame, ot: DataFrame, mode: str = "lines", obs_cols: Sequence[str] | None = None,
          lags: int = L.DEFAULT_LAGS, match_station: bool = True,
-         dedupe: str | None = None, nested: bool = False) -> tuple[DataFrame | None, DataFrame | None]:
+         dedupe: str | None = None, nested: bool = False, digits: int | None = None) -> tuple[DataFrame | None, DataFrame | None]:
     """Stage B: (cols, lines).  ``ft`` must carry a unique ``FT_ROW_ID`` for
     the wide form (see :func:`with_row_id`); ``obs_cols`` limits the carried
     observation columns; ``dedupe`` ('mean' or 'min') first makes the
-    observations unique per (station, time).  ``nested``: the wide form as
+    observations unique per (station, time), ``digits`` rounds their means
+    there, once a reading instead of in every joined row.  ``nested``: the wide form as
     arrays by lag, for :func:`lagjoin.operators.lagged.flatten_wide`."""
     if mode not in MODES:
         raise ValueError(f"mode {mode!r} not in {MODES}")
     if dedupe is not None:
         extra = [OT_DATE] if OT_DATE in ot.columns else []   # needed by the key mapping
         keep = list(dict.fromkeys([OT_STATION, OT_TS, *extra, *(obs_cols or ot.columns)]))
-        ot = L.dedupe_observations(ot.select(*keep), OT_STATION, OT_TS, how=dedupe)
+        ot = L.dedupe_observations(ot.select(*keep), OT_STATION, OT_TS, how=dedupe, digits=digits)
     ftm, otm = L.map_facts(ft), L.map_observations(ot)
     kw = dict(origin_col=FT_ORIGIN, origin_ts_col=FT_TS, station_col=OT_STATION,
               obs_ts_col=OT_TS, dest_col=FT_DEST, dest_ts_col=FT_ARRIVAL, obs_cols=obs_cols,
