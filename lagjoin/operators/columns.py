@@ -11,9 +11,14 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from lagjoin.functions import scalar as S
 
+# How the feed marks a missing number.
+NO_NUMBER = ("M", "")
+PARSED = "__parsed"
+
 
 # --- P1 / P2: prefix and suffix every column ------------------------------
 
@@ -30,8 +35,20 @@ def add_suffix(df: DataFrame, suffix: str) -> DataFrame:
 # --- P3: cast to double ---------------------------------------------------
 
 def to_double_columns(df: DataFrame, cols: Iterable[str]) -> DataFrame:
-    """Cast the listed columns to double; unparsable text becomes NULL."""
-    return df.withColumns({c: S.to_double(c) for c in cols})
+    """Cast the listed columns to double; unparsable text becomes NULL.
+
+    Text columns are parsed by one function over an array of them: a parser
+    for each would make the method that Spark generates for a wide table
+    larger than the JVM compiles, and it would be interpreted row by row.
+    The feed's marks for a missing value are told apart by comparison, since
+    a failed parse costs many times a successful one."""
+    cols = list(dict.fromkeys(cols))
+    text = [f.name for f in df.schema.fields if f.name in cols and isinstance(f.dataType, StringType)]
+    parsed = {c: F.get(S.qcol(PARSED), F.lit(k)) for k, c in enumerate(text)}
+    if text:
+        df = df.select("*", F.transform(F.array(*[S.qcol(c) for c in text]), lambda x: F.when(
+            ~x.isin(*NO_NUMBER), S.to_double(x))).alias(PARSED))
+    return df.withColumns({c: parsed[c] if c in parsed else S.to_double(c) for c in cols}).drop(PARSED)
 
 
 # --- P18 ------------------------------------------------------------------
