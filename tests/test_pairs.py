@@ -8,6 +8,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
+from lagjoin.operators import columns as C
 from lagjoin.operators import lagged as L
 from lagjoin.plans import workflow as W
 
@@ -98,3 +99,12 @@ def test_means_are_rounded_before_the_join(spark):
     assert cols.first()[L.ORIGIN_LAGS][0]["v"] == 1.333
     top = lines._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
     assert "round(" not in top
+
+
+def test_text_is_parsed_by_one_function(spark):
+    df = spark.createDataFrame([("M", "1.5", 2), ("", "NaN", 3), (None, "x", None), (" 4 ", "1e3", 5)], "a string, b string, n int")
+    out = C.to_double_columns(df, ["a", "b", "n"])
+    assert [tuple(map(str, r)) for r in out.collect()] == [
+        ("None", "1.5", "2.0"), ("None", "nan", "3.0"), ("None", "None", "None"), ("4.0", "1000.0", "5.0")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lambdafunction") == 1 and out.columns == df.columns
