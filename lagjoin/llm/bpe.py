@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lagjoin.llm.pretok import WordTable, code_points, split_dropping_space
-from lagjoin.llm.shared import ship, table, text_groups, texts_of
+from lagjoin.llm.shared import ship, table, text_chunks, text_groups
 
 END = "\0"  # stands for the end-of-word suffix inside this module
 
@@ -302,9 +302,8 @@ def roundtrip(df: DataFrame, keep: list[str], text_col: str = "text", path: str
 
     def rows(batch):
         bpe = loaded(path)
-        texts = texts_of(batch.column(batch.num_columns - 1)).to_pylist()
-        for a, b in text_groups(texts):
-            ids = list(bpe.encode_texts(texts[a:b]))
+        for a, b, texts in text_chunks(batch.column(batch.num_columns - 1)):
+            ids = list(bpe.encode_texts(texts))
             yield b - a, [_list_array(ids), pa.array([bpe.decode(i.tolist()) for i in ids], pa.string())]
 
     return _mapped(df, [*keep, text_col], schema, rows)
@@ -317,9 +316,8 @@ def encode(df: DataFrame, keep: list[str], text_col: str = "text", path: str | N
 
     def rows(batch):
         bpe = loaded(path)
-        texts = texts_of(batch.column(batch.num_columns - 1)).to_pylist()
-        for a, b in text_groups(texts):
-            yield b - a, [_list_array(list(bpe.encode_texts(texts[a:b])))]
+        for a, b, texts in text_chunks(batch.column(batch.num_columns - 1)):
+            yield b - a, [_list_array(list(bpe.encode_texts(texts)))]
 
     return _mapped(df, [*keep, text_col], schema, rows)
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lagjoin.llm.pretok import LETTER, classes, code_points
-from lagjoin.llm.shared import mixed, ship, table, text_groups, texts_of
+from lagjoin.llm.shared import mixed, ship, table, text_chunks
 
 BUCKETS = 1 << 16
 ROUNDS = 12
@@ -38,6 +38,8 @@ PENALTY = 2.0
 #: Log-likelihood per trigram if all buckets are as likely.
 CHANCE = -float(np.log(BUCKETS))
 UNKNOWN = "und"
+#: Code points of a chunk: fitting holds some twenty numbers for each.
+FITTED = 100_000
 
 
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -68,10 +70,9 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tu
         counts: dict[str, np.ndarray] = {}
         for batch in batches:
             langs = batch.column(1).to_pylist()
-            texts = texts_of(batch.column(0)).to_pylist()
-            for a, b in text_groups(texts):
+            for a, b, texts in text_chunks(batch.column(0), FITTED):
                 names, code = np.unique(langs[a:b], return_inverse=True)
-                bucket, row = trigrams(texts[a:b])
+                bucket, row = trigrams(texts)
                 cell = np.bincount(code[row] * BUCKETS + bucket, minlength=len(names) * BUCKETS)
                 for k, name in enumerate(names.tolist()):
                     part = cell[k * BUCKETS:(k + 1) * BUCKETS]
@@ -169,9 +170,8 @@ def predict(df: DataFrame, keep: list[str], model: tuple[list[str], np.ndarray],
     def run(batches):
         log_p = shared.value.astype(float)
         for batch in batches:
-            texts = texts_of(batch.column(len(keep))).to_pylist()
-            for a, b in text_groups(texts, 500_000):
-                pi, fit = fitted(texts[a:b], log_p)
+            for a, b, texts in text_chunks(batch.column(len(keep)), FITTED):
+                pi, fit = fitted(texts, log_p)
                 score = np.clip(pi.max(1), 0, 1) if len(langs) else np.zeros(b - a)
                 best = pi.argmax(1) if len(langs) else None
                 pred = [langs[best[k]] if score[k] > 0 else UNKNOWN for k in range(b - a)]
@@ -212,9 +212,8 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     @F.arrow_udf("boolean")
     def explained(column: pa.Array) -> pa.Array:
         p, out = shared.value.astype(float), []
-        texts = texts_of(column).to_pylist()
-        for a, b in text_groups(texts, 500_000):
-            pi, fit = fitted(texts[a:b], p)
+        for a, b, texts in text_chunks(column, FITTED):
+            pi, fit = fitted(texts, p)
             out.append((pi.max(1) > 0) & (fit > CHANCE) if len(langs) else np.zeros(b - a, bool))
         return pa.array(np.concatenate(out) if out else np.empty(0, bool))
 

@@ -108,22 +108,25 @@ def split_keeping_space(cp: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray
 class WordTable:
     """Token ids of words, kept by a 64-bit hash of the word.
 
-    ``encode(words)`` gives a list of id lists for new words.  The table is
-    emptied when it holds ``limit`` words, so memory stays bounded."""
+    ``encode(words)`` gives a list of id lists for new words.  Hashes and the
+    words' slots are sorted arrays, 16 bytes a word.  The table is emptied
+    when it holds ``limit`` words, so memory stays bounded."""
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 600_000):
         self.encode, self.limit = encode, limit
         self.clear()
 
     def clear(self) -> None:
-        self.slots: dict[int, int] = {}
+        self.keys = np.empty(0, np.uint64)
+        self.slots = np.empty(0, np.int64)
         self.ids = np.empty(1 << 16, np.int32)
         self.start = np.zeros(1 << 14, np.int64)
         self.length = np.zeros(1 << 14, np.int64)
         self.used = 0
         self.serial = getattr(self, "serial", -1) + 1
 
-    def _add(self, keys: list[int], lists: list[list[int]]) -> None:
+    def _add(self, lists: list[list[int]]) -> np.ndarray:
+        """Slots of new words with these ids."""
         first, count = len(self.slots), len(lists)
         while first + count > len(self.start):
             self.start = np.concatenate([self.start, np.zeros_like(self.start)])
@@ -136,22 +139,26 @@ class WordTable:
         self.start[first:first + count] = self.used + np.cumsum(lengths) - lengths
         self.length[first:first + count] = lengths
         self.used += len(flat)
-        self.slots.update(zip(keys, range(first, first + count)))
+        return np.arange(first, first + count)
 
     def lookup(self, text: str, cp: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Slot of every word of the chunk."""
         hashes, first, inverse = np.unique(span_hashes(cp, starts, ends),
                                            return_index=True, return_inverse=True)
-        if len(self.slots) > self.limit:
+        if len(self.keys) > self.limit:
             self.clear()
-        keys = hashes.tolist()
-        slots = self.slots
-        missing = [k for k, key in enumerate(keys) if key not in slots]
-        if missing:
-            at = first[missing]
-            words = [text[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
-            self._add([keys[k] for k in missing], self.encode(words))
-        return np.fromiter(map(slots.__getitem__, keys), np.int64, len(keys))[inverse]
+        place = np.searchsorted(self.keys, hashes)
+        new = np.ones(len(hashes), bool)
+        inside = np.flatnonzero(place < len(self.keys))
+        new[inside] = self.keys[place[inside]] != hashes[inside]
+        slots = np.empty(len(hashes), np.int64)
+        slots[~new] = self.slots[place[~new]]
+        if new.any():
+            at = first[new]
+            slots[new] = self._add(self.encode([text[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]))
+            self.keys = np.insert(self.keys, place[new], hashes[new])
+            self.slots = np.insert(self.slots, place[new], slots[new])
+        return slots[inverse]
 
     def gather(self, word_slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words in order, and how many each word has."""

@@ -341,12 +341,13 @@ def redact(docs: DataFrame, text_col: str = "text", level: float = LEVEL) -> Dat
 
     def run(batches):
         for batch in batches:
-            gone_at = batch.column(at).is_null().to_pylist()
-            texts = [None if gone else redacted_text(text, base + extra) if base or extra else text
-                     for gone, (text, base, extra) in zip(gone_at, _rows(batch.column(at), level, null.value))]
-            arrays = list(batch.columns)
-            arrays[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(arrays, columns)
+            for a, b, _, _ in byte_chunks(batch.column(at)):
+                arrays = batch.slice(a, b - a).columns
+                gone_at = arrays[at].is_null().to_pylist()
+                texts = [None if gone else redacted_text(text, base + extra) if base or extra else text
+                         for gone, (text, base, extra) in zip(gone_at, _rows(arrays[at], level, null.value))]
+                arrays[at] = pa.array(texts, pa.string())
+                yield pa.RecordBatch.from_arrays(arrays, columns)
 
     return docs.mapInArrow(run, docs.schema)
 

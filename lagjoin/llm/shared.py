@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 #: Texts are worked on in chunks of about this many bytes or code points, so
@@ -114,6 +115,16 @@ def text_groups(texts: list[str], limit: int = CHUNK) -> Iterator[tuple[int, int
     yield from cuts(np.concatenate(([0], np.cumsum(lengths))), limit)
 
 
+def text_chunks(column: pa.Array, limit: int = CHUNK) -> Iterator[tuple[int, int, list[str]]]:
+    """Rows of a text column in chunks of about ``limit`` code points: first
+    row, row past the last, and their texts.  Only one chunk's texts are made
+    at a time, whatever the Arrow batch holds."""
+    arr = texts_of(column)
+    ends = np.cumsum(np.asarray(pc.utf8_length(arr)), dtype=np.int64)
+    for a, b in cuts(np.concatenate(([0], ends)), limit):
+        yield a, b, arr.slice(a, b - a).to_pylist()
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """base**0 ... base**(n-1) modulo 2**64, by doubling."""
     out = np.ones(max(n, 1), np.uint64)
