@@ -108,3 +108,19 @@ def test_text_is_parsed_by_one_function(spark):
         ("None", "1.5", "2.0"), ("None", "nan", "3.0"), ("None", "None", "None"), ("4.0", "1000.0", "5.0")]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("lambdafunction") == 1 and out.columns == df.columns
+
+
+def test_lag_times_are_made_once_a_lag(spark):
+    """Before, both times, and a sequence of copies, were made anew for every
+    pair of readings."""
+    facts, obs = _facts(spark), _obs(spark)
+    obs = obs.unionByName(obs).unionByName(obs.withColumn("v", F.col("v") + 100))  # equal readings, and others of the key
+    out = L.lag_join_long(facts, obs, **KW)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    top, *generators = plan.split("Generate explode(")[:5]
+    assert "make_dt_interval" not in top and all("make_dt_interval" not in g for g in generators[:2])
+    assert "make_dt_interval" in generators[2]  # under both sides' readings, above the lags
+    assert generators[0].startswith("CASE WHEN")  # pairs that occur once take no sequence
+    assert _rows(out) == _rows(L.lag_join_long(facts, obs, strategy="joins", **KW))
+    one = dict(KW, dest_col=None, dest_ts_col=None)
+    assert _rows(L.lag_join_long(facts, obs, **one)) == _rows(L.lag_join_long(facts, obs, strategy="joins", **one))
